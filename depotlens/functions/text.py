@@ -80,8 +80,11 @@ def nth(array: ColumnOrName, n: int) -> Column:
 
 # --- web pages ---------------------------------------------------------------------------
 
-VOID_TAGS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-HIDDEN_TAGS = {"script", "style"}
+# Elements without content, and elements whose content is no text.
+VOID_TAGS = frozenset(
+    "area base basefont br col embed frame hr img input keygen link menuitem meta param source track wbr".split()
+)
+HIDDEN_TAGS = frozenset({"script", "style"})
 
 
 class _BlockReader(HTMLParser):
@@ -94,8 +97,29 @@ class _BlockReader(HTMLParser):
         self.blocks: list[list[str]] = []
         self.everything: list[str] = []
         self.hidden = 0
+        self.pending: list[str] = []
+
+    def flush(self):
+        text = "".join(self.pending).strip()
+        self.pending.clear()
+        if not text or self.hidden:
+            return
+        self.everything.append(text)
+        for _, texts in self.open:
+            if texts is not None:
+                texts.append(text)
+
+    def handle_data(self, data):
+        self.pending.append(data)
+
+    def handle_comment(self, data):
+        self.flush()
+
+    def handle_decl(self, decl):
+        self.flush()
 
     def handle_starttag(self, tag, attrs):
+        self.flush()
         if tag in VOID_TAGS:
             return
         texts = None
@@ -106,25 +130,16 @@ class _BlockReader(HTMLParser):
         self.hidden += tag in HIDDEN_TAGS
 
     def handle_startendtag(self, tag, attrs):
-        if tag in self.wanted:
-            self.blocks.append([])
+        self.flush()
 
     def handle_endtag(self, tag):
+        self.flush()
         for place in range(len(self.open) - 1, -1, -1):
             if self.open[place][0] == tag:
                 self.hidden -= sum(name in HIDDEN_TAGS for name, _ in self.open[place:])
                 del self.open[place:]
                 return
 
-    def handle_data(self, data):
-        text = data.strip()
-        if not text or self.hidden:
-            return
-        self.everything.append(text)
-        for _, texts in self.open:
-            if texts is not None:
-                texts.append(text)
-
 
 def _read_blocks(html: str | None, wanted: frozenset[str], fallback: bool) -> list[str]:
     if not html or not html.strip():
@@ -132,6 +147,7 @@ def _read_blocks(html: str | None, wanted: frozenset[str], fallback: bool) -> li
     reader = _BlockReader(wanted)
     reader.feed(html)
     reader.close()
+    reader.flush()
     found = [" ".join(texts) for texts in reader.blocks if texts]
     if not found and fallback and reader.everything:
         return [" ".join(reader.everything)]

@@ -11,7 +11,13 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from depotlens.functions.columns import first_true, hash_number, resolve_column, to_number
+from depotlens.functions.columns import (
+    first_true,
+    hash_number,
+    resolve_column,
+    sum_exact,
+    to_number,
+)
 from depotlens.operators.neighbours import feature_vector, item_knn_cosine, standardize
 from depotlens.operators.ordering import (
     dense_codes,
@@ -79,8 +85,9 @@ def action_weight(df: DataFrame) -> Column:
 
 def interaction_weights(interactions: DataFrame, weight_column: str | None = None) -> DataFrame:
     """Sum of weights per (customer, product): the filled cells of the user-item matrix."""
-    weight = F.col(weight_column) if weight_column else action_weight(interactions)
-    return interactions.groupBy("customer_id", "product_id").agg(F.sum(weight).alias("weight"))
+    # Action weights have one decimal, so their sum is rounded to be free of row order.
+    total = F.sum(weight_column) if weight_column else sum_exact(action_weight(interactions), 1)
+    return interactions.groupBy("customer_id", "product_id").agg(total.alias("weight"))
 
 
 def user_item_counts(weights: DataFrame) -> DataFrame:

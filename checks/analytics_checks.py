@@ -9,6 +9,8 @@ from checks.medallion import layers
 from depotlens.operators import inventory, ordering, recommend, splits
 from depotlens.operators.gold import inventory_features
 from depotlens.operators.neighbours import item_knn_cosine, standardize
+from depotlens.plans import recommendation as flows
+from depotlens.plans import stock as stock_flows
 from depotlens.sources.star_schema import AS_OF as TODAY
 
 
@@ -90,15 +92,10 @@ def _risk_features(feeds):
     )
 
 
-def _risk_model(feeds):
-    return inventory.train_writeoff_classifier(_risk_features(feeds), id_columns=["inventory_id"])
-
-
-def _risk_scores(feeds):
-    rows = _risk_features(feeds)
-    model, columns, _ = _risk_model(feeds)
-    return inventory.predict_writeoff_risk(model, rows, columns).select(
-        "inventory_id", "will_expire_30d", "risk_score"
+def _risk(feeds):
+    lake = layers(feeds)
+    return stock_flows.writeoff_risk(
+        lake.inventory, _site_demand(feeds), lake.products, TODAY, ["inventory_id"]
     )
 
 
@@ -227,19 +224,25 @@ CTE["customer_top"] = """
 SELECT customer_id, product_id, count(*) AS score,
   row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, product_id) AS rank
 FROM train_rows GROUP BY customer_id, product_id QUALIFY rank <= 10"""
-CTE["user_metrics"] = """
-SELECT t.customer_id, coalesce(hits, 0) / 10.0::DOUBLE AS precision_at_k, coalesce(hits, 0) / relevant AS recall_at_k,
-  coalesce(dcg, 0) / (SELECT sum(1 / log2(i + 1)) FROM range(1, CAST(least(relevant, 10) AS BIGINT) + 1) r(i)) AS ndcg_at_k
+def _user_metrics_sql(k: int) -> str:
+    return f"""
+SELECT t.customer_id, coalesce(hits, 0) / {k}.0::DOUBLE AS precision_at_k, coalesce(hits, 0) / relevant AS recall_at_k,
+  coalesce(dcg, 0) / (SELECT sum(1 / log2(i + 1)) FROM range(1, CAST(least(relevant, {k}) AS BIGINT) + 1) r(i)) AS ndcg_at_k
 FROM (SELECT customer_id, CAST(count(*) AS DOUBLE) AS relevant FROM truth_table GROUP BY 1) t
   JOIN (SELECT p.customer_id, CAST(count(t.product_id) AS DOUBLE) AS hits,
       sum(CASE WHEN t.product_id IS NOT NULL THEN 1 / log2(rank + 1) END) AS dcg
-    FROM (SELECT CAST(customer_id AS VARCHAR) AS customer_id, CAST(product_id AS VARCHAR) AS product_id, rank FROM customer_top) p
+    FROM (SELECT CAST(customer_id AS VARCHAR) AS customer_id, CAST(product_id AS VARCHAR) AS product_id, rank FROM customer_top
+      WHERE rank <= {k}) p
     LEFT JOIN truth_table t ON t.customer_id = p.customer_id AND t.product_id = p.product_id GROUP BY 1) h
   ON t.customer_id = h.customer_id"""
 
 
+CTE["user_metrics"] = _user_metrics_sql(10)
+CTE["user_metrics_3"] = _user_metrics_sql(3)
+
+
 def _split(feeds):
-    return splits.temporal_split(layers(feeds).interactions, tie_columns=["interaction_id"])
+    return flows.split_events(layers(feeds).interactions)
 
 
 def _customer_top(train):
@@ -312,35 +315,22 @@ def _negatives(feeds):
     return recommend.negative_samples(_base(feeds), layers(feeds).products)
 
 
-def _coded_weights(feeds):
-    return recommend.interaction_weights(layers(feeds).interactions)
-
-
-def _als(feeds):
-    return recommend.als_implicit(_coded_weights(feeds), factors=16, iterations=5)
-
-
 def _als_recommendations(feeds):
-    weights = _coded_weights(feeds)
-    model = recommend.als_implicit(weights, factors=16, iterations=5)
-    return recommend.recommend_for_users(model, weights, 10, seen=weights)
+    return flows.factor_recommendations(layers(feeds).interactions, 10, factors=16, iterations=5)
 
 
 def _als_all_items(feeds):
-    weights = _coded_weights(feeds)
-    return recommend.mf_topk_all_items(recommend.als_implicit(weights, factors=16, iterations=5), weights)
+    return flows.factor_recommendations(
+        layers(feeds).interactions, 10, factors=16, iterations=5, filter_seen=False
+    )
 
 
 RANKER_ATTRIBUTES = ("product_id", "category", "price_tier", "unit_price", "is_prescription", "lead_time_days")
 
 
 def _ranked(feeds):
-    lake = layers(feeds)
-    items = lake.products.select(*RANKER_ATTRIBUTES)
-    base = _base(feeds)
-    rows, columns = recommend.ranker_features(recommend.with_negatives(base, items), items)
-    model = recommend.train_ranker(rows, columns, iterations=5)
-    return recommend.rank_catalogue(model, base.filter("label = 1"), base, items)
+    items = layers(feeds).products.select(*RANKER_ATTRIBUTES)
+    return flows.ranker_recommendations(_base(feeds), items, iterations=5)
 
 
 def _ranker_rows(feeds):
@@ -353,7 +343,7 @@ def _compared(feeds):
     train, later = _split(feeds)
     truth = recommend.purchases_truth(later)
     own = _customer_top(train)
-    short = own.filter("rank <= 3")
+    short = own.filter(F.col("rank") <= 3)
     return recommend.compare_models(
         {
             "own_ten": _rounded_metrics(recommend.evaluate_recommendations(own, truth)),
@@ -528,8 +518,11 @@ CHECKS = {
         "round(avg(l_linenumber / l_quantity) * 100, 6) AS mape FROM lineitem WHERE l_quantity > 0",
     ),
     "naive_mean_forecast": (_forecast, query(FORECAST)),
-    "train_writeoff_classifier": (lambda f: _risk_model(f)[2], None),
-    "predict_writeoff_risk": (_risk_scores, None),
+    "train_writeoff_classifier": (lambda f: _risk(f)[1], None),
+    "predict_writeoff_risk": (
+        lambda f: _risk(f)[0].select("inventory_id", "will_expire_30d", "risk_score"),
+        None,
+    ),
     # recommendation
     "training_base": (_base, query("SELECT * FROM base_table")),
     "interaction_weights": (
@@ -622,5 +615,14 @@ CHECKS = {
             "(SELECT count(*) FROM train_rows) AS reco_n_train_events, (SELECT count(*) FROM validation_rows) AS reco_n_val_events"
         ),
     ),
-    "compare_models": (_compared, None),
+    "compare_models": (
+        _compared,
+        query(
+            "\nUNION ALL ".join(
+                f"SELECT '{model}' AS model, '{metric}' AS metric, round(avg({metric}), 6) AS value FROM {source}"
+                for model, source in (("own_ten", "user_metrics"), ("own_three", "user_metrics_3"))
+                for metric in ("precision_at_k", "recall_at_k", "ndcg_at_k")
+            )
+        ),
+    ),
 }

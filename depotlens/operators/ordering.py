@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from depotlens.functions.columns import ColumnOrName, as_column
-from depotlens.session import ensure_checkpoint_dir
+from depotlens.session import settle
 
 COPIES_PER_TASK = 100_000
 
@@ -109,15 +109,10 @@ def split_at(df: DataFrame, cut: Cut) -> tuple[DataFrame, DataFrame]:
 def range_sorted(df: DataFrame, *order: Column) -> DataFrame:
     """Spread rows over ranges of the sort key; ``_range`` numbers the ranges in key order.
 
-    The result is checkpointed: range bounds come from a sample, and every later reading must see
-    the same ranges, also after an executor is lost.
+    The result is written out: range bounds come from a sample, and every later reading must see the
+    same ranges, also after an executor is lost.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return (
-        df.repartitionByRange(*order)
-        .withColumn("_range", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
+    return settle(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
 
 
 def _range_offsets(ranged: DataFrame, **totals: Column) -> DataFrame:

@@ -27,7 +27,7 @@ from depotlens.operators.ordering import (
     topk_per_group,
     with_position,
 )
-from depotlens.session import ensure_checkpoint_dir
+from depotlens.session import ensure_checkpoint_dir, settle
 
 # Weights of customer actions and evaluation protocol.
 ACTION_WEIGHTS = {"purchased": 1.0, "added": 0.5, "viewed": 0.2, "searched": 0.1}
@@ -271,12 +271,12 @@ def negative_samples(
     to products. No customer-by-product grid is built.
     """
     catalogue = dense_codes(products, "product_id", "code")
-    bought = (
+    positives = settle(
         base.filter(F.col("label") == 1)
         .select("customer_id", "product_id")
-        .distinct()
-        .join(catalogue, "product_id")
+        .join(catalogue, "product_id", "left")
     )
+    bought = positives.filter(F.col("code").isNotNull()).distinct()
     free = not_purchased_counts(bought, catalogue).drop("n_bought").filter(F.col("n_free") > 0)
 
     def draw(slot: Column) -> Column:
@@ -293,9 +293,7 @@ def negative_samples(
     slots = F.transform(F.sequence(F.lit(0), F.lit(per_positive - 1)), lambda i: i.cast("bigint"))
     ranks = F.aggregate(slots, F.array().cast("array<bigint>"), add)
     draws = (
-        base.filter(F.col("label") == 1)
-        .select("customer_id", "product_id")
-        .join(free, "customer_id")
+        positives.join(free, "customer_id")
         .select(
             "customer_id",
             F.col("product_id").alias("positive_product_id"),

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(
@@ -34,14 +35,31 @@ def get_spark(
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder named by ``spark.checkpoint.dir``; a local session may fall back to /tmp."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``; a local session may fall back to /tmp."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
+    if folder:
+        return folder
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="depotlens-checkpoint-")
-    context.setCheckpointDir(folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="depotlens-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Let MLlib checkpoint into the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(checkpoint_folder(spark))
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write a frame to Parquet in the shared folder and read it from there.
+
+    For results that several later steps read: they are computed once, survive the loss of executors,
+    and carry their true size, by which Spark picks join strategies.
+    """
+    target = f"{checkpoint_folder(df.sparkSession)}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)

@@ -8,7 +8,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -152,20 +152,37 @@ def running_totals(df: DataFrame, order: Sequence[Column], *values: str) -> Data
 
 
 def dense_codes(df: DataFrame, column: str, code: str | None = None) -> DataFrame:
-    """Distinct values of a column with their 0-based place in value order; NULL counts as ''."""
-    value = F.coalesce(F.col(column), F.lit("")) if dict(df.dtypes)[column] == "string" else F.col(column)
-    distinct = df.select(value.alias(column)).distinct()
+    """Distinct values of a column with their 0-based place in value order; NULL text counts as ''."""
+    distinct = df.select(_filled(df, column).alias(column)).distinct()
     return with_position(distinct, F.col(column), name=code or f"{column}_code")
 
 
+def _filled(df: DataFrame, column: str) -> Column:
+    return F.coalesce(F.col(column), F.lit("")) if dict(df.dtypes)[column] == "string" else F.col(column)
+
+
 def factorize(df: DataFrame, column: str, code: str | None = None) -> DataFrame:
     """Add the dense code of a column's value."""
-    name = code or f"{column}_code"
-    codes = dense_codes(df, column, name)
-    keyed = df
-    if dict(df.dtypes)[column] == "string":
-        keyed = df.withColumn(column, F.coalesce(F.col(column), F.lit("")))
-    return keyed.join(codes, column, "left")
+    codes = dense_codes(df, column, code)
+    return df.withColumn(column, _filled(df, column)).join(codes, column, "left")
+
+
+def factorize_many(df: DataFrame, codes: Mapping[str, str]) -> DataFrame:
+    """Add dense codes of several text columns (column -> code name), ordered in one go."""
+    if not codes:
+        return df
+    filled = df.withColumns({c: _filled(df, c) for c in codes})
+    entries = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in codes]
+    values = filled.select(F.explode(F.array(*entries)).alias("e")).select("e.column", "e.value").distinct()
+    placed = settle(with_position(values, F.col("column"), F.col("value")))
+    starts = placed.groupBy("column").agg(F.min("position").alias("start"))
+    first = {row["column"]: row["start"] for row in starts.collect()}
+    for column, code in codes.items():
+        one = placed.filter(F.col("column") == column).select(
+            F.col("value").alias(column), (F.col("position") - first.get(column, 0)).alias(code)
+        )
+        filled = filled.join(one, column, "left")
+    return filled
 
 
 # --- groups ------------------------------------------------------------------------------

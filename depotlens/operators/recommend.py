@@ -21,7 +21,7 @@ from depotlens.functions.columns import (
 from depotlens.operators.neighbours import feature_vector, item_knn_cosine, standardize
 from depotlens.operators.ordering import (
     dense_codes,
-    factorize,
+    factorize_many,
     last_per_group,
     nth_missing,
     topk_per_group,
@@ -114,10 +114,7 @@ def cap_users(truth: DataFrame, n: int = EVALUATION_USERS) -> DataFrame:
 
 def product_features_matrix(products: DataFrame) -> DataFrame:
     """product_id, coded categories (``<name>_enc``) and numbers, missing values as 0."""
-    out = products
-    for column in PRODUCT_CATEGORIES:
-        if column in out.columns:
-            out = factorize(out, column, f"{column}_enc")
+    out = factorize_many(products, {c: f"{c}_enc" for c in PRODUCT_CATEGORIES if c in products.columns})
     numbers = [c for c in PRODUCT_NUMBERS if c in products.columns]
     kinds = dict(products.dtypes)
     cleaned = {
@@ -333,21 +330,20 @@ SKIPPED_FEATURES = (
 def _numeric_products(products: DataFrame) -> DataFrame:
     """product_id with every attribute as a number: text coded, the rest read as numbers."""
     kinds = dict(products.dtypes)
-    out = products
-    for column in products.columns:
-        if column in SKIPPED_FEATURES:
-            continue
-        if kinds[column] == "string":
-            out = factorize(out, column, "_code").drop(column).withColumnRenamed("_code", column)
-        elif kinds[column] == "boolean":
-            out = out.withColumn(column, F.coalesce(F.col(column).cast("int"), F.lit(0)))
-        elif kinds[column] in ("date", "timestamp", "timestamp_ntz"):
-            out = out.withColumn(
-                column, F.coalesce(F.unix_date(F.col(column).cast("date")), F.lit(0))
-            )
-        else:
-            out = out.withColumn(column, to_number(column))
-    return out
+    features = [c for c in products.columns if c not in SKIPPED_FEATURES]
+    words = [c for c in features if kinds[c] == "string"]
+    out = factorize_many(products, {c: f"_{c}_code" for c in words})
+
+    def number(column: str) -> Column:
+        if column in words:
+            return F.col(f"_{column}_code")
+        if kinds[column] == "boolean":
+            return F.coalesce(F.col(column).cast("int"), F.lit(0))
+        if kinds[column] in ("date", "timestamp", "timestamp_ntz"):
+            return F.coalesce(F.unix_date(F.col(column).cast("date")), F.lit(0))
+        return to_number(column)
+
+    return out.select("product_id", *[number(c).alias(c) for c in features])
 
 
 def ranker_features(pairs: DataFrame, products: DataFrame) -> tuple[DataFrame, list[str]]:

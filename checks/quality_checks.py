@@ -368,11 +368,9 @@ CHECKS = {
         ),
     ),
     "dash_avg_price_by_week": (
-        lambda f: insights.avg_price_by_week(f.competitor_price_history).select(
-            "week_start", F.round("avg_price", 4).alias("avg_price")
-        ),
+        lambda f: insights.avg_price_by_week(f.competitor_price_history),
         query(
-            "SELECT CAST(date_trunc('week', date) AS DATE) AS week_start, round(avg(price), 4) AS avg_price "
+            f"SELECT CAST(date_trunc('week', date) AS DATE) AS week_start, {avg_exact('price')} AS avg_price "
             "FROM raw_competitor_price_history GROUP BY 1"
         ),
     ),

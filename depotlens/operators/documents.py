@@ -14,7 +14,6 @@ from depotlens.sources.schemas import (
     DOCUMENT_FIELDS,
     DOCUMENT_GROUPS,
     DOCUMENT_HEADER,
-    DOCUMENT_NESTED_DDL,
 )
 
 
@@ -136,12 +135,16 @@ def assign_fields(
 
 def flatten_label(documents: DataFrame, json_column: str = "json") -> DataFrame:
     """Flat field columns of nested JSON; an absent group gives NULLs."""
-    nested = documents.select("doc_id", F.from_json(json_column, DOCUMENT_NESTED_DDL).alias("d"))
+    nested = documents.select("doc_id", F.try_parse_json(json_column).alias("d"))
+
+    def value(path: str, name: str) -> Column:
+        return F.try_variant_get("d", f"$.{path}", "string").alias(name)
+
     return nested.select(
         "doc_id",
-        *[F.col(f"d.{field}").alias(field) for field in DOCUMENT_HEADER],
+        *[value(field, field) for field in DOCUMENT_HEADER],
         *[
-            F.col(f"d.{group}.{field}").alias(f"{group}_{field}")
+            value(f"{group}.{field}", f"{group}_{field}")
             for group, fields in DOCUMENT_GROUPS.items()
             for field in fields
         ],

@@ -23,7 +23,7 @@ def revenue_by_week(orders: DataFrame) -> DataFrame:
 def avg_price_by_week(prices: DataFrame) -> DataFrame:
     return (
         prices.groupBy(week_start("date").alias("week_start"))
-        .agg(F.avg("price").alias("avg_price"))
+        .agg(avg_exact("price").alias("avg_price"))
         .orderBy("week_start")
     )
 

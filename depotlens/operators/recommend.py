@@ -18,6 +18,7 @@ from depotlens.functions.columns import (
     sum_exact,
     to_number,
 )
+from depotlens.operators.factors import top_inner_products
 from depotlens.operators.neighbours import feature_vector, item_knn_cosine, standardize
 from depotlens.operators.ordering import (
     dense_codes,
@@ -187,51 +188,39 @@ def als_implicit(
     return als.fit(weights)
 
 
-def _exploded(recommendations: DataFrame) -> DataFrame:
-    return recommendations.select(
-        "customer_id", F.posexplode("recommendations").alias("place", "entry")
-    ).select(
-        "customer_id",
-        F.col("entry.product_id").alias("product_id"),
-        F.col("entry.rating").cast("double").alias("score"),
-        (F.col("place") + 1).cast("bigint").alias("rank"),
-    )
-
-
 def recommend_for_users(
     model: ALSModel, users: DataFrame, k: int = EVALUATION_K, seen: DataFrame | None = None
 ) -> DataFrame:
-    """Top k items per user without items already seen.
+    """Top k items per known user, without items already seen if ``seen`` is given.
 
-    To leave k after removal a user needs k + |seen| scored items. Users are taken in classes by
-    their number of seen items, doubling from class to class, so one heavy user does not lengthen
-    everybody's list.
+    A user with n seen items needs its k + n best to keep k, so lists are as long as each user's own
+    history asks for.
     """
-    wanted = users.select("customer_id").distinct()
-    if seen is None:
-        return _exploded(model.recommendForUserSubset(wanted, k))
-    pairs = seen.select("customer_id", "product_id").distinct()
-    counts = wanted.join(pairs.groupBy("customer_id").count(), "customer_id", "left").select(
-        "customer_id", F.ceil(F.log2(F.coalesce("count", F.lit(0)) + 1)).cast("int").alias("size_class")
+    wanted = users.select(F.col("customer_id").alias("user")).distinct()
+    asking = wanted.join(
+        model.userFactors.select(F.col("id").cast("bigint").alias("user"), F.col("features").alias("vector")), "user"
+    ).withColumn("wanted", F.lit(k))
+    if seen is not None:
+        pairs = seen.select(F.col("customer_id").alias("user"), F.col("product_id").alias("item")).distinct()
+        counts = pairs.groupBy("user").agg(F.count(F.lit(1)).alias("n_seen"))
+        asking = asking.join(counts, "user", "left").withColumn(
+            "wanted", F.lit(k) + F.coalesce("n_seen", F.lit(0))
+        )
+    items = model.itemFactors.select(
+        F.col("id").cast("bigint").alias("item"), F.col("features").alias("item_vector")
     )
-    # At most log2(number of items) classes.
-    classes = [row["size_class"] for row in counts.select("size_class").distinct().collect()]
-    out = None
-    for size_class in sorted(classes):
-        members = counts.filter(F.col("size_class") == size_class)
-        scored = _exploded(model.recommendForUserSubset(members, k + 2**size_class))
-        out = scored if out is None else out.unionByName(scored)
-    if out is None:
-        return _exploded(model.recommendForUserSubset(wanted, k))
-    fresh = out.drop("rank").join(pairs, ["customer_id", "product_id"], "left_anti")
-    return topk_per_group(
-        fresh, "customer_id", k, F.col("score").desc(), F.col("product_id"), rank="rank"
+    scored = top_inner_products(asking, items)
+    if seen is not None:
+        scored = scored.join(pairs, ["user", "item"], "left_anti")
+    best = topk_per_group(scored, "user", k, F.col("score").desc(), F.col("item"), rank="rank")
+    return best.select(
+        F.col("user").alias("customer_id"), F.col("item").alias("product_id"), "score", "rank"
     )
 
 
 def mf_topk_all_items(model: ALSModel, users: DataFrame, k: int = EVALUATION_K) -> DataFrame:
     """Top k over all items for each known user, seen items included; unknown users get no rows."""
-    return _exploded(model.recommendForUserSubset(users.select("customer_id").distinct(), k))
+    return recommend_for_users(model, users, k)
 
 
 def recommendation_arrays(recommendations: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from depotlens.functions.columns import coerce_date
 from depotlens.sources.schemas import ARTICLE_DDL, OCR_DDL, TABLE_DDL
@@ -112,30 +113,29 @@ def scan_inputs(
     return {table: scan_with_fallback(spark, table, **where) for table, where in plan.items()}
 
 
-def scan_json_docs(spark: SparkSession, path: str, schema: str = OCR_DDL) -> DataFrame:
-    """JSON documents, one per file; unreadable files are left out; ``doc_id`` falls back to the file name."""
-    stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "")
-    read = (
-        spark.read.schema(f"{schema}, _corrupt string")
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .option("pathGlobFilter", "*.json")
-        .json(path)
-    )
-    identity = F.coalesce(F.col("doc_id"), stem) if "doc_id" in read.columns else stem
-    return read.withColumn("doc_id", identity).filter(F.col("_corrupt").isNull()).drop("_corrupt")
+def scan_json_labels(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """(doc_id, json) of every readable JSON text, ``doc_id`` being the file name.
 
-
-def scan_json_labels(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, json) of every readable JSON file, ``doc_id`` being the file name."""
+    A file is one document, or one document per line with ``lines``.
+    """
     stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "")
-    lines = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(path)
-    return lines.select(stem.alias("doc_id"), F.col("value").alias("json")).filter(
+    texts = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=not lines)
+    return texts.select(stem.alias("doc_id"), F.col("value").alias("json")).filter(
         F.try_parse_json("json").isNotNull()
     )
 
 
+def scan_json_docs(
+    spark: SparkSession, path: str, schema: str = OCR_DDL, lines: bool = False
+) -> DataFrame:
+    """JSON documents; unreadable ones are left out; ``doc_id`` falls back to the file name."""
+    fields = StructType.fromDDL(schema).fields
+    parsed = scan_json_labels(spark, path, lines).withColumn("d", F.try_parse_json("json"))
+    values = {f.name: F.try_variant_get("d", f"$.{f.name}", f.dataType.simpleString()) for f in fields}
+    identity = F.coalesce(values.pop("doc_id"), F.col("doc_id")) if "doc_id" in values else F.col("doc_id")
+    return parsed.select(identity.alias("doc_id"), *[value.alias(name) for name, value in values.items()])
+
+
 def scan_article_json(spark: SparkSession, path: str) -> DataFrame:
     """Articles in file order."""
     return (

@@ -82,13 +82,6 @@ DOCUMENT_FIELDS = [
     *DOCUMENT_HEADER,
     *[f"{group}_{field}" for group, fields in DOCUMENT_GROUPS.items() for field in fields],
 ]
-DOCUMENT_NESTED_DDL = ", ".join(
-    [f"{name} string" for name in DOCUMENT_HEADER]
-    + [
-        f"{group} struct<{', '.join(f'{field}: string' for field in fields)}>"
-        for group, fields in DOCUMENT_GROUPS.items()
-    ]
-)
 ARTICLE_DDL = (
     "title string, url string, author string, published string, summary string, tags array<string>, "
     "fetched_at string, preview string, reading_time string"

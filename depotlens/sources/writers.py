@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlens.operators.documents import nest_fields, ocr_json
+from depotlens.operators.documents import nest_fields, ocr_documents
 from depotlens.sources.readers import RAW_PREFIX, add_lineage
 
 
@@ -64,7 +64,7 @@ def write_catalog_table(df: DataFrame, table: str) -> bool:
 
 def write_ocr_json(pages: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One JSON document per line, pages in page order."""
-    ocr_json(pages).select("json").write.mode(mode).text(path)
+    ocr_documents(pages).write.mode(mode).json(path)
 
 
 def write_field_json(fields: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -479,7 +479,7 @@ CHECKS = {
     "silver_reco_interactions": (lambda f: layers(f).interactions, _select("silver_interactions")),
     "silver_reco_substitutions": (lambda f: layers(f).substitutions, _select("silver_substitutions")),
     "monthly_financials": (
-        lambda f: gold.monthly_financials(layers(f).orders, layers(f).products),
+        lambda f: gold.monthly_financials(layers(f).stored_orders, layers(f).products),
         _select("monthly_table"),
     ),
     "gold_financial_analytics": (lambda f: layers(f).financial_analytics(), query(_financial("monthly_table"))),
@@ -487,16 +487,16 @@ CHECKS = {
         lambda f: layers(f, True).financial_analytics(),
         query(_financial("literal_monthly_table")),
     ),
-    "customer_financials": (lambda f: gold.customer_financials(layers(f).orders), _select("customer_table")),
+    "customer_financials": (lambda f: gold.customer_financials(layers(f).stored_orders), _select("customer_table")),
     "product_financials": (
-        lambda f: gold.product_financials(layers(f).orders, layers(f).products),
+        lambda f: gold.product_financials(layers(f).stored_orders, layers(f).products),
         query(PRODUCT_FINANCIALS),
     ),
-    "pharmacy_orders": (lambda f: gold.pharmacy_orders(layers(f).orders), _select("pharmacy_sales")),
+    "pharmacy_orders": (lambda f: gold.pharmacy_orders(layers(f).stored_orders), _select("pharmacy_sales")),
     "pharmacy_inventory": (lambda f: gold.pharmacy_inventory(layers(f).inventory), _select("pharmacy_stock")),
     "gold_pharmacy_performance": (lambda f: layers(f).pharmacy_performance(), query(GOLD_PHARMACY)),
     "product_orders": (
-        lambda f: gold.product_orders(layers(f).orders),
+        lambda f: gold.product_orders(layers(f).stored_orders),
         query(
             "SELECT * EXCLUDE (total_discount_amount, high_volume_orders, medium_volume_orders, low_volume_orders)"
             " FROM product_sales"
@@ -509,11 +509,11 @@ CHECKS = {
     "monthly_fulfillment": (lambda f: gold.monthly_fulfillment(layers(f).orders), query(MONTHLY_FULFILLMENT)),
     "gold_supply_chain_performance": (lambda f: layers(f).supply_chain_performance(), query(GOLD_SUPPLY)),
     "customer_features": (
-        lambda f: gold.customer_features(layers(f).orders, TODAY),
+        lambda f: gold.customer_features(layers(f).stored_orders, TODAY),
         _select("customer_feature_table"),
     ),
     "product_features": (
-        lambda f: gold.product_features(layers(f).orders, layers(f).products),
+        lambda f: gold.product_features(layers(f).stored_orders, layers(f).products),
         _select("product_feature_table"),
     ),
     "inventory_features": (

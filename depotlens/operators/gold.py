@@ -2,7 +2,8 @@
 
 Facts are aggregated to the grain of the report before any join, so that no join repeats fact rows
 and a hot customer or product is reduced on the map side. Sums of money are rounded to the decimals
-their inputs carry, which makes every measure independent of row order and of task retries.
+their inputs carry, which makes every measure independent of row order and of task retries. Reports
+with distinct counts read their fact table twice, so give them stored silver tables.
 
 Volume and value labels are compared as silver writes them; ``compat=True`` compares them with their
 upper-case spelling instead, which matches nothing.
@@ -10,6 +11,8 @@ upper-case spelling instead, which matches nothing.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +40,27 @@ def _zero(name: str, value: object = 0) -> Column:
     return F.coalesce(F.col(name), F.lit(value).cast("double" if isinstance(value, float) else "bigint"))
 
 
+def _grouped(
+    df: DataFrame, keys: Sequence[str], measures: Sequence[Column], distinct: Mapping[str, Column | str]
+) -> DataFrame:
+    """Measures and distinct counts per group, computed apart and joined on the group.
+
+    In one aggregate Spark would shuffle a row with room for every measure per distinct value. Apart,
+    the measures are reduced on the map side and only (group, value) pairs travel for the counts.
+    Both sides are partitioned by the keys already. Groups with NULL keys are matched as well.
+    """
+    counts = df.groupBy(*keys).agg(*[F.countDistinct(value).alias(name) for name, value in distinct.items()])
+    counts = counts.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = F.lit(True)
+    nullable = {f.name for f in df.schema.fields if f.nullable}
+    for k in keys:
+        # Entity keys are never NULL after silver; report labels may be.
+        exact = k not in nullable or k.endswith("_id")
+        same = same & (F.col(k) == F.col(f"_{k}") if exact else F.col(k).eqNullSafe(F.col(f"_{k}")))
+    sums = df.groupBy(*keys).agg(*measures)
+    return sums.join(counts, same).drop(*[f"_{k}" for k in keys])
+
+
 def _gold(df: DataFrame, model: str, audit: bool) -> DataFrame:
     stamps = {"gold_model_name": F.lit(model)}
     if audit:
@@ -74,15 +98,8 @@ def monthly_financials(orders: DataFrame, products: DataFrame, compat: bool = Fa
         "left",
     )
     discounted = F.col("discount_rate") > 0
-    return lines.groupBy(
-        month_start("order_date").alias("order_month"),
-        "customer_type",
-        "product_category",
-        "product_price_tier",
-    ).agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        F.countDistinct("customer_id").alias("unique_customers"),
-        F.countDistinct("product_id").alias("unique_products"),
+    keys = ("order_month", "customer_type", "product_category", "product_price_tier")
+    measures = [
         F.sum("quantity").alias("total_quantity"),
         sum_exact("total_amount").alias("gross_revenue"),
         sum_exact("discounted_amount").alias("net_revenue"),
@@ -99,7 +116,13 @@ def monthly_financials(orders: DataFrame, products: DataFrame, compat: bool = Fa
             "discounted_order_value"
         ),
         avg_exact(F.when(discounted, F.col("discount_rate")), 4).alias("avg_discount_rate_when_discounted"),
-    )
+    ]
+    distinct = {
+        "total_orders": "order_id",
+        "unique_customers": "customer_id",
+        "unique_products": "product_id",
+    }
+    return _grouped(lines.withColumn("order_month", month_start("order_date")), keys, measures, distinct)
 
 
 def gold_financial_analytics(
@@ -131,10 +154,10 @@ def gold_financial_analytics(
 
 
 def customer_financials(orders: DataFrame) -> DataFrame:
-    return (
-        orders.groupBy("customer_id", "customer_type")
-        .agg(
-            F.countDistinct("order_id").alias("total_orders"),
+    totals = _grouped(
+        orders,
+        ("customer_id", "customer_type"),
+        [
             sum_exact("total_amount").alias("lifetime_gross_revenue"),
             sum_exact("discounted_amount").alias("lifetime_net_revenue"),
             sum_exact(F.col("total_amount") - F.col("discounted_amount")).alias("lifetime_discount_amount"),
@@ -142,32 +165,35 @@ def customer_financials(orders: DataFrame) -> DataFrame:
             avg_exact("discount_rate", 4).alias("avg_discount_rate"),
             F.min("order_date").alias("first_order_date"),
             F.max("order_date").alias("last_order_date"),
-            F.countDistinct(month_start("order_date")).alias("active_months"),
-        )
-        .withColumns(
-            {
-                "customer_value_tier": tier(
-                    "lifetime_gross_revenue",
-                    [(100_000, "High Value"), (50_000, "Medium Value"), (10_000, "Low Value")],
-                    "Minimal Value",
-                ),
-                "discount_behavior_tier": _discount_tier("avg_discount_rate", " User"),
-            }
-        )
+        ],
+        {"total_orders": "order_id", "active_months": month_start("order_date")},
+    )
+    return totals.withColumns(
+        {
+            "customer_value_tier": tier(
+                "lifetime_gross_revenue",
+                [(100_000, "High Value"), (50_000, "Medium Value"), (10_000, "Low Value")],
+                "Minimal Value",
+            ),
+            "discount_behavior_tier": _discount_tier("avg_discount_rate", " User"),
+        }
     )
 
 
 def product_financials(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Sales per product; a product's profit is its margin times the units sold."""
-    sales = orders.groupBy("product_id").agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        F.countDistinct("customer_id").alias("unique_customers"),
-        F.sum("quantity").alias("total_quantity_sold"),
-        F.avg("quantity").alias("_avg_quantity"),
-        sum_exact("total_amount").alias("gross_revenue"),
-        sum_exact("discounted_amount").alias("net_revenue"),
-        sum_exact(F.col("total_amount") - F.col("discounted_amount")).alias("total_discount_amount"),
-        avg_exact("discount_rate", 4).alias("avg_discount_rate"),
+    sales = _grouped(
+        orders,
+        ("product_id",),
+        [
+            F.sum("quantity").alias("total_quantity_sold"),
+            F.avg("quantity").alias("_avg_quantity"),
+            sum_exact("total_amount").alias("gross_revenue"),
+            sum_exact("discounted_amount").alias("net_revenue"),
+            sum_exact(F.col("total_amount") - F.col("discounted_amount")).alias("total_discount_amount"),
+            avg_exact("discount_rate", 4).alias("avg_discount_rate"),
+        ],
+        {"total_orders": "order_id", "unique_customers": "customer_id"},
     )
     attributes = products.select(
         "product_id",
@@ -212,11 +238,10 @@ def customer_type_filter(orders: DataFrame, customer_type: str = "PHARMACY") ->
 
 
 def pharmacy_orders(orders: DataFrame) -> DataFrame:
-    return (
-        customer_type_filter(orders)
-        .groupBy("customer_id", "customer_type")
-        .agg(
-            F.countDistinct("order_id").alias("total_orders"),
+    return _grouped(
+        customer_type_filter(orders),
+        ("customer_id", "customer_type"),
+        [
             F.sum("quantity").alias("total_quantity_ordered"),
             sum_exact("total_amount").alias("total_order_value"),
             sum_exact("discounted_amount").alias("total_discounted_value"),
@@ -224,9 +249,12 @@ def pharmacy_orders(orders: DataFrame) -> DataFrame:
             avg_exact("discount_rate", 4).alias("avg_discount_rate"),
             F.min("order_date").alias("first_order_date"),
             F.max("order_date").alias("last_order_date"),
-            F.countDistinct("product_id").alias("unique_products_ordered"),
-            F.countDistinct(month_start("order_date")).alias("active_months"),
-        )
+        ],
+        {
+            "total_orders": "order_id",
+            "unique_products_ordered": "product_id",
+            "active_months": month_start("order_date"),
+        },
     )
 
 
@@ -328,19 +356,25 @@ def gold_pharmacy_performance(
 
 
 def product_orders(orders: DataFrame) -> DataFrame:
-    return orders.groupBy("product_id").agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        F.countDistinct("customer_id").alias("unique_customers"),
-        F.sum("quantity").alias("total_quantity_sold"),
-        sum_exact("total_amount").alias("total_revenue"),
-        sum_exact("discounted_amount").alias("total_discounted_revenue"),
-        F.avg("quantity").alias("avg_quantity_per_order"),
-        avg_exact("total_amount").alias("avg_order_value"),
-        avg_exact("discount_rate", 4).alias("avg_discount_rate"),
-        F.min("order_date").alias("first_order_date"),
-        F.max("order_date").alias("last_order_date"),
-        F.countDistinct(month_start("order_date")).alias("active_months"),
-        F.countDistinct("customer_type").alias("customer_types_count"),
+    return _grouped(
+        orders,
+        ("product_id",),
+        [
+            F.sum("quantity").alias("total_quantity_sold"),
+            sum_exact("total_amount").alias("total_revenue"),
+            sum_exact("discounted_amount").alias("total_discounted_revenue"),
+            F.avg("quantity").alias("avg_quantity_per_order"),
+            avg_exact("total_amount").alias("avg_order_value"),
+            avg_exact("discount_rate", 4).alias("avg_discount_rate"),
+            F.min("order_date").alias("first_order_date"),
+            F.max("order_date").alias("last_order_date"),
+        ],
+        {
+            "total_orders": "order_id",
+            "unique_customers": "customer_id",
+            "active_months": month_start("order_date"),
+            "customer_types_count": "customer_type",
+        },
     )
 
 
@@ -599,31 +633,38 @@ def _value_score(revenue: Column, steps: tuple[int, int, int, int]) -> Column:
 def customer_features(orders: DataFrame, as_of: str, compat: bool = False) -> DataFrame:
     discounted = F.col("discount_rate") > 0
     return (
-        orders.groupBy("customer_id", "customer_type")
-        .agg(
-            F.countDistinct("order_id").alias("total_orders"),
-            F.countDistinct("product_id").alias("unique_products_ordered"),
-            F.sum("quantity").alias("total_quantity_ordered"),
-            sum_exact("total_amount").alias("total_order_value"),
-            sum_exact("discounted_amount").alias("total_discounted_value"),
-            avg_exact("total_amount").alias("avg_order_value"),
-            avg_exact("discount_rate", 4).alias("avg_discount_rate"),
-            F.min("order_date").alias("first_order_date"),
-            F.max("order_date").alias("last_order_date"),
-            F.countDistinct(month_start("order_date")).alias("active_months"),
-            *[
-                count_when(_labelled(column, label, compat)).alias(f"{label.lower().replace(' ', '_')}_orders")
-                for column, label in (
-                    ("volume_tier", "High Volume"),
-                    ("volume_tier", "Medium Volume"),
-                    ("volume_tier", "Low Volume"),
-                    ("order_value_tier", "High Value"),
-                    ("order_value_tier", "Medium Value"),
-                    ("order_value_tier", "Low Value"),
-                )
+        _grouped(
+            orders,
+            ("customer_id", "customer_type"),
+            [
+                F.sum("quantity").alias("total_quantity_ordered"),
+                sum_exact("total_amount").alias("total_order_value"),
+                sum_exact("discounted_amount").alias("total_discounted_value"),
+                avg_exact("total_amount").alias("avg_order_value"),
+                avg_exact("discount_rate", 4).alias("avg_discount_rate"),
+                F.min("order_date").alias("first_order_date"),
+                F.max("order_date").alias("last_order_date"),
+                *[
+                    count_when(_labelled(column, label, compat)).alias(
+                        f"{label.lower().replace(' ', '_')}_orders"
+                    )
+                    for column, label in (
+                        ("volume_tier", "High Volume"),
+                        ("volume_tier", "Medium Volume"),
+                        ("volume_tier", "Low Volume"),
+                        ("order_value_tier", "High Value"),
+                        ("order_value_tier", "Medium Value"),
+                        ("order_value_tier", "Low Value"),
+                    )
+                ],
+                count_when(discounted).alias("discounted_orders"),
+                avg_exact(F.when(discounted, F.col("discount_rate")), 4).alias("avg_discount_when_discounted"),
             ],
-            count_when(discounted).alias("discounted_orders"),
-            avg_exact(F.when(discounted, F.col("discount_rate")), 4).alias("avg_discount_when_discounted"),
+            {
+                "total_orders": "order_id",
+                "unique_products_ordered": "product_id",
+                "active_months": month_start("order_date"),
+            },
         )
         .withColumns(
             {
@@ -660,20 +701,26 @@ FEATURE_ATTRIBUTES = (
 
 
 def product_features(orders: DataFrame, products: DataFrame, compat: bool = False) -> DataFrame:
-    sales = orders.groupBy("product_id").agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        F.countDistinct("customer_id").alias("unique_customers"),
-        F.sum("quantity").alias("total_quantity_sold"),
-        sum_exact("total_amount").alias("total_revenue"),
-        F.avg("quantity").alias("avg_quantity_per_order"),
-        avg_exact("total_amount").alias("avg_order_value"),
-        avg_exact("discount_rate", 4).alias("avg_discount_rate"),
-        F.min("order_date").alias("first_sale_date"),
-        F.max("order_date").alias("last_sale_date"),
-        F.countDistinct(month_start("order_date")).alias("active_sale_months"),
-        count_when(_labelled("volume_tier", "High Volume", compat)).alias("high_volume_orders"),
-        count_when(_labelled("volume_tier", "Medium Volume", compat)).alias("medium_volume_orders"),
-        count_when(_labelled("volume_tier", "Low Volume", compat)).alias("low_volume_orders"),
+    sales = _grouped(
+        orders,
+        ("product_id",),
+        [
+            F.sum("quantity").alias("total_quantity_sold"),
+            sum_exact("total_amount").alias("total_revenue"),
+            F.avg("quantity").alias("avg_quantity_per_order"),
+            avg_exact("total_amount").alias("avg_order_value"),
+            avg_exact("discount_rate", 4).alias("avg_discount_rate"),
+            F.min("order_date").alias("first_sale_date"),
+            F.max("order_date").alias("last_sale_date"),
+            count_when(_labelled("volume_tier", "High Volume", compat)).alias("high_volume_orders"),
+            count_when(_labelled("volume_tier", "Medium Volume", compat)).alias("medium_volume_orders"),
+            count_when(_labelled("volume_tier", "Low Volume", compat)).alias("low_volume_orders"),
+        ],
+        {
+            "total_orders": "order_id",
+            "unique_customers": "customer_id",
+            "active_sale_months": month_start("order_date"),
+        },
     )
     counts = (
         "total_orders",

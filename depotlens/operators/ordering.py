@@ -115,40 +115,36 @@ def range_sorted(df: DataFrame, *order: Column) -> DataFrame:
     return settle(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
 
 
-def _range_offsets(ranged: DataFrame, **totals: Column) -> DataFrame:
-    """Totals of all earlier ranges, one row per range."""
-    per_range = ranged.groupBy("_range").agg(*[value.alias(f"_sum_{name}") for name, value in totals.items()])
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    return per_range.select(
-        "_range",
-        *[F.coalesce(F.sum(f"_sum_{name}").over(earlier), F.lit(0)).alias(f"_before_{name}") for name in totals],
-    )
+def _range_offsets(ranged: DataFrame, **totals: Column) -> dict[str, Column]:
+    """Totals of all earlier ranges for the range of a row; one row per range comes to the driver."""
+    per_range = ranged.groupBy("_range").agg(*[value.alias(name) for name, value in totals.items()])
+    rows = {row["_range"]: row for row in per_range.collect()}
+    offsets = {}
+    for name in totals:
+        before, running = [], 0
+        for number in range(max(rows, default=0) + 1):
+            before.append(running)
+            running += rows[number][name] if number in rows else 0
+        offsets[name] = F.element_at(F.lit(before), F.col("_range") + 1)
+    return offsets
 
 
 def with_position(df: DataFrame, *order: Column, name: str = "position") -> DataFrame:
     """Add the 0-based place of each row in the order; the order must be total."""
     ranged = range_sorted(df, *order)
     inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    return (
-        ranged.withColumn("_inside", inside)
-        .join(_range_offsets(ranged, rows=F.count(F.lit(1))), "_range")
-        .withColumn(name, (F.col("_before_rows") + F.col("_inside") - 1).cast("bigint"))
-        .drop("_range", "_inside", "_before_rows")
-    )
+    before = _range_offsets(ranged, rows=F.count(F.lit(1)))["rows"]
+    return ranged.withColumn(name, (before + inside - 1).cast("bigint")).drop("_range")
 
 
 def running_totals(df: DataFrame, order: Sequence[Column], *values: str) -> DataFrame:
     """Add ``running_<value>``: the sum of the value over all rows up to and including this one."""
     ranged = range_sorted(df, *order)
     upto = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    offsets = _range_offsets(ranged, **{name: F.sum(name) for name in values})
-    out = ranged.withColumns({f"_inside_{name}": F.sum(name).over(upto) for name in values}).join(
-        offsets, "_range"
-    )
-    out = out.withColumns(
-        {f"running_{name}": F.col(f"_before_{name}") + F.col(f"_inside_{name}") for name in values}
-    )
-    return out.drop("_range", *[f"_before_{n}" for n in values], *[f"_inside_{n}" for n in values])
+    before = _range_offsets(ranged, **{name: F.sum(name) for name in values})
+    return ranged.withColumns(
+        {f"running_{name}": before[name] + F.sum(name).over(upto) for name in values}
+    ).drop("_range")
 
 
 def dense_codes(df: DataFrame, column: str, code: str | None = None) -> DataFrame:

@@ -256,14 +256,17 @@ def negative_samples(
     A draw picks ranks among the free products without replacement, and the ranks are then resolved
     to products. No customer-by-product grid is built.
     """
-    catalogue = dense_codes(products, "product_id", "code")
+    catalogue = settle(dense_codes(products, "product_id", "code"))
     positives = settle(
         base.filter(F.col("label") == 1)
         .select("customer_id", "product_id")
+        .distinct()
         .join(catalogue, "product_id", "left")
     )
-    bought = positives.filter(F.col("code").isNotNull()).distinct()
-    free = not_purchased_counts(bought, catalogue).drop("n_bought").filter(F.col("n_free") > 0)
+    bought = positives.filter(F.col("code").isNotNull()).select("customer_id", "code")
+    counts = positives.groupBy("customer_id").agg(F.count("code").alias("n_bought"))
+    free = counts.select("customer_id", (F.lit(catalogue.count()) - F.col("n_bought")).alias("n_free"))
+    free = free.filter(F.col("n_free") > 0)
 
     def draw(slot: Column) -> Column:
         number = hash_number(seed, "customer_id", "product_id", slot)
@@ -286,7 +289,7 @@ def negative_samples(
             F.posexplode(ranks).alias("slot", "free_rank"),
         )
     )
-    placed = nth_missing(bought.select("customer_id", "code"), draws, "customer_id", "code", "free_rank", "code")
+    placed = nth_missing(bought, draws, "customer_id", "code", "free_rank", "code")
     return placed.join(catalogue, "code").select(
         "customer_id",
         "product_id",

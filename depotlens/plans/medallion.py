@@ -9,6 +9,40 @@ from pyspark.sql import DataFrame
 
 from depotlens.operators import gold, silver
 from depotlens.operators.bronze import to_bronze
+from depotlens.session import settle
+
+
+# Silver columns that the reports with distinct counts read.
+REPORT_ORDER_COLUMNS = (
+    "order_id",
+    "customer_id",
+    "customer_type",
+    "product_id",
+    "order_date",
+    "quantity",
+    "total_amount",
+    "discounted_amount",
+    "discount_rate",
+    "volume_tier",
+    "order_value_tier",
+)
+REPORT_STOCK_COLUMNS = (
+    "pharmacy_id",
+    "product_id",
+    "current_stock",
+    "reorder_level",
+    "max_stock",
+    "stock_percentage",
+    "stock_to_reorder_ratio",
+    "days_until_expiry",
+    "days_since_last_restock",
+    "stock_status",
+    "expiry_status",
+    "stock_level_tier",
+    "reorder_alert",
+    "expiry_alert",
+    "low_stock_alert",
+)
 
 
 class Medallion:
@@ -76,20 +110,37 @@ class Medallion:
             self.bronze("substitution_events"), self.bronze("orders"), self.bronze("products"), self.audit
         )
 
+    # Reports read silver more than once, so what they use of it is written first.
+
+    @cached_property
+    def stored_orders(self) -> DataFrame:
+        if "orders" in self._written:
+            return self._written["orders"]
+        return settle(self.orders.select(*REPORT_ORDER_COLUMNS))
+
+    @cached_property
+    def stored_inventory(self) -> DataFrame:
+        if "inventory" in self._written:
+            return self._written["inventory"]
+        return settle(self.inventory.select(*REPORT_STOCK_COLUMNS))
+
     def financial_analytics(self) -> DataFrame:
-        return gold.gold_financial_analytics(self.orders, self.products, self.audit, self.compat)
+        return gold.gold_financial_analytics(self.stored_orders, self.products, self.audit, self.compat)
 
     def pharmacy_performance(self) -> DataFrame:
-        return gold.gold_pharmacy_performance(self.pharmacies, self.orders, self.inventory, self.audit)
+        return gold.gold_pharmacy_performance(
+            self.pharmacies, self.stored_orders, self.inventory, self.audit
+        )
 
     def product_performance(self) -> DataFrame:
-        return gold.gold_product_performance(self.products, self.orders, self.inventory, self.audit)
+        return gold.gold_product_performance(self.products, self.stored_orders, self.inventory, self.audit)
 
     def supply_chain_performance(self) -> DataFrame:
         return gold.gold_supply_chain_performance(self.orders, self.events, self.audit)
 
     def ml_ready_dataset(self, pairs: DataFrame | None = None) -> DataFrame:
-        wanted = gold.related_pairs(self.orders, self.inventory) if pairs is None else pairs
+        orders, inventory = self.stored_orders, self.stored_inventory
+        wanted = gold.related_pairs(orders, inventory) if pairs is None else pairs
         return gold.gold_ml_ready_dataset(
-            wanted, self.orders, self.products, self.inventory, self.as_of, self.audit, self.compat
+            wanted, orders, self.products, inventory, self.as_of, self.audit, self.compat
         )

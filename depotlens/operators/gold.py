@@ -817,11 +817,12 @@ def gold_ml_ready_dataset(
     )
     stock = inventory_features(inventory).withColumnRenamed("pharmacy_id", "customer_id")
     buyer, item = F.col("customer_value_score"), F.col("product_performance_score")
+    # Stock first: it matches on the pair, by which distinct pairs are partitioned already.
     report = (
         pairs.select("customer_id", "product_id")
-        .join(customers, "customer_id")
-        .join(items, "product_id")
         .join(stock, ["customer_id", "product_id"], "left")
+        .join(items, "product_id")
+        .join(customers, "customer_id")
         .withColumns(
             {
                 "is_churn_risk": as_int_flag(F.col("days_since_last_order") > 90),

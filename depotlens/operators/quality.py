@@ -211,13 +211,22 @@ def dq_report(
             parts.append(_failures(dq_unique(tables[table], key), f"{table}.{key}.unique"))
     for child, key, parent, parent_key in foreign_keys:
         if child in tables and parent in tables:
-            found = dq_referential(tables[child], key, tables[parent], parent_key)
-            parts.append(_failures(found, f"{child}.{key}.references_{parent}"))
+            parts.append(
+                _orphans(tables[child], key, tables[parent], parent_key, f"{child}.{key}.references_{parent}")
+            )
     report = parts[0]
     for part in parts[1:]:
         report = report.unionByName(part)
     return _verdict(report)
 
 
+def _orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str, name: str) -> DataFrame:
+    """Number of child rows without a parent; a key that many rows share travels once per task."""
+    counts = child.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    missing = anti_join_fk(counts, key, parent, parent_key)
+    failures = F.coalesce(F.sum("_rows"), F.lit(0).cast("bigint"))
+    return missing.agg(failures.alias("failures")).select(F.lit(name).alias("check"), "failures")
+
+
 def _failures(violations: DataFrame, name: str) -> DataFrame:
     return violations.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("check"), "failures")

@@ -24,6 +24,10 @@ LENIENT_DATES = {
 }
 
 
+# Doubled quotes inside quoted text, and spaces kept, as other tools write and read such files.
+CSV_FORMAT = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists in its own file system (local, HDFS or an object store)."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -31,10 +35,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def scan_csv(
-    spark: SparkSession, path: str, schema: str | None = None, infer: bool = False
+    spark: SparkSession, path: str, schema: str | None = None, infer: bool = False, multi_line: bool = False
 ) -> DataFrame:
-    """Delimited files with a header. A given schema avoids the extra pass that inference needs."""
-    reader = spark.read.option("header", True).option("enforceSchema", False)
+    """Delimited files with a header. A given schema avoids the extra pass that inference needs.
+
+    ``multi_line`` accepts line breaks inside quoted text, at the price of one task per file.
+    """
+    reader = spark.read.options(header=True, enforceSchema=False, multiLine=multi_line, **CSV_FORMAT)
     if schema and not infer:
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", True).csv(path)

@@ -17,7 +17,10 @@ from depotlens.operators.inventory import (
     store_attributes_from_pharmacies,
     warehouses_from_pharmacies,
 )
+from depotlens.session import spread
 
+# Tables of long texts, whose work per row is worth a shuffle.
+TEXT_TABLES = ("documents", "pages")
 AS_OF = "2001-08-02"
 EVENTS_AS_OF = "2024-01-31"
 
@@ -42,7 +45,9 @@ class StarSchemaFeeds:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A given table; a table of texts is spread if the scan has fewer tasks than cores."""
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread(df) if name in TEXT_TABLES else df
 
     def __getitem__(self, name: str) -> DataFrame:
         return getattr(self, name)

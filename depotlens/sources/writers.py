@@ -7,8 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlens.operators.documents import nest_fields, ocr_documents
-from depotlens.sources.readers import RAW_PREFIX, add_lineage
+from depotlens.operators.documents import nest_fields, nested_fields, ocr_documents
+from depotlens.sources.readers import CSV_FORMAT, RAW_PREFIX, add_lineage
 
 
 def write_raw(
@@ -42,7 +42,7 @@ def verify_counts(spark: SparkSession, *tables: str) -> DataFrame:
 def write_csv_all(tables: Mapping[str, DataFrame], folder: str, mode: str = "overwrite") -> None:
     """Each table as ``<folder>/<name>.csv``, a directory of part files with headers."""
     for name, df in tables.items():
-        df.write.mode(mode).option("header", True).csv(f"{folder}/{name}.csv")
+        df.write.mode(mode).options(header=True, **CSV_FORMAT).csv(f"{folder}/{name}.csv")
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -67,6 +67,16 @@ def write_ocr_json(pages: DataFrame, path: str, mode: str = "overwrite") -> None
     ocr_documents(pages).write.mode(mode).json(path)
 
 
-def write_field_json(fields: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One folder per document with its nested JSON; rows without doc_id are left out."""
-    nest_fields(fields).write.mode(mode).partitionBy("doc_id").text(path)
+def write_field_json(
+    fields: DataFrame, path: str, mode: str = "overwrite", folder_per_document: bool = False
+) -> None:
+    """Nested JSON of every row with a doc_id.
+
+    One document per line, led by its doc_id, so that the number of files follows the data volume.
+    ``folder_per_document`` writes ``doc_id=<id>/`` folders instead, for small hand-over packages.
+    """
+    kept = fields.filter(F.col("doc_id").isNotNull())
+    if folder_per_document:
+        nest_fields(kept).write.mode(mode).partitionBy("doc_id").text(path)
+    else:
+        kept.select(F.col("doc_id"), nested_fields(kept).alias("d")).select("doc_id", "d.*").write.mode(mode).json(path)

@@ -114,8 +114,10 @@ def test_json_documents(spark, tmp_path):
     writers.write_ocr_json(pages, str(out / "ocr"))
     again = readers.scan_json_docs(spark, str(out / "ocr"), lines=True)
     assert again.count() == 1 and again.first().pages[0].text == "Rx #AB123"
+    writers.write_field_json(extract_fields(pages), str(out / "folders"), folder_per_document=True)
+    assert (out / "folders" / "doc_id=d1").is_dir()
     writers.write_field_json(extract_fields(pages), str(out / "fields"))
-    assert (out / "fields" / "doc_id=d1").is_dir()
+    assert spark.read.json(str(out / "fields")).first().prescription_number == "AB123"
     assert json.loads(nested_documents(pages).first().json)["prescription_number"] == "AB123"
 
 

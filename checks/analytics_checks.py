@@ -316,13 +316,11 @@ def _negatives(feeds):
 
 
 def _als_recommendations(feeds):
-    return flows.factor_recommendations(layers(feeds).interactions, 10, factors=16, iterations=5)
+    return flows.factor_recommendations(layers(feeds).interactions)
 
 
 def _als_all_items(feeds):
-    return flows.factor_recommendations(
-        layers(feeds).interactions, 10, factors=16, iterations=5, filter_seen=False
-    )
+    return flows.factor_recommendations(layers(feeds).interactions, filter_seen=False)
 
 
 RANKER_ATTRIBUTES = ("product_id", "category", "price_tier", "unit_price", "is_prescription", "lead_time_days")
@@ -330,7 +328,7 @@ RANKER_ATTRIBUTES = ("product_id", "category", "price_tier", "unit_price", "is_p
 
 def _ranked(feeds):
     items = layers(feeds).products.select(*RANKER_ATTRIBUTES)
-    return flows.ranker_recommendations(_base(feeds), items, iterations=5)
+    return flows.ranker_recommendations(_base(feeds), items)
 
 
 def _ranker_rows(feeds):

@@ -6,11 +6,16 @@ from checks.feeds_sql import AS_OF, CTE, EVENTS_AS_OF, avg_exact, days, query, r
 from depotlens.operators import gold, silver
 from depotlens.operators.bronze import BRONZE_MODELS, FIXED_PROJECTION, to_bronze
 from depotlens.plans.medallion import Medallion
+from depotlens.session import settle
 from depotlens.sources.star_schema import AS_OF as TODAY
 from depotlens.sources.star_schema import EVENTS_AS_OF as EVENTS_TODAY
 from depotlens.sources.star_schema import StarSchemaFeeds
 
 BRONZE_TABLES = list(BRONZE_MODELS)
+FULFILLMENT_COLUMNS = (
+    "order_id customer_id customer_type product_id order_date expected_delivery actual_delivery order_status "
+    "shipping_method total_amount quantity delivery_performance delivery_delay_days volume_tier order_value_tier"
+).split()
 
 
 def layers(feeds: StarSchemaFeeds, compat: bool = False) -> Medallion:
@@ -506,7 +511,10 @@ CHECKS = {
     "gold_product_performance": (lambda f: layers(f).product_performance(), query(GOLD_PRODUCT)),
     "order_fulfillment": (lambda f: gold.order_fulfillment(layers(f).orders), _select("fulfillment_table")),
     "event_summary": (lambda f: gold.event_summary(layers(f).events), _select("event_table")),
-    "monthly_fulfillment": (lambda f: gold.monthly_fulfillment(layers(f).orders), query(MONTHLY_FULFILLMENT)),
+    "monthly_fulfillment": (
+        lambda f: gold.monthly_fulfillment(settle(layers(f).orders.select(*FULFILLMENT_COLUMNS))),
+        query(MONTHLY_FULFILLMENT),
+    ),
     "gold_supply_chain_performance": (lambda f: layers(f).supply_chain_performance(), query(GOLD_SUPPLY)),
     "customer_features": (
         lambda f: gold.customer_features(layers(f).stored_orders, TODAY),

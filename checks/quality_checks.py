@@ -215,11 +215,11 @@ CHECKS = {
     ),
     "join_products_orders_left": (
         lambda f: join_products_orders_left(
-            f.products.select("product_id"), rolling_cutoff(f.orders, "order_date", TODAY, 30), "quantity"
+            f.products.select("product_id"), rolling_cutoff(f.orders, "order_date", TODAY), "quantity"
         ),
         query(
             f"SELECT p.product_id, quantity FROM raw_products p LEFT JOIN (SELECT * FROM raw_orders WHERE order_date >= {AS_OF} "
-            "- INTERVAL 30 DAY) o ON p.product_id = o.product_id"
+            "- INTERVAL 90 DAY) o ON p.product_id = o.product_id"
         ),
     ),
     "join_sales_stores": (
@@ -251,14 +251,14 @@ CHECKS = {
     "lookup_default": (
         lambda f: lookup_default(
             f.table("part").select(F.col("p_partkey").alias("product_id")),
-            f.products.filter(F.col("product_id") % 3 > 0),
+            id_membership(f.products, _some_products(f), "product_id"),
             "product_id",
             "lead_time_days",
             7,
         ),
         query(
-            "SELECT p_partkey AS product_id, coalesce(lead_time_days, 7) AS lead_time_days FROM part LEFT JOIN "
-            "(SELECT * FROM raw_products WHERE product_id % 3 > 0) ON p_partkey = product_id"
+            "SELECT p_partkey AS product_id, CASE WHEN p_size <= 25 THEN lead_time_days ELSE 7 END AS lead_time_days "
+            "FROM part JOIN raw_products ON p_partkey = product_id"
         ),
     ),
     "prefer_override": (

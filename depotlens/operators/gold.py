@@ -30,6 +30,7 @@ from depotlens.functions.columns import (
     sum_when,
     tier,
 )
+from depotlens.operators.silver import EVENT_CATEGORIES
 
 
 def _labelled(name: str, label: str, compat: bool) -> Column:
@@ -527,19 +528,30 @@ def order_fulfillment(orders: DataFrame) -> DataFrame:
 
 
 def event_summary(events: DataFrame) -> DataFrame:
-    """Per order: distinct events by status, first and last moment, rates in per cent."""
-
-    def with_status(status: str) -> Column:
-        return F.countDistinct(F.when(F.col("status") == status, F.col("event_id")))
-
-    counts = events.groupBy("order_id").agg(
-        F.countDistinct("event_id").alias("total_events"),
-        with_status("SUCCESS").alias("successful_events"),
-        with_status("ERROR").alias("failed_events"),
-        with_status("WARNING").alias("warning_events"),
-        F.min("event_timestamp").alias("first_event_timestamp"),
-        F.max("event_timestamp").alias("last_event_timestamp"),
-        F.countDistinct("event_category").alias("event_categories_count"),
+    """Per order: distinct events by status, first and last moment, rates in per cent.
+
+    Rows are reduced to one per event first; statuses and categories are small fixed vocabularies, so
+    their distinct counts are sums of flags.
+    """
+
+    def seen(condition: Column) -> Column:
+        return F.max(F.when(condition, 1).otherwise(0).cast("bigint"))
+
+    statuses = {"successful_events": "SUCCESS", "failed_events": "ERROR", "warning_events": "WARNING"}
+    categories = [*EVENT_CATEGORIES, "Other"]
+    per_event = events.groupBy("order_id", "event_id").agg(
+        *[seen(F.col("status") == status).alias(name) for name, status in statuses.items()],
+        *[seen(F.col("event_category") == c).alias(f"_category_{i}") for i, c in enumerate(categories)],
+        F.min("event_timestamp").alias("_first"),
+        F.max("event_timestamp").alias("_last"),
+    )
+    kinds = [F.max(f"_category_{i}") for i in range(len(categories))]
+    counts = per_event.groupBy("order_id").agg(
+        F.count("event_id").alias("total_events"),
+        *[F.sum(name).alias(name) for name in statuses],
+        F.min("_first").alias("first_event_timestamp"),
+        F.max("_last").alias("last_event_timestamp"),
+        sum(kinds[1:], kinds[0]).alias("event_categories_count"),
     )
     return counts.withColumns(
         {
@@ -551,24 +563,36 @@ def event_summary(events: DataFrame) -> DataFrame:
 
 
 def monthly_fulfillment(orders: DataFrame) -> DataFrame:
-    def orders_with(name: str) -> Column:
-        return F.countDistinct(F.when(F.col(name) == 1, F.col("order_id")))
+    """Per month: distinct orders by outcome, value, mean delay, customers and products.
 
-    return (
-        order_fulfillment(orders)
-        .groupBy(month_start("order_date").alias("order_month"))
-        .agg(
-            F.countDistinct("order_id").alias("total_orders"),
-            orders_with("is_delivered").alias("delivered_orders"),
-            orders_with("is_on_time_delivery").alias("on_time_orders"),
-            orders_with("is_cancelled").alias("cancelled_orders"),
-            orders_with("is_significantly_delayed").alias("significantly_delayed_orders"),
-            sum_exact("total_amount").alias("total_order_value"),
-            F.avg("delivery_delay_days").alias("avg_delivery_delay_days"),
-            F.countDistinct("customer_id").alias("unique_customers"),
-            F.countDistinct("product_id").alias("unique_products"),
-        )
+    Lines are reduced to one row per month and order first, which makes the order counts sums of flags.
+    """
+    outcomes = {
+        "delivered_orders": "is_delivered",
+        "on_time_orders": "is_on_time_delivery",
+        "cancelled_orders": "is_cancelled",
+        "significantly_delayed_orders": "is_significantly_delayed",
+    }
+    lines = order_fulfillment(orders).withColumn("order_month", month_start("order_date"))
+    per_order = lines.groupBy("order_month", "order_id").agg(
+        *[F.max(column).alias(name) for name, column in outcomes.items()],
+        sum_exact("total_amount").alias("_value"),
+        F.sum("delivery_delay_days").alias("_delay"),
+        F.count("delivery_delay_days").alias("_delays"),
+    )
+    totals = per_order.groupBy("order_month").agg(
+        F.count("order_id").alias("total_orders"),
+        *[F.sum(name).alias(name) for name in outcomes],
+        sum_exact("_value").alias("total_order_value"),
+        F.try_divide(F.sum("_delay").cast("double"), F.sum("_delays").cast("double")).alias(
+            "avg_delivery_delay_days"
+        ),
+    )
+    people = lines.groupBy(F.col("order_month").alias("_month")).agg(
+        F.countDistinct("customer_id").alias("unique_customers"),
+        F.countDistinct("product_id").alias("unique_products"),
     )
+    return totals.join(people, F.col("order_month").eqNullSafe(F.col("_month"))).drop("_month")
 
 
 def gold_supply_chain_performance(orders: DataFrame, events: DataFrame, audit: bool = True) -> DataFrame:

@@ -170,8 +170,13 @@ def als_implicit(
     seed: int = 42,
     blocks: int | None = None,
 ) -> ALSModel:
-    """Implicit-feedback factors of summed weights with whole-number ids."""
-    ensure_checkpoint_dir(weights.sparkSession)
+    """Implicit-feedback factors of summed weights with whole-number ids.
+
+    The number of blocks follows the session's shuffle partitions unless given.
+    """
+    spark = weights.sparkSession
+    ensure_checkpoint_dir(spark)
+    blocks = blocks or max(10, int(spark.conf.get("spark.sql.shuffle.partitions")))
     als = ALS(
         rank=factors,
         maxIter=iterations,
@@ -182,9 +187,9 @@ def als_implicit(
         itemCol="product_id",
         ratingCol="weight",
         checkpointInterval=5,
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
     )
-    if blocks:
-        als = als.setNumBlocks(blocks)
     return als.fit(weights)
 
 

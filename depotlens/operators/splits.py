@@ -21,8 +21,9 @@ def _time_chains(df: DataFrame, time_column: str, tie_columns: list[str] | None)
     """Hour, second, moment, then a row hash: every table of counts on the way stays small."""
     stamp = F.col(time_column)
     moments = [stamp]
-    if dict(df.dtypes)[time_column] != "date":
-        moments = [F.date_trunc("hour", stamp), F.date_trunc("second", stamp), stamp]
+    kind = dict(df.dtypes)[time_column]
+    if kind != "date":
+        moments = [F.date_trunc(unit, stamp).cast(kind) for unit in ("hour", "second")] + [stamp]
     return [moments, _hash_chain("split", tie_columns or df.columns)]
 
 

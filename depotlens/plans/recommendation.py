@@ -48,8 +48,8 @@ def decoded(recommendations: DataFrame, tables: dict[str, DataFrame]) -> DataFra
 def factor_recommendations(
     interactions: DataFrame,
     k: int = recommend.EVALUATION_K,
-    factors: int = 64,
-    iterations: int = 15,
+    factors: int = 32,
+    iterations: int = 10,
     filter_seen: bool = True,
 ) -> DataFrame:
     """Top k items of every customer by implicit factors, without those already interacted with."""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from depotlens.operators.bronze import to_bronze
-from depotlens.sources.readers import add_lineage
+from depotlens.sources.readers import CSV_FORMAT, add_lineage
 from depotlens.sources.schemas import TABLE_DDL
 
 
@@ -19,8 +19,7 @@ def read_landing(
     """Stream of a table's landed CSV files with the table's own schema."""
     return (
         spark.readStream.schema(TABLE_DDL[table])
-        .option("header", True)
-        .option("maxFilesPerTrigger", files_per_trigger)
+        .options(header=True, maxFilesPerTrigger=files_per_trigger, **CSV_FORMAT)
         .csv(folder)
     )
 

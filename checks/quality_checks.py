@@ -26,6 +26,7 @@ from depotlens.operators.joins import (
 from depotlens.operators.ordering import distinct_first
 from depotlens.operators.silver import not_null_filter, reject_flags
 from depotlens.sources.catalog import layer_of_schema, preview_table
+from depotlens.sources.schemas import TABLE_DDL
 from depotlens.sources.star_schema import AS_OF as TODAY
 
 # A parent that misses half of the products, so that references break.
@@ -40,12 +41,15 @@ SOME = "(SELECT p_partkey AS product_id, p_name FROM part WHERE p_size <= 25)"
 
 
 
-def _report(feeds):
-    names = ("pharmacies", "hospitals", "products", "orders", "inventory", "supply_chain_events", "suppliers")
+# Tables with column rules, and the parent they need.
+RULED_TABLES = (*quality.RAW_RULES, "suppliers")
+
+
+def _report(feeds, names=RULED_TABLES):
     return quality.dq_report({name: feeds[name] for name in names})
 
 
-def _report_sql() -> str:
+def _report_sql(names=RULED_TABLES) -> str:
     parts = []
 
     def add(name: str, source: str, condition: str) -> None:
@@ -63,7 +67,7 @@ def _report_sql() -> str:
             parts.append(
                 f"SELECT '{table}.{key}.unique', count(*) FROM (SELECT {key} FROM raw_{table} GROUP BY 1 HAVING count(*) > 1)"
             )
-    known = set(quality.RAW_RULES) | {"suppliers"}
+    known = set(names)
     for child, key, parent, parent_key in quality.FOREIGN_KEYS:
         if child in known and parent in known:
             add(
@@ -347,6 +351,7 @@ CHECKS = {
         ).replace("\nWITH x AS", ",\nx AS"),
     ),
     "dq_report": (_report, query(_report_sql())),
+    "dq_report_all_tables": (lambda f: _report(f, tuple(TABLE_DDL)), query(_report_sql(tuple(TABLE_DDL)))),
     # dashboards and small analytics
     "dash_total_orders": (
         lambda f: insights.row_counter(layers(f).orders, "orders"),

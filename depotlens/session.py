@@ -69,10 +69,7 @@ def spread(df: DataFrame) -> DataFrame:
     """Give a scan of few files at least one task per core.
 
     A file of one row group is read by one task, which would then do all the work up to the next
-    shuffle. A table of many files, as on a cluster, is returned as it is.
+    shuffle. A scan of many splits, as on a cluster, is returned as it is.
     """
-    context = df.sparkSession.sparkContext
-    files = len(df.inputFiles())
-    if files >= context.defaultParallelism:
-        return df
-    return df.repartition(context.defaultParallelism)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

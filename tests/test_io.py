@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from depotlens.operators.bronze import BRONZE_MODELS, to_bronze
 from depotlens.plans.medallion import Medallion
 from depotlens.plans.prescriptions import extract_fields, nested_documents
-from depotlens.session import checkpoint_folder, settle
+from depotlens.session import checkpoint_folder, settle, spread
 from depotlens.sources import catalog, readers, writers
 from depotlens.sources.schemas import TABLE_COLUMNS, TABLE_DDL
 from depotlens.sources.star_schema import AS_OF, StarSchemaFeeds
@@ -100,6 +100,13 @@ def test_parquet_and_settled_frames(spark, tmp_path):
     assert checkpoint_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_small_scans_are_spread_and_large_ones_left_alone(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores
+    many = spark.range(0, 100, 1, cores + 3)
+    assert spread(many) is many
+
+
 def test_json_documents(spark, tmp_path):
     (tmp_path / "d1.json").write_text(json.dumps({"doc_id": "d1", "pages": [{"page": 1, "text": "Rx #AB123"}]}, indent=1))
     (tmp_path / "d2.json").write_text(json.dumps({"pages": []}))

@@ -38,3 +38,31 @@ def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
 
 KEY = ["key_id", "key_hash"]
+
+
+def runs(batches, keys: list[str]):
+    """Arrow tables of consecutive rows with equal integer keys, over the batches of one sorted partition."""
+    import numpy as np
+    import pyarrow as pa
+
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        changed = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            changed[1:] |= c[1:] != c[:-1]
+        head = tuple(c[0] for c in columns)
+        if held and head != last:
+            yield pa.Table.from_batches(held)
+            held = []
+        cuts = [0, *np.flatnonzero(changed).tolist(), batch.num_rows]
+        for start, end in zip(cuts, cuts[1:]):
+            if start:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+        last = tuple(c[-1] for c in columns)
+    if held:
+        yield pa.Table.from_batches(held)

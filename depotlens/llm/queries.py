@@ -4,13 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from depotlens.llm import decontaminate
+from depotlens.llm import decontaminate, language_id, line_dedup, minhash_join, piece_transducer
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document by mixture inference."""
+    return language_id.identify(spark, _table(spark, folder, "documents"))
+
+
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without later occurrences of repeated three-line windows."""
+    return line_dedup.dedup_lines(_table(spark, folder, "documents"))
+
+
+def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document and whether they decode to it."""
+    return piece_transducer.encode_texts(spark, _table(spark, folder, "documents"))
+
+
+def op10_minhash_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return minhash_join.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark contamination of every document."""
     return decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
@@ -45,6 +65,22 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN places USING (r) LEFT JOIN lists USING (r)
 """
 
+OP6_SQL = """
+WITH d AS (SELECT doc_id, text, str_split(text, chr(10)) AS l FROM documents),
+windows AS (SELECT doc_id, s, l[s] AS x, l[s + 1] AS y, l[s + 2] AS z FROM d, unnest(range(1, len(l) - 1)) t(s)),
+placed AS (SELECT doc_id, s, row_number() OVER (PARTITION BY x, y, z ORDER BY doc_id, s) AS k FROM windows),
+gone AS (SELECT DISTINCT doc_id, p FROM placed, unnest(range(s, s + 3)) t(p) WHERE k > 1),
+lists AS (SELECT doc_id, list(p) AS gone FROM gone GROUP BY doc_id)
+SELECT doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_removed,
+  CASE WHEN gone IS NULL THEN text
+       ELSE array_to_string([l[i] FOR i IN range(1, len(l) + 1) IF NOT list_contains(gone, i)], chr(10)) END AS text
+FROM d LEFT JOIN lists USING (doc_id)
+"""
+
 CHECKS = {
+    "op2_language_id": (op2_language_id, None),
+    "op6_line_dedup": (op6_line_dedup, OP6_SQL),
+    "op8_sentencepiece": (op8_sentencepiece, None),
+    "op10_minhash_join": (op10_minhash_join, None),
     "op9_decontaminate": (op9_decontaminate, OP9_SQL),
 }

@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from depotlens.llm import decontaminate, language_id, line_dedup, minhash_join, piece_transducer
+from depotlens.llm import decontaminate, language_id, line_dedup, minhash_join, piece_transducer, topk_search
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 best inner products, in 1024ths a component, of every hundredth vector with all others."""
+    vectors = _table(spark, folder, "embeddings").select("vec_id", topk_search.quantised(F.col("embedding")).alias("numbers"))
+    return topk_search.search(vectors.where("vec_id % 100 = 0"), vectors, k=10)
+
+
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document by mixture inference."""
     return language_id.identify(spark, _table(spark, folder, "documents"))
@@ -65,6 +72,18 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN places USING (r) LEFT JOIN lists USING (r)
 """
 
+OP1_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS n FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.n::DOUBLE[], c.n::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.n) = len(c.n)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM scores)
+SELECT query_id, k::INTEGER AS rank, vec_id, score FROM ranked WHERE k <= 10
+"""
+
 OP6_SQL = """
 WITH d AS (SELECT doc_id, text, str_split(text, chr(10)) AS l FROM documents),
 windows AS (SELECT doc_id, s, l[s] AS x, l[s + 1] AS y, l[s + 2] AS z FROM d, unnest(range(1, len(l) - 1)) t(s)),
@@ -78,6 +97,7 @@ FROM d LEFT JOIN lists USING (doc_id)
 """
 
 CHECKS = {
+    "op1_topk_search": (op1_topk_search, OP1_SQL),
     "op2_language_id": (op2_language_id, None),
     "op6_line_dedup": (op6_line_dedup, OP6_SQL),
     "op8_sentencepiece": (op8_sentencepiece, None),

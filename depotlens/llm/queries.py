@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlens.llm import decontaminate, language_id, line_dedup, minhash_join, piece_transducer, topk_search, toxicity
+from depotlens.llm import decontaminate, language_id, line_dedup, lm_scoring, minhash_join, piece_transducer, topk_search, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(spark, _table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Base and neural log-probability of every document."""
+    return lm_scoring.score_texts(spark, _table(spark, folder, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without later occurrences of repeated three-line windows."""
     return line_dedup.dedup_lines(_table(spark, folder, "documents"))
@@ -105,6 +110,7 @@ CHECKS = {
     "op1_topk_search": (op1_topk_search, OP1_SQL),
     "op2_language_id": (op2_language_id, None),
     "op3_toxicity": (op3_toxicity, None),
+    "op4_lm_scoring": (op4_lm_scoring, None),
     "op6_line_dedup": (op6_line_dedup, OP6_SQL),
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op10_minhash_join": (op10_minhash_join, None),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlens.llm import decontaminate, language_id, line_dedup, lm_scoring, minhash_join, piece_transducer, topk_search, toxicity
+from depotlens.llm import decontaminate, html_consensus, language_id, line_dedup, lm_scoring, minhash_join, piece_transducer, topk_search, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -33,6 +33,11 @@ def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm_scoring.score_texts(spark, _table(spark, folder, "documents"))
 
 
+def op5_html_consensus(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html_consensus.extract_main_text(_table(spark, folder, "pages"))
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without later occurrences of repeated three-line windows."""
     return line_dedup.dedup_lines(_table(spark, folder, "documents"))
@@ -94,6 +99,19 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, k::INTEGER AS rank, vec_id, score FROM ranked WHERE k <= 10
 """
 
+# Holds for the given pages: one article each, blocks of p and h1, and no references but these.
+OP5_SQL = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS body FROM pages),
+parts AS (
+  SELECT page_id, url, list_transform(string_split_regex(body, '</?(p|h1)>'), lambda x: regexp_replace(x, '<[^>]*>', '', 'g')) AS l
+  FROM a),
+plain AS (
+  SELECT page_id, url, list_transform(l, lambda x: trim(regexp_replace(regexp_replace(replace(replace(replace(replace(
+    x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS l FROM parts),
+texts AS (SELECT page_id, url, array_to_string(list_filter(l, lambda x: x <> ''), chr(10)) AS text FROM plain)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars, 'body>article' AS host_path FROM texts
+"""
+
 OP6_SQL = """
 WITH d AS (SELECT doc_id, text, str_split(text, chr(10)) AS l FROM documents),
 windows AS (SELECT doc_id, s, l[s] AS x, l[s + 1] AS y, l[s + 2] AS z FROM d, unnest(range(1, len(l) - 1)) t(s)),
@@ -111,6 +129,7 @@ CHECKS = {
     "op2_language_id": (op2_language_id, None),
     "op3_toxicity": (op3_toxicity, None),
     "op4_lm_scoring": (op4_lm_scoring, None),
+    "op5_html_consensus": (op5_html_consensus, OP5_SQL),
     "op6_line_dedup": (op6_line_dedup, OP6_SQL),
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op10_minhash_join": (op10_minhash_join, None),

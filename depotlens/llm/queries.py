@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlens.llm import decontaminate, html_consensus, language_id, line_dedup, lm_scoring, minhash_join, piece_transducer, topk_search, toxicity
+from depotlens.llm import decontaminate, html_consensus, language_id, line_dedup, lm_scoring, minhash_join, piece_transducer, topk_search, toxicity, warc_chunks
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -43,6 +43,11 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, folder, "documents"))
 
 
+def op7_warc_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    return warc_chunks.archive_round_trip(spark, _table(spark, folder, "pages"))
+
+
 def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document and whether they decode to it."""
     return piece_transducer.encode_texts(spark, _table(spark, folder, "documents"))
@@ -124,6 +129,16 @@ SELECT doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, coalesce(len(gone), 0)::B
 FROM d LEFT JOIN lists USING (doc_id)
 """
 
+OP7_SQL = """
+WITH p AS (
+  SELECT page_id, url, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to, url
+FROM f
+"""
+
 CHECKS = {
     "op1_topk_search": (op1_topk_search, OP1_SQL),
     "op2_language_id": (op2_language_id, None),
@@ -131,6 +146,7 @@ CHECKS = {
     "op4_lm_scoring": (op4_lm_scoring, None),
     "op5_html_consensus": (op5_html_consensus, OP5_SQL),
     "op6_line_dedup": (op6_line_dedup, OP6_SQL),
+    "op7_warc_chunks": (op7_warc_chunks, OP7_SQL),
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op10_minhash_join": (op10_minhash_join, None),
     "op9_decontaminate": (op9_decontaminate, OP9_SQL),

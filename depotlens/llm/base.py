@@ -23,15 +23,16 @@ def lower_ascii(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(folded)
 
 
-def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Columns doc_id, text and the join key (key_id, key_hash) of a row.
+def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
+    """Columns doc_id, text and the join key (key_id, key_hash) of a row; with ``whole``, also the row itself.
 
     The key is never null, tells apart rows that share an id but not a text, and is the same for
-    rows that repeat both. Other columns are left behind, so their names cannot clash.
+    rows that repeat both. Other columns are left behind or inside ``row``, so their names cannot clash.
     """
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).select(
-        "doc_id",
-        "text",
+    kept = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if whole else []
+    named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), *kept)
+    return named.select(
+        "*",
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1)).alias("key_id"),
         F.xxhash64("text", F.col("text").isNull(), F.col("doc_id").isNull()).alias("key_hash"),
     )

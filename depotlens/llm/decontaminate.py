@@ -163,7 +163,13 @@ def contamination(
     words but are not counted; repeated items count once. Rows that repeat a document get equal results.
     An empty table of items leaves every document clean.
     """
-    rows = keyed(docs, doc_id, text)
+    return judged(keyed(docs, doc_id, text), items, item_id, item_text, window, share).drop(*KEY)
+
+
+def judged(
+    rows: DataFrame, items: DataFrame, item_id: str = "item_id", item_text: str = "text", window: int = 13, share: int = 20
+) -> DataFrame:
+    """The columns of ``contamination`` and the key, for rows made by ``keyed``."""
     phrases = settle(phrases_of(items, item_id, item_text, window))
     plans, index = build_index(rows, phrases, window=window)
     found = settle(find_phrases(plans, index, window=window))
@@ -176,6 +182,7 @@ def contamination(
     n_hit = F.coalesce("n_hit", F.lit(0).cast("bigint"))
     listed = F.coalesce("ids", F.array().cast("array<string>"))
     return counted.withColumn("n_words", F.greatest("n_words", F.lit(0))).join(hits, KEY, "left").select(
+        *KEY,
         "doc_id",
         "n_words",
         n_hit.alias("n_hit"),

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, MapType, StringType
 
 from depotlens.llm.base import remainder
 
@@ -212,20 +213,20 @@ def identify(
     lang: str = "lang",
     held_out: int = 2,
     divisor: int = 4,
+    whole: bool = False,
 ) -> DataFrame:
     """Predicted language of every text; learns from rows whose id is not held out and has a label.
 
-    Returns doc_id, held_out, lang_pred, score and shares (language -> proportion). A null text, a text
-    without letters, and every text where nothing could be learned, gets ``und`` and score 0. Repeated
-    rows get equal results; an empty table gives an empty one.
+    Returns doc_id, held_out, lang_pred, score and shares (language -> proportion), and with ``whole`` the
+    input row as a struct. A null text, a text without letters, and every text where nothing could be
+    learned, gets ``und`` and score 0. Repeated rows get equal results; an empty table gives an empty one.
     """
+    kept = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if whole else []
     rows = docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).alias("lang")
+        F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).alias("lang"), *kept
     ).withColumn("held_out", remainder(F.col("doc_id"), divisor) == held_out)
     langs, table = learn(rows.where(~F.col("held_out")).select("text", "lang"))
     model = spark.sparkContext.broadcast((langs, table))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "held_out", "text").mapInArrow(
-        _predictor(model),
-        f"doc_id {kind}, held_out boolean, lang_pred string, score double, shares map<string,double>",
-    )
+    given = rows.select("doc_id", "held_out", "text", *(["row"] if whole else []))
+    made = given.drop("text").schema.add("lang_pred", "string").add("score", "double").add("shares", MapType(StringType(), DoubleType()))
+    return given.mapInArrow(_predictor(model), made)

@@ -55,17 +55,17 @@ def covered_lines(later: DataFrame, window: int = 3) -> DataFrame:
 
 
 def dedup_lines(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", window: int = 3
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", window: int = 3, whole: bool = False
 ) -> DataFrame:
     """Texts without the later occurrences of repeated windows of ``window`` lines.
 
-    Returns doc_id, n_lines, n_removed and text. Lines end at a line feed and are compared as they are, case
+    Returns doc_id, n_lines, n_removed and text, and with ``whole`` the input row as a struct. Lines end at a line feed and are compared as they are, case
     and spaces included. The first occurrence, by doc_id and position, stays; a row that repeats an earlier
     row in id and text counts as the same occurrence and stays as well. Rows of null id come first. A null
     text has 0 lines and stays null, an empty text has one empty line. A text that loses all its lines
     becomes empty.
     """
-    rows = keyed(docs, doc_id, text)
+    rows = keyed(docs, doc_id, text, whole)
     windows = settle(window_table(rows, window))
     gone = covered_lines(later_occurrences(windows), window)
     held = rows.join(gone, KEY, "left").withColumn("lines", F.split("text", "\n"))
@@ -76,4 +76,5 @@ def dedup_lines(
         F.greatest(F.coalesce(F.size("lines"), F.lit(0)), F.lit(0)).cast("bigint").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"),
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")).alias("text"),
+        *(["row"] if whole else []),
     )

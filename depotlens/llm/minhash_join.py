@@ -204,7 +204,7 @@ def _in_tiles(rows: DataFrame) -> DataFrame:
     return rows.repartition(*TILE).sortWithinPartitions(*TILE)
 
 
-def links_between(docs: DataFrame, sketches: DataFrame, width: int, percent: int) -> DataFrame:
+def links_between(rows: DataFrame, sketches: DataFrame, width: int, percent: int) -> DataFrame:
     """Confirmed links (u, v) between shingle sets, a spanning forest of each tile."""
     nodes = settle(
         sketches.where(F.col("set_id").isNotNull())
@@ -214,7 +214,7 @@ def links_between(docs: DataFrame, sketches: DataFrame, width: int, percent: int
     tile_rows = "list_id long, lo int, hi int, own int, coordinate int, set_id binary"
     near = settle(_in_tiles(_tiles(nodes, percent)).mapInArrow(_screen(percent), tile_rows))
     wanted = nodes.join(near.select("set_id").distinct(), "set_id", "left_semi").select("set_id", "row.*")
-    texts = keyed(docs).join(wanted, KEY).select("set_id", "text")
+    texts = rows.join(wanted, KEY).select("set_id", "text")
     sets = settle(texts.mapInArrow(_shingler(width), "set_id binary, shingles binary"))
     full = near.join(nodes.drop("row"), "set_id").join(sets, "set_id")
     return _in_tiles(full).mapInArrow(_confirm(percent), "u binary, v binary")
@@ -230,7 +230,11 @@ def near_duplicates(
     one without words has an empty set and stands alone. Rows of null id get the smallest known id of their
     group, or null and kept if there is none. Repeated rows get equal results, an empty table an empty one.
     """
-    rows = keyed(docs, doc_id, text)
+    return groups(keyed(docs, doc_id, text), width, percent).drop(*KEY)
+
+
+def groups(rows: DataFrame, width: int = 3, percent: int = 85) -> DataFrame:
+    """The columns of ``near_duplicates`` and the key, for rows made by ``keyed``."""
     made = "doc_id long, key_id long, key_hash long, n long, set_id binary, heads array<int>, tail binary"
     sketches = settle(
         rows.withColumn("doc_id", F.col("doc_id").cast("bigint"))
@@ -246,5 +250,5 @@ def near_duplicates(
     found = sketches.join(of_set, "set_id", "left").withColumn("n_shingles", F.col("n"))
     found = found.withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return found.select(
-        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+        *KEY, "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
     )

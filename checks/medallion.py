@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from checks.feeds_sql import AS_OF, CTE, EVENTS_AS_OF, avg_exact, days, query, ratio, rnd, sum_exact
+from checks.feeds_sql import query
+from checks.layer_sql import (
+    FULFILLMENT_COLUMNS,
+    GOLD_ML,
+    GOLD_PHARMACY,
+    GOLD_PRODUCT,
+    GOLD_SUPPLY,
+    MONTHLY_FULFILLMENT,
+    PRODUCT_FINANCIALS,
+    financial,
+)
 from depotlens.operators import gold, silver
 from depotlens.operators.bronze import BRONZE_MODELS, FIXED_PROJECTION, to_bronze
 from depotlens.plans.medallion import Medallion
@@ -12,10 +22,6 @@ from depotlens.sources.star_schema import EVENTS_AS_OF as EVENTS_TODAY
 from depotlens.sources.star_schema import StarSchemaFeeds
 
 BRONZE_TABLES = list(BRONZE_MODELS)
-FULFILLMENT_COLUMNS = (
-    "order_id customer_id customer_type product_id order_date expected_delivery actual_delivery order_status "
-    "shipping_method total_amount quantity delivery_performance delivery_delay_days volume_tier order_value_tier"
-).split()
 
 
 def layers(feeds: StarSchemaFeeds, compat: bool = False) -> Medallion:
@@ -26,437 +32,6 @@ def layers(feeds: StarSchemaFeeds, compat: bool = False) -> Medallion:
     return out
 
 
-def _flag(condition: str) -> str:
-    return f"coalesce({condition}, false)"
-
-
-def _ladder(cases: list[tuple[str, str]], otherwise: str) -> str:
-    return "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in cases) + f" ELSE {otherwise} END"
-
-
-# --- silver ------------------------------------------------------------------------------
-
-CTE["silver_hospitals"] = f"""
-SELECT * FROM (SELECT *, {_flag('beds < 0')} AS has_negative_beds, {_flag('icu_beds < 0')} AS has_negative_icu_beds,
-  {_flag('monthly_budget < 0')} AS has_negative_budget, {_flag('years_accredited < 0')} AS has_future_accreditation_date,
-  'silver_hospitals' AS silver_model_name
-FROM (SELECT hospital_id, trim(upper(name)) AS hospital_name, trim(upper(hospital_type)) AS hospital_type,
-  trim(upper(address)) AS address, trim(upper(suburb)) AS suburb, trim(upper(state)) AS state,
-  trim(CAST(postcode AS VARCHAR)) AS postcode, phone, lower(trim(email)) AS email, license_number, beds,
-  emergency_department, icu_beds, specialties, accreditation_date,
-  {days('accreditation_date', AS_OF)} / 365 AS years_accredited, monthly_budget, procurement_contact,
-  lower(trim(procurement_email)) AS procurement_email,
-  CASE WHEN beds >= 500 THEN 'Large Hospital' WHEN beds >= 200 THEN 'Medium Hospital'
-    WHEN beds >= 50 THEN 'Small Hospital' ELSE 'Very Small Hospital' END AS hospital_size_tier,
-  CASE WHEN monthly_budget >= 5000000 THEN 'High Budget' WHEN monthly_budget >= 2000000 THEN 'Medium Budget'
-    ELSE 'Low Budget' END AS budget_tier,
-  CASE WHEN emergency_department AND icu_beds > 0 THEN 'Full Service' WHEN emergency_department THEN 'Emergency Only'
-    WHEN icu_beds > 0 THEN 'ICU Only' ELSE 'Basic Service' END AS service_level
-  FROM raw_hospitals))
-WHERE NOT (has_negative_beds OR has_negative_icu_beds OR has_negative_budget OR has_future_accreditation_date)
-  AND hospital_name IS NOT NULL AND state IS NOT NULL"""
-
-CTE["silver_pharmacies"] = f"""
-SELECT * FROM (SELECT *, {_flag('monthly_revenue < 0')} AS has_negative_revenue,
-  {_flag('customer_count < 0')} AS has_negative_customers,
-  {_flag('years_in_operation < 0')} AS has_future_establishment_date, 'silver_pharmacies' AS silver_model_name
-FROM (SELECT pharmacy_id, trim(upper(name)) AS pharmacy_name,
-  CASE WHEN is_chain THEN 'Chain' ELSE 'Independent' END AS pharmacy_type, trim(upper(address)) AS address,
-  trim(upper(suburb)) AS suburb, trim(upper(state)) AS state, trim(CAST(postcode AS VARCHAR)) AS postcode, phone,
-  lower(trim(email)) AS email, license_number, established_date,
-  {days('established_date', AS_OF)} / 365 AS years_in_operation, pharmacist_in_charge, trading_hours,
-  has_consultation_room, has_vaccination_service, monthly_revenue, customer_count,
-  CASE WHEN monthly_revenue >= 300000 THEN 'High Revenue' WHEN monthly_revenue >= 150000 THEN 'Medium Revenue'
-    ELSE 'Low Revenue' END AS revenue_tier,
-  CASE WHEN customer_count >= 3000 THEN 'High Volume' WHEN customer_count >= 1500 THEN 'Medium Volume'
-    ELSE 'Low Volume' END AS customer_volume_tier
-  FROM raw_pharmacies))
-WHERE NOT (has_negative_revenue OR has_negative_customers OR has_future_establishment_date)
-  AND pharmacy_name IS NOT NULL AND state IS NOT NULL"""
-
-CTE["silver_products"] = f"""
-SELECT * FROM (SELECT *, {_flag('unit_price < 0')} AS has_negative_unit_price,
-  {_flag('wholesale_price < 0')} AS has_negative_wholesale_price, {_flag('retail_price < 0')} AS has_negative_retail_price,
-  {_flag('expiry_months < 0')} AS has_negative_expiry_months, {_flag('days_since_created < 0')} AS has_future_created_date,
-  'silver_products' AS silver_model_name
-FROM (SELECT product_id, trim(upper(name)) AS product_name, trim(upper(generic_name)) AS generic_name,
-  trim(upper(category)) AS category, trim(upper(manufacturer)) AS manufacturer, trim(upper(supplier)) AS supplier,
-  pbs_code, atc_code, {rnd('unit_price', 2)} AS unit_price, {rnd('wholesale_price', 2)} AS wholesale_price,
-  {rnd('retail_price', 2)} AS retail_price, is_prescription, is_controlled_substance, requires_cold_chain,
-  trim(upper(storage_type)) AS storage_type, expiry_months, batch_size, minimum_order_quantity, lead_time_days,
-  active_ingredient, dosage_form, pack_size, supplier_id, therapeutic_category, brand, generic_equivalent_id,
-  pack_size_variants, margin_percentage, created_date, last_updated, {days('created_date', AS_OF)} AS days_since_created,
-  CASE WHEN p.unit_price >= 200 THEN 'High Value' WHEN p.unit_price >= 50 THEN 'Medium Value' ELSE 'Low Value' END AS price_tier,
-  CASE WHEN is_prescription AND is_controlled_substance THEN 'Controlled Prescription'
-    WHEN is_prescription THEN 'Prescription Only' ELSE 'Over the Counter' END AS regulatory_class,
-  CASE WHEN requires_cold_chain THEN 'Cold Chain Required' WHEN p.storage_type LIKE '%Frozen%' THEN 'Frozen Storage'
-    WHEN p.storage_type LIKE '%Refrigerated%' THEN 'Refrigerated Storage' ELSE 'Room Temperature' END AS storage_classification,
-  {rnd('p.retail_price - p.wholesale_price', 2)} AS profit_margin,
-  {rnd('(p.retail_price - p.wholesale_price) / nullif(p.retail_price, 0) * 100', 2)} AS profit_margin_percentage
-  FROM raw_products p))
-WHERE NOT (has_negative_unit_price OR has_negative_wholesale_price OR has_negative_retail_price
-  OR has_negative_expiry_months OR has_future_created_date) AND product_name IS NOT NULL AND category IS NOT NULL"""
-
-
-def _silver_orders(delivered: str) -> str:
-    delay = days("o.expected_delivery", "o.actual_delivery")
-    return f"""
-SELECT * FROM (SELECT *, {_flag('quantity < 0')} AS has_negative_quantity, {_flag('unit_price < 0')} AS has_negative_unit_price,
-  {_flag('total_amount < 0')} AS has_negative_total_amount,
-  {_flag('discount_rate < 0 OR discount_rate > 1')} AS has_invalid_discount_rate,
-  {_flag('actual_delivery_days < 0')} AS has_negative_delivery_days, 'silver_orders' AS silver_model_name
-FROM (SELECT order_id, customer_id, trim(upper(customer_type)) AS customer_type, product_id, order_date,
-  expected_delivery, actual_delivery, created_timestamp, quantity, {rnd('o.unit_price', 2)} AS unit_price,
-  {rnd('o.total_amount', 2)} AS total_amount, {rnd('o.discount_rate', 4)} AS discount_rate,
-  {rnd('o.discounted_amount', 2)} AS discounted_amount, trim(upper(order_status)) AS order_status,
-  trim(upper(payment_terms)) AS payment_terms, trim(upper(shipping_method)) AS shipping_method,
-  special_instructions, sales_rep, {days('order_date', 'actual_delivery')} AS actual_delivery_days,
-  {days('order_date', 'expected_delivery')} AS expected_delivery_days, {delay} AS delivery_delay_days,
-  CASE WHEN quantity >= 50 THEN 'High Volume' WHEN quantity >= 20 THEN 'Medium Volume' ELSE 'Low Volume' END AS volume_tier,
-  CASE WHEN o.total_amount >= 10000 THEN 'High Value' WHEN o.total_amount >= 1000 THEN 'Medium Value'
-    ELSE 'Low Value' END AS order_value_tier,
-  CASE WHEN {delivered} AND {delay} <= 0 THEN 'On Time' WHEN {delivered} AND {delay} > 0 THEN 'Late'
-    WHEN {delivered} AND {delay} IS NULL THEN 'Delivered' ELSE 'In Progress' END AS delivery_performance,
-  CASE WHEN o.discount_rate > 0.1 THEN 'High Discount' WHEN o.discount_rate > 0.05 THEN 'Medium Discount'
-    WHEN o.discount_rate > 0 THEN 'Low Discount' ELSE 'No Discount' END AS discount_tier
-  FROM raw_orders o))
-WHERE NOT (has_negative_quantity OR has_negative_unit_price OR has_negative_total_amount OR has_invalid_discount_rate
-  OR has_negative_delivery_days) AND order_id IS NOT NULL AND customer_id IS NOT NULL AND product_id IS NOT NULL"""
-
-
-CTE["silver_orders"] = _silver_orders("trim(upper(o.order_status)) = 'DELIVERED'")
-CTE["literal_orders"] = _silver_orders("o.order_status = 'DELIVERED'")
-
-CTE["silver_inventory"] = f"""
-SELECT *, CASE WHEN days_until_expiry <= 30 THEN 'Expiring Soon' WHEN days_until_expiry <= 60 THEN 'Approaching Expiry'
-    ELSE 'Fresh Stock' END AS expiry_status,
-  CASE WHEN stock_percentage >= 80 THEN 'Overstocked' WHEN stock_percentage >= 50 THEN 'Well Stocked'
-    WHEN stock_percentage >= 20 THEN 'Low Stock' ELSE 'Critical Stock' END AS stock_level_tier,
-  {_flag('days_until_expiry <= 30')} AS expiry_alert, {_flag('stock_percentage <= 10')} AS low_stock_alert,
-  {_flag('days_until_expiry < 0')} AS has_expired_product
-FROM (SELECT inventory_id, pharmacy_id, product_id, current_stock, reorder_level, max_stock, needs_reorder, last_restocked,
-  expiry_date, last_movement_date, updated_timestamp, batch_number, trim(upper(storage_location)) AS storage_location,
-  {rnd('i.cost_per_unit', 2)} AS cost_per_unit, trim(upper(movement_type)) AS movement_type, movement_quantity,
-  {days(AS_OF, 'expiry_date')} AS days_until_expiry,
-  CASE WHEN max_stock > 0 THEN {rnd('current_stock / max_stock * 100', 2)} ELSE 0.0::DOUBLE END AS stock_percentage,
-  CASE WHEN reorder_level > 0 THEN {rnd('current_stock / reorder_level', 2)} END AS stock_to_reorder_ratio,
-  {days('last_restocked', AS_OF)} AS days_since_last_restock,
-  CASE WHEN current_stock <= reorder_level THEN 'Critical Stock' WHEN current_stock <= reorder_level * 1.5 THEN 'Low Stock'
-    WHEN current_stock >= max_stock * 0.8 THEN 'High Stock' ELSE 'Normal Stock' END AS stock_status,
-  {_flag('current_stock <= reorder_level')} AS reorder_alert, {_flag('current_stock < 0')} AS has_negative_stock,
-  {_flag('reorder_level < 0')} AS has_negative_reorder_level, {_flag('max_stock < 0')} AS has_negative_max_stock,
-  {_flag(days('last_restocked', AS_OF) + ' < 0')} AS has_future_restock_date, 'silver_inventory' AS silver_model_name
-  FROM raw_inventory i)
-WHERE NOT (has_negative_stock OR has_negative_reorder_level OR has_negative_max_stock OR has_future_restock_date)
-  AND inventory_id IS NOT NULL AND pharmacy_id IS NOT NULL AND product_id IS NOT NULL"""
-
-
-def _silver_events(status: str, kind: str) -> str:
-    return f"""
-SELECT * FROM (SELECT event_id, order_id, trim(upper(event_type)) AS event_type, event_timestamp,
-  trim(upper(location)) AS location, trim(upper(status)) AS status, description, operator, equipment_id, notes,
-  CAST(CASE {status} WHEN 'SUCCESS' THEN 1 WHEN 'WARNING' THEN 2 WHEN 'ERROR' THEN 3 WHEN 'PENDING' THEN 4
-    ELSE 5 END AS BIGINT) AS status_priority,
-  CASE WHEN {kind} IN ('ORDER_RECEIVED', 'PAYMENT_CONFIRMED') THEN 'Order Processing'
-    WHEN {kind} IN ('PICKING_STARTED', 'PICKING_COMPLETED', 'QUALITY_CHECK', 'PACKAGING') THEN 'Fulfillment'
-    WHEN {kind} IN ('SHIPPED', 'IN_TRANSIT', 'OUT_FOR_DELIVERY') THEN 'Shipping' WHEN {kind} = 'DELIVERED' THEN 'Delivery'
-    WHEN {kind} IN ('DELIVERY_FAILED', 'RETURNED', 'DAMAGED', 'LOST') THEN 'Issues' ELSE 'Other' END AS event_category,
-  CASE {status} WHEN 'SUCCESS' THEN 'Completed' WHEN 'WARNING' THEN 'Attention Required' WHEN 'ERROR' THEN 'Failed'
-    WHEN 'PENDING' THEN 'In Progress' ELSE 'Unknown' END AS status_description,
-  {_flag(f'event_timestamp > {EVENTS_AS_OF}')} AS has_future_timestamp, 'silver_supply_chain_events' AS silver_model_name
-FROM raw_supply_chain_events e)
-WHERE NOT has_future_timestamp AND event_id IS NOT NULL AND order_id IS NOT NULL AND event_type IS NOT NULL"""
-
-
-CTE["silver_events"] = _silver_events("upper(e.status)", "upper(e.event_type)")
-CTE["literal_events"] = _silver_events("e.status", "e.event_type")
-
-CTE["silver_interactions"] = """
-SELECT interaction_id, customer_id, i.product_id,
-  CASE WHEN lower(trim(action_type)) = 'added_to_cart' THEN 'added' ELSE lower(trim(action_type)) END AS action_type,
-  "timestamp" AS interaction_timestamp, session_id, 'silver_reco_interactions' AS silver_model_name
-FROM raw_product_interactions i
-WHERE i.product_id IN (SELECT product_id FROM raw_products) AND interaction_id IS NOT NULL AND customer_id IS NOT NULL
-  AND "timestamp" IS NOT NULL"""
-
-CTE["silver_substitutions"] = f"""
-SELECT substitution_id, order_id, requested_product_id, substituted_product_id, lower(trim(reason)) AS reason,
-  customer_accepted, {rnd('margin_delta', 4)} AS margin_delta, "timestamp" AS substitution_timestamp,
-  'silver_reco_substitutions' AS silver_model_name
-FROM raw_substitution_events
-WHERE order_id IN (SELECT order_id FROM raw_orders) AND requested_product_id IN (SELECT product_id FROM raw_products)
-  AND substituted_product_id IN (SELECT product_id FROM raw_products)"""
-
-# --- gold --------------------------------------------------------------------------------
-
-MONTH = "CAST(date_trunc('month', order_date) AS DATE)"
-
-
-def _discount_tier(rate: str, suffix: str) -> str:
-    return (
-        f"CASE WHEN {rate} >= 0.1 THEN 'High Discount{suffix}' WHEN {rate} >= 0.05 THEN 'Medium Discount{suffix}' "
-        f"WHEN {rate} > 0 THEN 'Low Discount{suffix}' ELSE 'No Discount{suffix}' END"
-    )
-
-
-def _monthly(orders: str, upper: bool) -> str:
-    def units(label: str) -> str:
-        name = label.upper() if upper else label
-        return f"CAST(sum(CASE WHEN volume_tier = '{name}' THEN quantity ELSE 0 END) AS BIGINT)"
-
-    discounted = "CASE WHEN discount_rate > 0 THEN {} END"
-    return f"""
-SELECT {MONTH} AS order_month, customer_type, category AS product_category, price_tier AS product_price_tier,
-  count(DISTINCT order_id) AS total_orders, count(DISTINCT customer_id) AS unique_customers,
-  count(DISTINCT product_id) AS unique_products, CAST(sum(quantity) AS BIGINT) AS total_quantity,
-  {sum_exact('total_amount')} AS gross_revenue, {sum_exact('discounted_amount')} AS net_revenue,
-  {sum_exact('total_amount - discounted_amount')} AS total_discount_amount,
-  {avg_exact('total_amount')} AS avg_gross_order_value, {avg_exact('discounted_amount')} AS avg_net_order_value,
-  {avg_exact('discount_rate', 4)} AS avg_discount_rate, avg(quantity) AS avg_quantity_per_order,
-  {units('High Volume')} AS high_volume_quantity, {units('Medium Volume')} AS medium_volume_quantity,
-  {units('Low Volume')} AS low_volume_quantity, count(CASE WHEN discount_rate > 0 THEN 1 END) AS discounted_orders,
-  coalesce({sum_exact(discounted.format('total_amount'))}, 0) AS discounted_order_value,
-  {avg_exact(discounted.format('discount_rate'), 4)} AS avg_discount_rate_when_discounted
-FROM {orders} LEFT JOIN (SELECT product_id, category, price_tier FROM silver_products) USING (product_id)
-GROUP BY ALL"""
-
-
-CTE["monthly_table"] = _monthly("silver_orders", False)
-CTE["literal_monthly_table"] = _monthly("literal_orders", True)
-
-
-def _financial(source: str) -> str:
-    return f"""
-SELECT * EXCLUDE (avg_quantity_per_order), {ratio('discounted_orders', 'total_orders', 2, 100)} AS discount_percentage,
-  {ratio('total_discount_amount', 'gross_revenue', 2, 100)} AS discount_impact_percentage,
-  {ratio('gross_revenue', 'total_quantity')} AS revenue_per_unit,
-  {ratio('gross_revenue', 'unique_customers')} AS revenue_per_customer,
-  CASE WHEN gross_revenue >= 100000 THEN 'High Revenue Month' WHEN gross_revenue >= 50000 THEN 'Medium Revenue Month'
-    WHEN gross_revenue >= 10000 THEN 'Low Revenue Month' ELSE 'Minimal Revenue Month' END AS monthly_revenue_tier,
-  {_discount_tier('avg_discount_rate', ' Month')} AS monthly_discount_tier,
-  'gold_financial_analytics' AS gold_model_name FROM {source}"""
-
-
-CTE["customer_table"] = f"""
-SELECT *, CASE WHEN lifetime_gross_revenue >= 100000 THEN 'High Value' WHEN lifetime_gross_revenue >= 50000 THEN 'Medium Value'
-    WHEN lifetime_gross_revenue >= 10000 THEN 'Low Value' ELSE 'Minimal Value' END AS customer_value_tier,
-  {_discount_tier('avg_discount_rate', ' User')} AS discount_behavior_tier
-FROM (SELECT customer_id, customer_type, count(DISTINCT order_id) AS total_orders,
-  {sum_exact('total_amount')} AS lifetime_gross_revenue, {sum_exact('discounted_amount')} AS lifetime_net_revenue,
-  {sum_exact('total_amount - discounted_amount')} AS lifetime_discount_amount, {avg_exact('total_amount')} AS avg_order_value,
-  {avg_exact('discount_rate', 4)} AS avg_discount_rate, min(order_date) AS first_order_date, max(order_date) AS last_order_date,
-  count(DISTINCT {MONTH}) AS active_months FROM silver_orders GROUP BY customer_id, customer_type)"""
-
-CTE["product_sales"] = f"""
-SELECT product_id, count(DISTINCT order_id) AS total_orders, count(DISTINCT customer_id) AS unique_customers,
-  CAST(sum(quantity) AS BIGINT) AS total_quantity_sold, {sum_exact('total_amount')} AS total_revenue,
-  {sum_exact('discounted_amount')} AS total_discounted_revenue,
-  {sum_exact('total_amount - discounted_amount')} AS total_discount_amount,
-  avg(quantity) AS avg_quantity_per_order, {avg_exact('total_amount')} AS avg_order_value,
-  {avg_exact('discount_rate', 4)} AS avg_discount_rate, min(order_date) AS first_order_date,
-  max(order_date) AS last_order_date, count(DISTINCT {MONTH}) AS active_months,
-  count(DISTINCT customer_type) AS customer_types_count,
-  count(CASE WHEN volume_tier = 'High Volume' THEN 1 END) AS high_volume_orders,
-  count(CASE WHEN volume_tier = 'Medium Volume' THEN 1 END) AS medium_volume_orders,
-  count(CASE WHEN volume_tier = 'Low Volume' THEN 1 END) AS low_volume_orders
-FROM silver_orders GROUP BY product_id"""
-
-PRODUCT_FINANCIALS = f"""
-SELECT p.product_id, product_name, category, price_tier, unit_price, wholesale_price, retail_price, profit_margin,
-  profit_margin_percentage, coalesce(total_orders, 0) AS total_orders, coalesce(unique_customers, 0) AS unique_customers,
-  total_quantity_sold, total_revenue AS gross_revenue, total_discounted_revenue AS net_revenue, total_discount_amount,
-  avg_discount_rate, {rnd('total_quantity_sold * profit_margin', 2)} AS total_profit,
-  {rnd('avg_quantity_per_order * profit_margin', 4)} AS avg_profit_per_order,
-  CASE WHEN total_revenue >= 50000 THEN 'High Revenue' WHEN total_revenue >= 10000 THEN 'Medium Revenue'
-    WHEN total_revenue > 0 THEN 'Low Revenue' ELSE 'No Sales' END AS revenue_tier,
-  {_discount_tier('avg_discount_rate', '')} AS discount_tier
-FROM silver_products p LEFT JOIN product_sales s ON p.product_id = s.product_id"""
-
-CTE["pharmacy_sales"] = f"""
-SELECT customer_id, customer_type, count(DISTINCT order_id) AS total_orders,
-  CAST(sum(quantity) AS BIGINT) AS total_quantity_ordered, {sum_exact('total_amount')} AS total_order_value,
-  {sum_exact('discounted_amount')} AS total_discounted_value, {avg_exact('total_amount')} AS avg_order_value,
-  {avg_exact('discount_rate', 4)} AS avg_discount_rate, min(order_date) AS first_order_date, max(order_date) AS last_order_date,
-  count(DISTINCT product_id) AS unique_products_ordered, count(DISTINCT {MONTH}) AS active_months
-FROM silver_orders WHERE customer_type = 'PHARMACY' GROUP BY customer_id, customer_type"""
-
-CTE["pharmacy_stock"] = f"""
-SELECT pharmacy_id, count(DISTINCT product_id) AS total_products_in_stock,
-  CAST(sum(current_stock) AS BIGINT) AS total_current_stock, {sum_exact('current_stock * cost_per_unit')} AS total_inventory_value,
-  count(CASE WHEN reorder_alert THEN 1 END) AS products_needing_reorder,
-  count(CASE WHEN expiry_alert THEN 1 END) AS products_expiring_soon, {avg_exact('stock_percentage')} AS avg_stock_percentage
-FROM silver_inventory GROUP BY pharmacy_id"""
-
-
-def _zeros(*names: str, money: bool = False) -> str:
-    zero = "0.0::DOUBLE" if money else "0"
-    return ", ".join(f"coalesce({n}, {zero}) AS {n}" for n in names)
-
-
-GOLD_PHARMACY = f"""
-SELECT p.pharmacy_id, pharmacy_name, pharmacy_type, state, suburb, years_in_operation, revenue_tier, customer_volume_tier,
-  monthly_revenue, customer_count, has_consultation_room, has_vaccination_service,
-  {_zeros('total_orders', 'total_quantity_ordered', 'unique_products_ordered', 'active_months', 'total_products_in_stock',
-          'total_current_stock', 'products_needing_reorder', 'products_expiring_soon')},
-  {_zeros('total_order_value', 'total_discounted_value', 'avg_order_value', 'avg_discount_rate', 'total_inventory_value',
-          'avg_stock_percentage', money=True)},
-  {ratio('o.total_order_value', 'o.total_orders')} AS revenue_per_order,
-  {ratio('o.total_order_value', 'p.customer_count')} AS revenue_per_customer,
-  {ratio('o.total_quantity_ordered', 'o.total_orders')} AS avg_quantity_per_order,
-  {ratio('i.products_needing_reorder', 'i.total_products_in_stock', 2, 100)} AS reorder_percentage,
-  {ratio('i.products_expiring_soon', 'i.total_products_in_stock', 2, 100)} AS expiry_risk_percentage,
-  CASE WHEN o.total_order_value >= 100000 THEN 'High Performer' WHEN o.total_order_value >= 50000 THEN 'Medium Performer'
-    WHEN o.total_order_value > 0 THEN 'Low Performer' ELSE 'No Orders' END AS performance_tier,
-  CASE WHEN i.avg_stock_percentage >= 70 THEN 'Well Stocked' WHEN i.avg_stock_percentage >= 30 THEN 'Adequately Stocked'
-    WHEN i.avg_stock_percentage > 0 THEN 'Under Stocked' ELSE 'No Inventory Data' END AS inventory_health,
-  'gold_pharmacy_performance' AS gold_model_name
-FROM silver_pharmacies p LEFT JOIN pharmacy_sales o ON p.pharmacy_id = o.customer_id
-  LEFT JOIN pharmacy_stock i ON p.pharmacy_id = i.pharmacy_id"""
-
-CTE["product_stock"] = f"""
-SELECT product_id, count(DISTINCT pharmacy_id) AS pharmacies_stocking,
-  CAST(sum(current_stock) AS BIGINT) AS total_stock_across_pharmacies,
-  {sum_exact('current_stock * cost_per_unit')} AS total_inventory_value, avg(current_stock) AS avg_stock_per_pharmacy,
-  {avg_exact('stock_percentage')} AS avg_stock_percentage,
-  count(CASE WHEN reorder_alert THEN 1 END) AS pharmacies_needing_reorder,
-  count(CASE WHEN expiry_alert THEN 1 END) AS pharmacies_with_expiring_stock, avg(days_until_expiry) AS avg_days_until_expiry
-FROM silver_inventory GROUP BY product_id"""
-
-GOLD_PRODUCT = f"""
-SELECT p.product_id, product_name, generic_name, category, manufacturer, supplier, regulatory_class, price_tier,
-  storage_classification, unit_price, wholesale_price, retail_price, profit_margin, profit_margin_percentage,
-  is_prescription, is_controlled_substance, requires_cold_chain, expiry_months, minimum_order_quantity, lead_time_days,
-  {_zeros('total_orders', 'unique_customers', 'total_quantity_sold', 'active_months', 'customer_types_count',
-          'pharmacies_stocking', 'total_stock_across_pharmacies', 'pharmacies_needing_reorder', 'pharmacies_with_expiring_stock')},
-  {_zeros('total_revenue', 'total_discounted_revenue', 'avg_quantity_per_order', 'avg_order_value', 'avg_discount_rate',
-          'total_inventory_value', 'avg_stock_per_pharmacy', 'avg_stock_percentage', 'avg_days_until_expiry', money=True)},
-  {ratio('o.total_revenue', 'o.total_orders')} AS revenue_per_order,
-  {ratio('o.total_orders', 'o.unique_customers')} AS orders_per_customer,
-  {ratio('o.total_revenue', 'o.total_quantity_sold')} AS revenue_per_unit_sold,
-  {ratio('i.pharmacies_needing_reorder', 'i.pharmacies_stocking', 2, 100)} AS reorder_percentage,
-  {ratio('i.pharmacies_with_expiring_stock', 'i.pharmacies_stocking', 2, 100)} AS expiry_risk_percentage,
-  CASE WHEN o.total_revenue >= 50000 THEN 'High Revenue' WHEN o.total_revenue >= 10000 THEN 'Medium Revenue'
-    WHEN o.total_revenue > 0 THEN 'Low Revenue' ELSE 'No Sales' END AS revenue_tier,
-  CASE WHEN o.total_orders >= 100 THEN 'High Volume' WHEN o.total_orders >= 20 THEN 'Medium Volume'
-    WHEN o.total_orders > 0 THEN 'Low Volume' ELSE 'No Orders' END AS volume_tier,
-  CASE WHEN i.pharmacies_stocking >= 50 THEN 'Widely Stocked' WHEN i.pharmacies_stocking >= 10 THEN 'Moderately Stocked'
-    WHEN i.pharmacies_stocking > 0 THEN 'Limited Stock' ELSE 'Not Stocked' END AS distribution_tier,
-  CASE WHEN p.profit_margin_percentage >= 50 THEN 'High Margin' WHEN p.profit_margin_percentage >= 25 THEN 'Medium Margin'
-    WHEN p.profit_margin_percentage > 0 THEN 'Low Margin' ELSE 'No Margin Data' END AS margin_tier,
-  {ratio('o.total_orders', 'o.active_months')} AS avg_orders_per_month,
-  {ratio('o.total_quantity_sold', 'o.active_months')} AS avg_quantity_per_month,
-  'gold_product_performance' AS gold_model_name
-FROM silver_products p LEFT JOIN product_sales o ON p.product_id = o.product_id
-  LEFT JOIN product_stock i ON p.product_id = i.product_id"""
-
-CTE["fulfillment_table"] = """
-SELECT order_id, customer_id, customer_type, product_id, order_date, expected_delivery, actual_delivery, order_status,
-  shipping_method, total_amount, quantity, delivery_performance, delivery_delay_days, volume_tier, order_value_tier,
-  CAST(CASE WHEN order_status = 'DELIVERED' THEN 1 ELSE 0 END AS BIGINT) AS is_delivered,
-  CAST(CASE WHEN order_status = 'DELIVERED' AND delivery_delay_days <= 0 THEN 1 ELSE 0 END AS BIGINT) AS is_on_time_delivery,
-  CAST(CASE WHEN order_status = 'CANCELLED' THEN 1 ELSE 0 END AS BIGINT) AS is_cancelled,
-  CAST(CASE WHEN delivery_delay_days > 7 THEN 1 ELSE 0 END AS BIGINT) AS is_significantly_delayed
-FROM silver_orders"""
-
-
-def _event_summary(source: str) -> str:
-    return f"""
-SELECT *, {ratio('successful_events', 'total_events', 2, 100)} AS event_success_rate,
-  {ratio('failed_events', 'total_events', 2, 100)} AS event_failure_rate,
-  {ratio('warning_events', 'total_events', 2, 100)} AS event_warning_rate
-FROM (SELECT order_id, count(DISTINCT event_id) AS total_events,
-  count(DISTINCT CASE WHEN status = 'SUCCESS' THEN event_id END) AS successful_events,
-  count(DISTINCT CASE WHEN status = 'ERROR' THEN event_id END) AS failed_events,
-  count(DISTINCT CASE WHEN status = 'WARNING' THEN event_id END) AS warning_events,
-  min(event_timestamp) AS first_event_timestamp, max(event_timestamp) AS last_event_timestamp,
-  count(DISTINCT event_category) AS event_categories_count FROM {source} GROUP BY order_id)"""
-
-
-CTE["event_table"] = _event_summary("silver_events")
-
-MONTHLY_FULFILLMENT = f"""
-SELECT {MONTH} AS order_month, count(DISTINCT order_id) AS total_orders,
-  count(DISTINCT CASE WHEN is_delivered = 1 THEN order_id END) AS delivered_orders,
-  count(DISTINCT CASE WHEN is_on_time_delivery = 1 THEN order_id END) AS on_time_orders,
-  count(DISTINCT CASE WHEN is_cancelled = 1 THEN order_id END) AS cancelled_orders,
-  count(DISTINCT CASE WHEN is_significantly_delayed = 1 THEN order_id END) AS significantly_delayed_orders,
-  {sum_exact('total_amount')} AS total_order_value, avg(delivery_delay_days) AS avg_delivery_delay_days,
-  count(DISTINCT customer_id) AS unique_customers, count(DISTINCT product_id) AS unique_products
-FROM fulfillment_table GROUP BY 1"""
-
-GOLD_SUPPLY = f"""
-SELECT f.*, {_zeros('total_events', 'successful_events', 'failed_events', 'warning_events', 'event_categories_count')},
-  first_event_timestamp, last_event_timestamp,
-  {days('first_event_timestamp', 'last_event_timestamp')} * 24 AS fulfillment_duration_hours,
-  event_success_rate, event_failure_rate, event_warning_rate,
-  CASE WHEN is_delivered = 1 AND is_on_time_delivery = 1 THEN 'Excellent' WHEN is_delivered = 1 AND delivery_delay_days <= 2 THEN 'Good'
-    WHEN is_delivered = 1 AND delivery_delay_days <= 7 THEN 'Fair' WHEN is_delivered = 1 THEN 'Poor'
-    WHEN is_cancelled = 1 THEN 'Cancelled' ELSE 'In Progress' END AS overall_performance,
-  CASE WHEN event_success_rate >= 90 THEN 'High Reliability' WHEN event_success_rate >= 70 THEN 'Medium Reliability'
-    WHEN event_success_rate > 0 THEN 'Low Reliability' ELSE 'No Event Data' END AS reliability_tier,
-  CASE WHEN is_significantly_delayed = 1 OR event_failure_rate > 20 THEN 'High Risk'
-    WHEN delivery_delay_days > 3 OR event_failure_rate > 10 THEN 'Medium Risk'
-    WHEN delivery_delay_days > 0 OR event_failure_rate > 0 THEN 'Low Risk' ELSE 'No Risk' END AS risk_level,
-  'gold_supply_chain_performance' AS gold_model_name
-FROM fulfillment_table f LEFT JOIN event_table e ON f.order_id = e.order_id"""
-
-CTE["customer_feature_table"] = f"""
-SELECT *, {days('first_order_date', AS_OF)} AS customer_age_days, {days('last_order_date', AS_OF)} AS days_since_last_order,
-  CASE WHEN total_orders > 0 THEN CAST(total_orders AS DOUBLE) / nullif(active_months, 0) ELSE 0 END AS orders_per_month,
-  CAST(CASE WHEN total_order_value >= 100000 THEN 5 WHEN total_order_value >= 50000 THEN 4 WHEN total_order_value >= 20000 THEN 3
-    WHEN total_order_value >= 5000 THEN 2 ELSE 1 END AS BIGINT) AS customer_value_score
-FROM (SELECT customer_id, customer_type, count(DISTINCT order_id) AS total_orders,
-  count(DISTINCT product_id) AS unique_products_ordered, CAST(sum(quantity) AS BIGINT) AS total_quantity_ordered,
-  {sum_exact('total_amount')} AS total_order_value, {sum_exact('discounted_amount')} AS total_discounted_value,
-  {avg_exact('total_amount')} AS avg_order_value, {avg_exact('discount_rate', 4)} AS avg_discount_rate,
-  min(order_date) AS first_order_date, max(order_date) AS last_order_date, count(DISTINCT {MONTH}) AS active_months,
-  count(CASE WHEN volume_tier = 'High Volume' THEN 1 END) AS high_volume_orders,
-  count(CASE WHEN volume_tier = 'Medium Volume' THEN 1 END) AS medium_volume_orders,
-  count(CASE WHEN volume_tier = 'Low Volume' THEN 1 END) AS low_volume_orders,
-  count(CASE WHEN order_value_tier = 'High Value' THEN 1 END) AS high_value_orders,
-  count(CASE WHEN order_value_tier = 'Medium Value' THEN 1 END) AS medium_value_orders,
-  count(CASE WHEN order_value_tier = 'Low Value' THEN 1 END) AS low_value_orders,
-  count(CASE WHEN discount_rate > 0 THEN 1 END) AS discounted_orders,
-  {avg_exact('CASE WHEN discount_rate > 0 THEN discount_rate END', 4)} AS avg_discount_when_discounted
-FROM silver_orders GROUP BY customer_id, customer_type)"""
-
-CTE["product_feature_table"] = f"""
-SELECT p.product_id, product_name, category, price_tier, regulatory_class, storage_classification, unit_price,
-  profit_margin_percentage, is_prescription, is_controlled_substance, requires_cold_chain, expiry_months,
-  minimum_order_quantity, lead_time_days, {_zeros('total_orders', 'unique_customers')}, total_quantity_sold, total_revenue,
-  avg_quantity_per_order, avg_order_value, avg_discount_rate, first_order_date AS first_sale_date,
-  last_order_date AS last_sale_date, coalesce(active_months, 0) AS active_sale_months,
-  {_zeros('high_volume_orders', 'medium_volume_orders', 'low_volume_orders')},
-  CAST(CASE WHEN total_revenue >= 50000 THEN 5 WHEN total_revenue >= 20000 THEN 4 WHEN total_revenue >= 5000 THEN 3
-    WHEN total_revenue >= 1000 THEN 2 ELSE 1 END AS BIGINT) AS product_performance_score
-FROM silver_products p LEFT JOIN product_sales s ON p.product_id = s.product_id"""
-
-CTE["inventory_feature_table"] = """
-SELECT pharmacy_id, product_id, current_stock, reorder_level, max_stock, stock_percentage, stock_to_reorder_ratio,
-  days_until_expiry, days_since_last_restock, stock_status, expiry_status, stock_level_tier, reorder_alert, expiry_alert,
-  low_stock_alert, CAST(CASE WHEN stock_percentage >= 80 AND days_until_expiry >= 90 THEN 5
-    WHEN stock_percentage >= 60 AND days_until_expiry >= 60 THEN 4 WHEN stock_percentage >= 40 AND days_until_expiry >= 30 THEN 3
-    WHEN stock_percentage >= 20 AND days_until_expiry >= 15 THEN 2 ELSE 1 END AS BIGINT) AS inventory_health_score
-FROM silver_inventory"""
-
-GOLD_ML = """
-SELECT c.* EXCLUDE (first_order_date, last_order_date), p.* EXCLUDE (total_orders, unique_customers, avg_order_value,
-    avg_discount_rate, high_volume_orders, medium_volume_orders, low_volume_orders, first_sale_date, last_sale_date),
-  p.total_orders AS product_total_orders, p.unique_customers AS product_unique_customers,
-  p.avg_order_value AS product_avg_order_value, p.avg_discount_rate AS product_avg_discount_rate,
-  p.high_volume_orders AS product_high_volume_orders, p.medium_volume_orders AS product_medium_volume_orders,
-  p.low_volume_orders AS product_low_volume_orders, i.* EXCLUDE (pharmacy_id, product_id),
-  CAST(CASE WHEN days_since_last_order > 90 THEN 1 ELSE 0 END AS BIGINT) AS is_churn_risk,
-  CAST(CASE WHEN reorder_alert OR expiry_alert THEN 1 ELSE 0 END AS BIGINT) AS needs_attention,
-  CASE WHEN customer_value_score >= 4 AND product_performance_score >= 4 THEN 'High Value'
-    WHEN customer_value_score >= 3 AND product_performance_score >= 3 THEN 'Medium Value' ELSE 'Low Value' END AS customer_product_value_tier,
-  'gold_ml_ready_dataset' AS gold_model_name
-FROM (SELECT customer_id, product_id FROM silver_orders UNION SELECT pharmacy_id, product_id FROM silver_inventory) pairs
-  JOIN customer_feature_table c ON pairs.customer_id = c.customer_id
-  JOIN product_feature_table p ON pairs.product_id = p.product_id
-  LEFT JOIN inventory_feature_table i ON pairs.customer_id = i.pharmacy_id AND pairs.product_id = i.product_id"""
-
-
 def _bronze(table: str):
     return lambda feeds: to_bronze(feeds[table], table, audit=False)
 
@@ -487,10 +62,10 @@ CHECKS = {
         lambda f: gold.monthly_financials(layers(f).stored_orders, layers(f).products),
         _select("monthly_table"),
     ),
-    "gold_financial_analytics": (lambda f: layers(f).financial_analytics(), query(_financial("monthly_table"))),
+    "gold_financial_analytics": (lambda f: layers(f).financial_analytics(), query(financial("monthly_table"))),
     "gold_financial_analytics_literal": (
         lambda f: layers(f, True).financial_analytics(),
-        query(_financial("literal_monthly_table")),
+        query(financial("literal_monthly_table")),
     ),
     "customer_financials": (lambda f: gold.customer_financials(layers(f).stored_orders), _select("customer_table")),
     "product_financials": (

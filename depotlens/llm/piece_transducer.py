@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import hashlib
 import math
-from functools import lru_cache
+import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,10 @@ from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: Distinct words whose shortest paths a task remembers.
-REMEMBERED = 200_000
+#: Distinct parts of words whose shortest paths a task remembers, and pairs of pieces.
+REMEMBERED = 400_000
+#: A run of spaces with the letters and digits, or with the other signs, that follow it.
+PART = re.compile(rf"{SPACE}*[^\W_]+|{SPACE}*(?:[^\w{SPACE}]|_)+|{SPACE}+")
 
 
 def read_model(path: str = MODEL) -> dict:
@@ -82,7 +85,8 @@ class Transducer:
         for sign in list(self.trie):
             self.trie[sign][""] = sign
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.path = lru_cache(REMEMBERED)(self._path)
+        self.recent: dict[str, tuple] = {}
+        self.older: dict[str, tuple] = {}
 
     def __reduce__(self):
         model = [(p, i, -self.order[p]) for p, i in self.ids.items()]
@@ -131,8 +135,19 @@ class Transducer:
             self.pairs[left, right] = known
         return known
 
-    def _path(self, word: str) -> tuple[int, ...]:
-        """Ids on the shortest path through the composition of a normalised input with the machines.
+    def path(self, part: str) -> tuple[tuple[int, ...], str, str]:
+        """Remembered shortest path of a part: its ids, first piece and last piece."""
+        known = self.recent.get(part)
+        if known is None:
+            known = self.older.get(part) or self._path(part)
+            if len(part) < 64:  # long keys are rare and would fill the memory
+                self.recent[part] = known
+                if 2 * len(self.recent) >= REMEMBERED:
+                    self.older, self.recent = self.recent, {}
+        return known
+
+    def _path(self, word: str) -> tuple[tuple[int, ...], str, str]:
+        """Shortest path through the composition of a normalised input with the machines.
 
         All finite paths to a position weigh 0 and end in the same piece, as merging has one outcome, so a
         position keeps the first arc found.
@@ -163,56 +178,69 @@ class Transducer:
                 raise ValueError(f"no path through {word[:at]!r}")
             found.append(piece)
             at -= len(piece)
-        return tuple(i for piece in reversed(found) for i in self._written(piece))
+        return tuple(i for piece in reversed(found) for i in self._written(piece)), found[-1], found[0]
 
     def _written(self, piece: str) -> list[int]:
         known = self.ids.get(piece)
         return [self.octets[b] for b in piece.encode("utf-8", "replace")] if known is None else [known]
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a whole text; an empty text has none."""
+    def parts(self, text: str) -> list[tuple[int, ...]]:
+        """Ids of a whole text, part by part.
+
+        Paths of neighbouring parts are one path if the pieces where they meet may stand side by side;
+        otherwise the parts are composed as one. No piece reaches over a space into what follows it.
+        """
         if not text:
             return []
         line = SPACE + text.replace(" ", SPACE)
         if not self.words_apart:
-            return list(self._path(line))
-        found: list[int] = []
-        gap = ""
-        for word in line.split(SPACE)[1:]:
-            gap += SPACE
-            if word:
-                found.extend(self.path(gap + word) if len(word) + len(gap) < 64 else self._path(gap + word))  # no long keys
-                gap = ""
-        if gap:
-            found.extend(self._path(gap))
+            return [self._path(line)[0]]
+        found: list[tuple[int, ...]] = []
+        names: list[str] = []
+        ends: list[str] = []
+        for part in PART.findall(line):
+            ids, first, last = self.path(part)
+            while names and part[0] != SPACE and not self.follows(ends[-1], first):
+                part = names.pop() + part
+                found.pop(), ends.pop()
+                ids, first, last = self._path(part)
+            found.append(ids), names.append(part), ends.append(last)
         return found
 
+    def encode(self, text: str) -> list[int]:
+        """Ids of a whole text; an empty text has none."""
+        return list(chain.from_iterable(self.parts(text)))
+
     def decode(self, ids: list[int]) -> str:
         """The text of ids: the machines read backwards; bytes that are no UTF-8 become U+FFFD."""
         text = b"".join(map(self.read_back.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")
         return text[1:] if text.startswith(" ") else text
 
 
-def digest(ids: list[int]) -> str:
+def digest(ids: list[int] | np.ndarray) -> str:
     """SHA-256 of ids as little-endian 32-bit numbers."""
-    return hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest()
+    return hashlib.sha256(np.asarray(ids, "<i4").tobytes()).hexdigest()
 
 
 def _encoder(machine):
     def encode(batches):
         made = machine.value
         for batch in batches:
-            columns = {"n": [], "ids": [], "sha": [], "back": []}
-            for text in batch.column("text"):
-                text = text.as_py()
-                ids = made.encode(text) if text is not None else None
-                columns["ids"].append(ids)
-                columns["n"].append(len(ids or ()))
-                columns["sha"].append(None if ids is None else digest(ids))
-                columns["back"].append(None if ids is None else made.decode(ids) == text.replace(SPACE, " "))
+            flat, counts, shas, backs = [], [], [], []
+            for text in batch.column("text").to_pylist():
+                if text is None:
+                    counts.append(None), shas.append(None), backs.append(None)
+                    continue
+                listed = made.encode(text)
+                ids = np.array(listed, np.int32)
+                flat.append(ids), counts.append(len(ids)), shas.append(digest(ids))
+                backs.append(made.decode(listed) == text.replace(SPACE, " "))
+            sizes = np.array([n or 0 for n in counts], np.int32)
+            bounds = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
+            missing = pa.array([n is None for n in counts], pa.bool_())
+            lists = pa.ListArray.from_arrays(bounds, pa.array(np.concatenate([np.empty(0, np.int32), *flat])), mask=missing)
             names = [n for n in batch.schema.names if n != "text"]
-            arrays = [pa.array(columns["n"], pa.int64()), pa.array(columns["ids"], pa.list_(pa.int32()))]
-            arrays += [pa.array(columns["sha"], pa.string()), pa.array(columns["back"], pa.bool_())]
+            arrays = [pa.array(sizes, pa.int64()), lists, pa.array(shas, pa.string()), pa.array(backs, pa.bool_())]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in names), *arrays],
                 names=[*names, "n_tokens", "token_ids", "ids_sha256", "round_trip"],

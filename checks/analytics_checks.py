@@ -315,12 +315,76 @@ def _negatives(feeds):
     return recommend.negative_samples(_base(feeds), layers(feeds).products)
 
 
+def _factors(feeds):
+    """The given vectors in 64ths as factors of users and of items: inner products are whole numbers."""
+    whole = F.transform("embedding", lambda x: F.floor(64 * x.cast("double")).cast("float"))
+    return feeds.table("embeddings").select(F.col("vec_id").alias("id"), whole.alias("features"))
+
+
+def _factor_lists(feeds, seen=None):
+    factors = _factors(feeds)
+    found = recommend.recommend_from_factors(factors, factors, 10, seen)
+    return found.withColumn("score", F.col("score").cast("bigint"))
+
+
+def _pairs_seen(feeds):
+    return layers(feeds).interactions.select("customer_id", "product_id")
+
+
+FACTOR_LISTS = """
+SELECT customer_id, product_id, CAST(score AS BIGINT) AS score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY score DESC, product_id) AS rank FROM (
+    SELECT u.vec_id AS customer_id, i.vec_id AS product_id, list_inner_product(u.v, i.v) AS score FROM vectors u, vectors i {0}))
+WHERE rank <= 10"""
+CTE["vectors"] = "SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings"
+CTE["seen_pairs"] = "SELECT DISTINCT customer_id, product_id FROM silver_interactions"
+UNSEEN = "LEFT JOIN seen_pairs s ON s.customer_id = u.vec_id AND s.product_id = i.vec_id WHERE s.product_id IS NULL"
+
+
+def _list_facts(found, key="customer_id"):
+    """Per user: length of the list, whether ranks run from 1 and scores fall."""
+    entries = F.sort_array(F.collect_list(F.struct("rank", "score", "product_id")))
+    rows = found.groupBy(key).agg(entries.alias("e"))
+    falls = F.forall(F.sequence(F.lit(1), F.size("e") - 1), lambda i: F.get("e", i - 1)["score"] >= F.get("e", i)["score"])
+    return rows.select(
+        key,
+        F.size("e").cast("bigint").alias("n"),
+        (F.size(F.array_distinct("e.product_id")) == F.size("e")).alias("distinct_items"),
+        (F.col("e.rank") == F.sequence(F.lit(1), F.size("e"))).alias("ranks_run"),
+        ((F.size("e") < 2) | falls).alias("scores_fall"),
+    )
+
+
 def _als_recommendations(feeds):
-    return flows.factor_recommendations(layers(feeds).interactions)
+    interactions = layers(feeds).interactions
+    found = flows.factor_recommendations(interactions)
+    new = found.join(interactions, ["customer_id", "product_id"], "left_anti")
+    return _list_facts(new)
 
 
 def _als_all_items(feeds):
-    return flows.factor_recommendations(layers(feeds).interactions, filter_seen=False)
+    return _list_facts(flows.factor_recommendations(layers(feeds).interactions, filter_seen=False))
+
+
+FACTS = "true AS distinct_items, true AS ranks_run, true AS scores_fall"
+LIST_FACTS = f"""
+SELECT customer_id, least(10, (SELECT count(DISTINCT product_id) FROM silver_interactions){{0}})::BIGINT AS n, {FACTS}
+FROM silver_interactions GROUP BY customer_id"""
+
+
+def _risk_rows(feeds):
+    """Every stock row with its label, and whether its score is a probability."""
+    return _risk(feeds)[0].select(
+        "inventory_id", "will_expire_30d", F.col("risk_score").between(0, 1).alias("is_probability")
+    )
+
+
+def _risk_metrics(feeds):
+    """The holdout keeps the share of each class; the other metrics are shares."""
+    names = ("accuracy", "f1", "precision", "recall", "pr_auc")
+    return _risk(feeds)[1].select(
+        F.round("positive_rate", 9).alias("positive_rate"), *[F.col(n).between(0, 1).alias(f"{n}_is_share") for n in names]
+    )
 
 
 RANKER_ATTRIBUTES = ("product_id", "category", "price_tier", "unit_price", "is_prescription", "lead_time_days")
@@ -328,7 +392,7 @@ RANKER_ATTRIBUTES = ("product_id", "category", "price_tier", "unit_price", "is_p
 
 def _ranked(feeds):
     items = layers(feeds).products.select(*RANKER_ATTRIBUTES)
-    return flows.ranker_recommendations(_base(feeds), items)
+    return _list_facts(flows.ranker_recommendations(_base(feeds), items))
 
 
 def _ranker_rows(feeds):
@@ -516,10 +580,20 @@ CHECKS = {
         "round(avg(l_linenumber / l_quantity) * 100, 6) AS mape FROM lineitem WHERE l_quantity > 0",
     ),
     "naive_mean_forecast": (_forecast, query(FORECAST)),
-    "train_writeoff_classifier": (lambda f: _risk(f)[1], None),
+    "train_writeoff_classifier": (
+        _risk_metrics,
+        query(
+            "SELECT round(p / (p + n), 9) AS positive_rate, true AS accuracy_is_share, true AS f1_is_share, true AS precision_is_share, "
+            "true AS recall_is_share, true AS pr_auc_is_share FROM (SELECT round(0.2 * count(*) FILTER (WHERE days_until_expiry BETWEEN 0 "
+            "AND 30))::DOUBLE AS p, round(0.2 * count(*) FILTER (WHERE NOT days_until_expiry BETWEEN 0 AND 30))::DOUBLE AS n FROM silver_inventory)"
+        ),
+    ),
     "predict_writeoff_risk": (
-        lambda f: _risk(f)[0].select("inventory_id", "will_expire_30d", "risk_score"),
-        None,
+        _risk_rows,
+        query(
+            "SELECT inventory_id, CAST(days_until_expiry BETWEEN 0 AND 30 AS BIGINT) AS will_expire_30d, true AS is_probability "
+            "FROM silver_inventory"
+        ),
     ),
     # recommendation
     "training_base": (_base, query("SELECT * FROM base_table")),
@@ -544,7 +618,7 @@ CHECKS = {
         query("SELECT * FROM truth_table"),
     ),
     "cap_users": (
-        lambda f: recommend.cap_users(recommend.purchases_truth(_split(f)[1])),
+        lambda f: recommend.cap_users(recommend.purchases_truth(_split(f)[1]), recommend.EVALUATION_USERS),
         query(
             "SELECT * FROM truth_table WHERE customer_id IN (SELECT DISTINCT customer_id FROM truth_table ORDER BY 1 LIMIT 500)"
         ),
@@ -588,9 +662,24 @@ CHECKS = {
             "FROM silver_products) p ON b.product_id = p.product_id"
         ),
     ),
-    "rank_candidates": (_ranked, None),
-    "recommend_for_users": (_als_recommendations, None),
-    "mf_topk_all_items": (_als_all_items, None),
+    "rank_candidates": (
+        _ranked,
+        query(f"SELECT customer_id, 10::BIGINT AS n, {FACTS} FROM base_table WHERE label = 1 GROUP BY customer_id"),
+    ),
+    "recommend_for_users": (lambda f: _factor_lists(f, _pairs_seen(f)), query(FACTOR_LISTS.format(UNSEEN))),
+    "mf_topk_all_items": (_factor_lists, query(FACTOR_LISTS.format(""))),
+    "recommendation_arrays": (
+        lambda f: recommend.recommendation_arrays(_factor_lists(f)).select(
+            "customer_id", F.array_join("recommended_item_codes", ",").alias("items"), F.array_join("recommended_scores", ",").alias("scores")
+        ),
+        query(
+            "SELECT customer_id, string_agg(product_id, ',' ORDER BY rank) AS items, string_agg(score, ',' ORDER BY rank) AS scores FROM ("
+            + FACTOR_LISTS.format("")
+            + ") GROUP BY customer_id"
+        ),
+    ),
+    "als_recommend_for_users": (_als_recommendations, query(LIST_FACTS.format(" - count(DISTINCT product_id)"))),
+    "als_all_items": (_als_all_items, query(LIST_FACTS.format(""))),
     "ranking_metrics_per_user": (
         lambda f: _rounded(_user_metrics(f), 9, "precision_at_k", "recall_at_k", "ndcg_at_k"),
         query(

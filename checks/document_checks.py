@@ -132,8 +132,7 @@ FROM page_blocks b JOIN page_tokens t ON t.page_id = b.page_id AND t.i > b.start
 WHERE NOT t.is_tag AND t.words <> '' GROUP BY b.page_id, b.start"""
 CTE["page_texts"] = """
 SELECT p.page_id, coalesce(d.text, a.text, '') AS plain FROM pages p
-LEFT JOIN (SELECT page_id, string_agg(text, chr(10) || chr(10) ORDER BY start) AS text FROM (SELECT *, row_number() OVER
-    (PARTITION BY page_id ORDER BY start) AS n FROM block_texts) WHERE n <= 12 GROUP BY page_id) d ON p.page_id = d.page_id
+LEFT JOIN (SELECT page_id, string_agg(text, chr(10) || chr(10) ORDER BY start) AS text FROM block_texts GROUP BY page_id) d ON p.page_id = d.page_id
 LEFT JOIN (SELECT page_id, string_agg(words, ' ' ORDER BY i) AS text FROM page_tokens WHERE NOT is_tag AND words <> ''
     GROUP BY page_id) a ON p.page_id = a.page_id"""
 CTE["page_items"] = r"""
@@ -164,9 +163,7 @@ def _digest(feeds):
 
 DIGEST = f"""
 SELECT CASE WHEN contains(lower(concat_ws(' ', title, replace(tags, ', ', ' '), plain)), '{TOPIC}') THEN 'focus' ELSE 'other' END AS section,
-  coalesce(title, '(untitled)') AS title, url, tags, coalesce(bullets, '') AS bullets,
-  greatest(coalesce(n, 0) - 40, 0) AS omitted_bullets,
-  CASE WHEN length(plain) > 2500 THEN left(plain, 2500) || '…' ELSE plain END AS excerpt
+  coalesce(title, '(untitled)') AS title, url, tags, coalesce(bullets, '') AS bullets, 0::BIGINT AS omitted_bullets, plain AS excerpt
 FROM article_table a JOIN page_texts t ON a.page_id = t.page_id LEFT JOIN page_items i ON a.page_id = i.page_id"""
 
 

@@ -10,10 +10,12 @@ from depotlens.functions.columns import (
     clean_lower,
     clean_upper,
     discount_impact,
+    generate_date_partitions,
     performance_tier,
 )
 from depotlens.functions.text import safe_title, search_contains, title_words, video_id
 from depotlens.operators import insights, quality
+from depotlens.operators.gold import customer_type_filter
 from depotlens.operators.inventory import rolling_cutoff
 from depotlens.operators.joins import (
     anti_join_fk,
@@ -24,10 +26,12 @@ from depotlens.operators.joins import (
     prefer_override,
 )
 from depotlens.operators.ordering import distinct_first
+from depotlens.operators.recommend import action_filter
 from depotlens.operators.silver import not_null_filter, reject_flags
 from depotlens.sources.catalog import layer_of_schema, preview_table
 from depotlens.sources.schemas import TABLE_DDL
 from depotlens.sources.star_schema import AS_OF as TODAY
+from depotlens.sources.writers import verify_counts
 
 # A parent that misses half of the products, so that references break.
 PARTIAL = "p_size <= 25"
@@ -151,10 +155,8 @@ def _literals(feeds):
 
 def _partitions(feeds):
     """One row per month between the first and the last order, with that month's orders."""
-    bounds = feeds.table("orders").agg(
-        F.trunc(F.min("o_orderdate"), "month").alias("a"), F.trunc(F.max("o_orderdate"), "month").alias("b")
-    )
-    months = bounds.select(F.explode(F.sequence("a", "b", F.expr("interval 1 month"))).alias("partition_date"))
+    first, last = feeds.table("orders").agg(*(f("o_orderdate").cast("date").cast("string") for f in (F.min, F.max))).first()
+    months = generate_date_partitions(feeds.spark, first, last)
     counts = feeds.table("orders").groupBy(F.trunc("o_orderdate", "month").alias("partition_date")).agg(
         F.count(F.lit(1)).alias("rows")
     )
@@ -189,7 +191,7 @@ CHECKS = {
         "SELECT page_id, CASE WHEN page_id % 4 < 3 THEN 'v' || page_id END AS video_id FROM pages",
     ),
     "customer_type_filter": (
-        lambda f: layers(f).orders.filter(F.col("customer_type") == "PHARMACY").select("order_id", "product_id"),
+        lambda f: customer_type_filter(layers(f).orders).select("order_id", "product_id"),
         query("SELECT order_id, product_id FROM silver_orders WHERE customer_type = 'PHARMACY'"),
     ),
     "rolling_cutoff": (
@@ -197,7 +199,7 @@ CHECKS = {
         query(f"SELECT order_id, product_id, order_date FROM raw_orders WHERE order_date >= {AS_OF} - INTERVAL 90 DAY"),
     ),
     "action_filter": (
-        lambda f: layers(f).interactions.filter(F.col("action_type") == "purchased").select("interaction_id"),
+        lambda f: action_filter(layers(f).interactions).select("interaction_id"),
         query("SELECT interaction_id FROM silver_interactions WHERE action_type = 'purchased'"),
     ),
     "id_membership": (
@@ -219,12 +221,9 @@ CHECKS = {
     ),
     "join_products_orders_left": (
         lambda f: join_products_orders_left(
-            f.products.select("product_id"), rolling_cutoff(f.orders, "order_date", TODAY), "quantity"
-        ),
-        query(
-            f"SELECT p.product_id, quantity FROM raw_products p LEFT JOIN (SELECT * FROM raw_orders WHERE order_date >= {AS_OF} "
-            "- INTERVAL 90 DAY) o ON p.product_id = o.product_id"
+            f.products.select("product_id"), f.orders, "quantity"
         ),
+        query("SELECT p.product_id, quantity FROM raw_products p LEFT JOIN raw_orders o ON p.product_id = o.product_id"),
     ),
     "join_sales_stores": (
         lambda f: insights.join_sales_stores(f.store_sales, f.store_attributes).select(
@@ -472,8 +471,7 @@ CHECKS = {
 
 
 def _counts(feeds):
-    out = None
-    for name in ("customer", "orders", "lineitem", "part", "events", "documents"):
-        part = insights.row_counter(feeds.table(name)).select(F.lit(name).alias("table"), "rows")
-        out = part if out is None else out.unionByName(part)
-    return out
+    names = ("customer", "orders", "lineitem", "part", "events", "documents")
+    for name in names:
+        feeds.table(name).createOrReplaceTempView(name)
+    return verify_counts(feeds.spark, *names)

@@ -24,6 +24,15 @@ def _csv(feeds):
     return readers.scan_csv_tables(feeds.spark, folder)["orders"]
 
 
+def _csv_texts(feeds):
+    """Long texts with quotes and line breaks through delimited files."""
+    folder = _scratch(feeds)
+    docs = feeds.table("documents")
+    writers.write_csv_all({"documents": docs}, folder)
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    return readers.scan_csv(feeds.spark, f"{folder}/documents.csv", schema)
+
+
 def _csv_inferred(feeds):
     folder = _scratch(feeds)
     writers.write_csv_all({"suppliers": feeds.suppliers}, folder)
@@ -91,6 +100,7 @@ CHECKS = {
         # Leading and trailing spaces of delimited text survive; ids are text in the file schema.
         query(f"SELECT {TEXT_IDS}) FROM raw_orders"),
     ),
+    "write_csv_texts": (_csv_texts, "SELECT * FROM documents"),
     "scan_csv_infer": (_csv_inferred, query("SELECT * FROM raw_suppliers")),
     "write_parquet": (_parquet, query("SELECT * FROM raw_orders")),
     "scan_with_fallback": (

@@ -8,7 +8,6 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
 
 from depotlens.functions.columns import ColumnOrName, as_column
 
@@ -87,14 +86,24 @@ VOID_TAGS = frozenset(
 HIDDEN_TAGS = frozenset({"script", "style"})
 
 
+# Elements whose texts are paragraphs and list items of an article.
+PARAGRAPH_TAGS = frozenset({"p", "h3", "h4"})
+ITEM_TAGS = frozenset({"li"})
+
+
 class _BlockReader(HTMLParser):
-    """Texts of the wanted elements in document order; an unclosed element ends with its parent."""
+    """Texts of paragraphs and list items in document order; an unclosed element ends with its parent."""
 
-    def __init__(self, wanted: frozenset[str]) -> None:
+    def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.wanted = wanted
+        self.begin()
+
+    def begin(self):
+        """Forget the page before."""
+        self.reset()
         self.open: list[tuple[str, list[str] | None]] = []
-        self.blocks: list[list[str]] = []
+        self.paragraphs: list[list[str]] = []
+        self.items: list[list[str]] = []
         self.everything: list[str] = []
         self.hidden = 0
         self.pending: list[str] = []
@@ -122,10 +131,11 @@ class _BlockReader(HTMLParser):
         self.flush()
         if tag in VOID_TAGS:
             return
+        kept = self.paragraphs if tag in PARAGRAPH_TAGS else self.items if tag in ITEM_TAGS else None
         texts = None
-        if tag in self.wanted:
+        if kept is not None:
             texts = []
-            self.blocks.append(texts)
+            kept.append(texts)
         self.open.append((tag, texts))
         self.hidden += tag in HIDDEN_TAGS
 
@@ -141,30 +151,33 @@ class _BlockReader(HTMLParser):
                 return
 
 
-def _read_blocks(html: str | None, wanted: frozenset[str], fallback: bool) -> list[str]:
-    if not html or not html.strip():
-        return []
-    reader = _BlockReader(wanted)
-    reader.feed(html)
-    reader.close()
-    reader.flush()
-    found = [" ".join(texts) for texts in reader.blocks if texts]
-    if not found and fallback and reader.everything:
-        return [" ".join(reader.everything)]
-    return found
+def _read_pages(pages: pd.Series) -> pd.DataFrame:
+    """Paragraphs (all text if there are none) and list items of a batch of pages, each read once."""
+    reader, paragraphs, items = _BlockReader(), [], []
+    for page in pages:
+        reader.begin()
+        if page and page.strip():
+            reader.feed(page)
+            reader.close()
+            reader.flush()
+        found = [" ".join(texts) for texts in reader.paragraphs if texts]
+        if not found and reader.everything:
+            found = [" ".join(reader.everything)]
+        paragraphs.append(found)
+        items.append([" ".join(texts) for texts in reader.items if texts])
+    return pd.DataFrame({"paragraphs": paragraphs, "items": items})
 
 
-def html_blocks(html: ColumnOrName, *tags: str, fallback: bool = False) -> Column:
-    """Non-empty texts of the given elements; with ``fallback`` all page text when there are none.
+def page_blocks(html: ColumnOrName) -> Column:
+    """Struct of the non-empty paragraphs and list items of a page.
 
     Real pages leave elements open and use character references, which patterns cannot resolve, so
-    the pages go through the standard parser in Arrow batches.
+    the pages go through the standard parser in Arrow batches, once for both lists.
     """
-    wanted = frozenset(tags)
 
-    @F.pandas_udf(ArrayType(StringType()))
-    def read(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("paragraphs array<string>, items array<string>")
+    def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.map(lambda page: _read_blocks(page, wanted, fallback))
+            yield _read_pages(batch)
 
     return read(as_column(html))

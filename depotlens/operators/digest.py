@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotlens.functions.columns import ColumnOrName, as_column
-from depotlens.functions.text import SPACE, excerpt, html_blocks
+from depotlens.functions.text import SPACE, excerpt, page_blocks
 
-# Size of a digest entry.
+# The size of a digest entry, for callers that want short ones, and the shortest list item.
 MOST_PARAGRAPHS = 12
 MOST_BULLETS = 40
-SHORTEST_BULLET = 3
 EXCERPT_LENGTH = 2500
+SHORTEST_BULLET = 3
 
 # Texts of a digest entry.
 UNTITLED = "(untitled)"
@@ -21,10 +21,13 @@ EXCERPT_HEADING = "**Summary excerpt:**"
 NO_EXCERPT = "_No plain-text excerpt._"
 
 
-def html_paragraphs(html: ColumnOrName, most: int = MOST_PARAGRAPHS) -> Column:
-    """First paragraphs and sub-headings joined by blank lines, or all text when there are none."""
-    blocks = html_blocks(html, "p", "h3", "h4", fallback=True)
-    return F.array_join(F.slice(blocks, 1, most), "\n\n")
+def html_paragraphs(html: ColumnOrName, most: int | None = None) -> Column:
+    """Paragraphs and sub-headings joined by blank lines, or all text when there are none."""
+    return joined_paragraphs(page_blocks(html)["paragraphs"], most)
+
+
+def joined_paragraphs(paragraphs: Column, most: int | None = None) -> Column:
+    return F.array_join(paragraphs if most is None else F.slice(paragraphs, 1, most), "\n\n")
 
 
 def ordered_dedupe(array: ColumnOrName) -> Column:
@@ -33,9 +36,11 @@ def ordered_dedupe(array: ColumnOrName) -> Column:
 
 def html_bullets(html: ColumnOrName) -> Column:
     """List items, white space collapsed, longer than two characters, first of equal ones kept."""
-    items = F.transform(
-        html_blocks(html, "li"), lambda item: F.trim(F.regexp_replace(item, SPACE, " "))
-    )
+    return listed_bullets(page_blocks(html)["items"])
+
+
+def listed_bullets(items: Column) -> Column:
+    items = F.transform(items, lambda item: F.trim(F.regexp_replace(item, SPACE, " ")))
     return ordered_dedupe(F.filter(items, lambda item: F.length(item) >= SHORTEST_BULLET))
 
 
@@ -47,18 +52,23 @@ def topic_flag(
     return F.lower(blob).contains(keyword.lower())
 
 
-def digest(articles: DataFrame, keyword: str) -> DataFrame:
+def digest(
+    articles: DataFrame, keyword: str, most_bullets: int | None = None, excerpt_length: int | None = None
+) -> DataFrame:
     """One row per article: section, metadata, list items, omitted items, excerpt and Markdown.
 
-    Order the rows by section (focus first) and title for a readable document.
+    Order the rows by section (focus first) and title for a readable document. The section follows from the
+    whole text; ``most_bullets`` and ``excerpt_length`` shorten what is shown.
     """
     prepared = articles.select(
         F.coalesce(F.nullif("title", F.lit("")), F.lit(UNTITLED)).alias("title"),
         *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("url", "author", "published", "reading_time")],
         F.coalesce("tags", F.array().cast("array<string>")).alias("tags"),
-        html_paragraphs("summary").alias("plain"),
-        html_bullets("summary").alias("bullets"),
+        page_blocks("summary").alias("blocks"),
     )
+    plain, bullets = joined_paragraphs(F.col("blocks.paragraphs")), listed_bullets(F.col("blocks.items"))
+    prepared = prepared.select("*", plain.alias("plain"), bullets.alias("bullets"))
+    shown = F.size("bullets") if most_bullets is None else F.least(F.size("bullets"), F.lit(most_bullets))
     focus = topic_flag("title", "tags", "plain", keyword)
     out = prepared.select(
         F.when(focus, F.lit("focus")).otherwise(F.lit("other")).alias("section"),
@@ -68,9 +78,9 @@ def digest(articles: DataFrame, keyword: str) -> DataFrame:
         "published",
         "reading_time",
         F.array_join("tags", ", ").alias("tags"),
-        F.slice("bullets", 1, MOST_BULLETS).alias("bullets"),
-        F.greatest(F.size("bullets") - MOST_BULLETS, F.lit(0)).cast("bigint").alias("omitted_bullets"),
-        excerpt("plain", EXCERPT_LENGTH).alias("excerpt"),
+        F.slice("bullets", 1, shown).alias("bullets"),
+        (F.size("bullets") - shown).cast("bigint").alias("omitted_bullets"),
+        (F.col("plain") if excerpt_length is None else excerpt("plain", excerpt_length)).alias("excerpt"),
     )
     return out.withColumn("markdown", _markdown())
 

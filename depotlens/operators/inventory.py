@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -197,19 +197,27 @@ def expiry_label(days: Column | str = "days_until_expiry", horizon: int = EXPIRY
 
 
 # Feature order, and the columns a label is made from.
-RISK_NUMBERS = ("current_stock", "stock_pct", "forecast_demand_30d", "turnover_rate", "month")
-RISK_CATEGORIES = ("therapeutic_category", "category")
-LABEL_SOURCES = {"will_expire_30d": {"days_until_expiry"}}
+# One row per column: its use, and the labels that are made from it.
+RISK_COLUMNS = (
+    ("current_stock", "number", ""),
+    ("stock_pct", "number", ""),
+    ("forecast_demand_30d", "number", ""),
+    ("turnover_rate", "number", ""),
+    ("month", "number", ""),
+    ("therapeutic_category", "category", ""),
+    ("category", "category", ""),
+    ("days_until_expiry", "source", "will_expire_30d"),
+)
 
 
 def leak_guard(columns: Sequence[str], label: str = "will_expire_30d") -> list[str]:
-    """Feature columns without those the label is computed from."""
-    return [c for c in columns if c not in LABEL_SOURCES.get(label, set())]
+    """Columns that do not tell the label."""
+    telling = {name for name, _, labels in RISK_COLUMNS if label in labels.split()}
+    return [c for c in columns if c not in telling]
 
 
 def risk_feature_columns(df: DataFrame, label: str = "will_expire_30d") -> list[str]:
-    present = [c for c in (*RISK_NUMBERS, *RISK_CATEGORIES) if c in df.columns]
-    return leak_guard(present, label)
+    return leak_guard([name for name, use, _ in RISK_COLUMNS if use != "source" and name in df.columns], label)
 
 
 def _cleaned(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -229,17 +237,20 @@ def train_writeoff_classifier(
     seed: int = 42,
     id_columns: list[str] | None = None,
     trees: int = RISK_TREES,
-) -> tuple[PipelineModel, list[str], DataFrame] | None:
+) -> tuple[PipelineModel, list[str], DataFrame]:
     """Fit a forest on a stratified split; returns model, feature columns and holdout metrics.
 
-    Returns None when fewer than five rows carry a positive label.
+    Gaps in features are filled as in prediction; rows without a label are left out. Categories are codes in
+    name order and enter as plain numbers, so there may be any number of them. Fewer than five positive
+    labels are an error.
     """
     columns = risk_feature_columns(features, label)
     if not columns:
         raise ValueError("no feature column is left without those the label is made from")
-    rows = features.dropna(subset=[*columns, label])
-    if rows.filter(F.col(label) == 1).limit(FEWEST_POSITIVES).count() < FEWEST_POSITIVES:
-        return None
+    rows = features.dropna(subset=[label])
+    positives = rows.filter(F.col(label) == 1).limit(FEWEST_POSITIVES).count()
+    if positives < FEWEST_POSITIVES:
+        raise ValueError(f"{positives} rows with a positive {label}, at least {FEWEST_POSITIVES} are needed")
     rows = _cleaned(rows, columns)
     train, held = stratified_split(rows, label, holdout, seed, id_columns)
     words = [c for c in columns if dict(rows.dtypes)[c] == "string"]
@@ -251,11 +262,14 @@ def train_writeoff_classifier(
                 inputCols=words, outputCols=coded, stringOrderType="alphabetAsc", handleInvalid="keep"
             )
         )
+        # Arithmetic drops the mark of a nominal column, which would need a bin for each category.
+        plain = ", ".join(f"{c} + 0.0D AS {c}_number" for c in coded)
+        stages.append(SQLTransformer(statement=f"SELECT *, {plain} FROM __THIS__"))
     numbers = [c for c in columns if c not in words]
-    stages.append(VectorAssembler(inputCols=[*coded, *numbers], outputCol="features"))
+    stages.append(VectorAssembler(inputCols=[*(f"{c}_number" for c in coded), *numbers], outputCol="features"))
     stages.append(
         RandomForestClassifier(
-            labelCol=label, featuresCol="features", numTrees=trees, seed=seed, maxBins=256
+            labelCol=label, featuresCol="features", numTrees=trees, seed=seed
         )
     )
     model = Pipeline(stages=stages).fit(train)

@@ -104,8 +104,8 @@ def id_codes(df: DataFrame, column: str) -> DataFrame:
     return dense_codes(df, column)
 
 
-def cap_users(truth: DataFrame, n: int = EVALUATION_USERS) -> DataFrame:
-    """Rows of the first n customers: the bounded evaluation sample."""
+def cap_users(truth: DataFrame, n: int) -> DataFrame:
+    """Rows of the first n customers: a bounded evaluation sample, all other rows are dropped."""
     users = truth.select("customer_id").distinct().orderBy("customer_id").limit(n)
     return truth.join(users, "customer_id", "left_semi")
 
@@ -196,22 +196,29 @@ def als_implicit(
 def recommend_for_users(
     model: ALSModel, users: DataFrame, k: int = EVALUATION_K, seen: DataFrame | None = None
 ) -> DataFrame:
-    """Top k items per known user, without items already seen if ``seen`` is given.
+    """Top k items per user that the model knows, without items already seen if ``seen`` is given."""
+    wanted = users.select(F.col("customer_id").alias("id")).distinct()
+    return recommend_from_factors(model.userFactors.join(wanted, "id", "left_semi"), model.itemFactors, k, seen)
+
+
+def recommend_from_factors(
+    user_factors: DataFrame, item_factors: DataFrame, k: int = EVALUATION_K, seen: DataFrame | None = None
+) -> DataFrame:
+    """Top k items of every user by inner product of given factors (id, features); ties go to the lower item.
 
     A user with n seen items needs its k + n best to keep k, so lists are as long as each user's own
     history asks for.
     """
-    wanted = users.select(F.col("customer_id").alias("user")).distinct()
-    asking = wanted.join(
-        model.userFactors.select(F.col("id").cast("bigint").alias("user"), F.col("features").alias("vector")), "user"
-    ).withColumn("wanted", F.lit(k))
+    asking = user_factors.select(
+        F.col("id").cast("bigint").alias("user"), F.col("features").alias("vector"), F.lit(k).alias("wanted")
+    )
     if seen is not None:
         pairs = seen.select(F.col("customer_id").alias("user"), F.col("product_id").alias("item")).distinct()
         counts = pairs.groupBy("user").agg(F.count(F.lit(1)).alias("n_seen"))
         asking = asking.join(counts, "user", "left").withColumn(
             "wanted", F.lit(k) + F.coalesce("n_seen", F.lit(0))
         )
-    items = model.itemFactors.select(
+    items = item_factors.select(
         F.col("id").cast("bigint").alias("item"), F.col("features").alias("item_vector")
     )
     scored = top_inner_products(asking, items)
@@ -314,20 +321,18 @@ def with_negatives(
     )
 
 
-SKIPPED_FEATURES = (
-    "customer_id",
-    "product_id",
-    "label",
-    "last_interaction_timestamp",
-    "interaction_timestamp",
-    "timestamp",
-)
+KEYS = ("customer_id", "product_id")
+
+
+def feature_names(pairs: DataFrame, label: str = "label") -> list[str]:
+    """Columns of pairs that may serve as features: neither keys nor label, and no moments."""
+    return [c for c, kind in pairs.dtypes if c not in (*KEYS, label) and not kind.startswith("timestamp")]
 
 
 def _numeric_products(products: DataFrame) -> DataFrame:
     """product_id with every attribute as a number: text coded, the rest read as numbers."""
     kinds = dict(products.dtypes)
-    features = [c for c in products.columns if c not in SKIPPED_FEATURES]
+    features = [c for c in products.columns if c not in KEYS]
     words = [c for c in features if kinds[c] == "string"]
     out = factorize_many(products, {c: f"_{c}_code" for c in words})
 
@@ -350,8 +355,7 @@ def ranker_features(pairs: DataFrame, products: DataFrame) -> tuple[DataFrame, l
     """
     numeric = _numeric_products(products)
     merged = pairs.join(numeric, "product_id", "left")
-    columns = [c for c in [*pairs.columns, *numeric.columns] if c not in SKIPPED_FEATURES]
-    columns = list(dict.fromkeys(columns))
+    columns = list(dict.fromkeys([*feature_names(pairs), *(c for c in numeric.columns if c not in KEYS)]))
     return merged.withColumns({c: to_number(c) for c in columns}), columns
 
 
@@ -398,7 +402,7 @@ def rank_catalogue(
     """
     wanted = users.select("customer_id").distinct()
     history = base.drop("label").join(wanted, "customer_id", "left_semi")
-    pair_columns = [c for c in history.columns if c not in SKIPPED_FEATURES]
+    pair_columns = feature_names(history)
     known, _ = ranker_features(history, products)
     known = model.transform(known).select("customer_id", "product_id", "score")
     blank = products.select("product_id").distinct()

@@ -9,12 +9,12 @@ from depotlens.functions.columns import hash_hex, resolve_column
 from depotlens.operators.ordering import select_cut, split_at
 
 VALIDATION_FRACTION = 0.2
-SMALLEST_SPLIT = 10
 
 
 def _hash_chain(seed: object, columns: list[str]) -> list[Column]:
     tie = hash_hex(seed, *columns)
-    return [F.substring(tie, 1, 4), tie]
+    # Each level cuts one range into 65,536, so no table of counts grows with the rows; the last one splits ties.
+    return [*(F.substring(tie, 1, n) for n in (4, 8, 12, 16)), tie]
 
 
 def _time_chains(df: DataFrame, time_column: str, tie_columns: list[str] | None) -> list[list[Column]]:
@@ -38,16 +38,17 @@ def temporal_split(
     fraction: float = VALIDATION_FRACTION,
     time_column: str | None = None,
     tie_columns: list[str] | None = None,
+    smallest: int = 0,
 ) -> tuple[DataFrame, DataFrame]:
     """Earliest rows for training, the last ``fraction`` for validation.
 
-    Rows without a time are dropped; fewer than 10 rows all go to training. Rows of the same moment
-    are ordered by a hash of ``tie_columns`` (all columns by default).
+    Rows without a time are dropped; a table of fewer than ``smallest`` rows all goes to training. Rows of
+    the same moment are ordered by a hash of ``tie_columns`` (all columns by default).
     """
     column = time_column or resolve_column(interactions, "interaction_timestamp", "timestamp")
     rows = _timed(interactions, column)
     total = rows.count()
-    if total < SMALLEST_SPLIT:
+    if total < smallest:
         return rows, rows.limit(0)
     rank = max(1, int(total * (1 - float(fraction))))
     if rank >= total:

@@ -20,15 +20,22 @@ def split_events(
     return temporal_split(events, fraction, tie_columns=["interaction_id"])
 
 
-def _whole_number(df: DataFrame, column: str) -> bool:
-    return dict(df.dtypes)[column] in ("int", "bigint", "smallint", "tinyint")
+def _within_int(df: DataFrame, *columns: str) -> list[str]:
+    """Whole-number columns whose values all fit into 32 bits, as the factor model needs."""
+    kinds = dict(df.dtypes)
+    whole = [c for c in columns if kinds[c] in ("int", "bigint", "smallint", "tinyint")]
+    if not whole:
+        return []
+    bounds = df.agg(*[f(c).cast("bigint").alias(f"{name}_{c}") for c in whole for name, f in (("a", F.min), ("b", F.max))]).first()
+    return [c for c in whole if (bounds[f"a_{c}"] or 0) >= -(1 << 31) and (bounds[f"b_{c}"] or 0) < 1 << 31]
 
 
 def coded(weights: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Weights with whole-number ids, and the code table of every column that had to be coded."""
     tables = {}
+    ready = _within_int(weights, "customer_id", "product_id")
     for column in ("customer_id", "product_id"):
-        if not _whole_number(weights, column):
+        if column not in ready:
             tables[column] = recommend.id_codes(weights, column)
             weights = (
                 weights.join(tables[column], column).drop(column).withColumnRenamed(f"{column}_code", column)
@@ -53,7 +60,7 @@ def factor_recommendations(
     filter_seen: bool = True,
 ) -> DataFrame:
     """Top k items of every customer by implicit factors, without those already interacted with."""
-    weights, tables = coded(recommend.interaction_weights(interactions))
+    weights, tables = coded(settle(recommend.interaction_weights(interactions)))
     weights = settle(weights)
     model = recommend.als_implicit(weights, factors, iterations)
     if filter_seen:

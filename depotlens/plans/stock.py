@@ -22,14 +22,11 @@ def writeoff_risk(
     products: DataFrame,
     as_of: str,
     id_columns: list[str] | None = None,
-) -> tuple[DataFrame, DataFrame] | None:
-    """Risk of every stock row and the holdout metrics; None when there are too few positives."""
+) -> tuple[DataFrame, DataFrame]:
+    """Risk of every stock row and the holdout metrics; too few positives are an error."""
     features = inventory.writeoff_features(stock, as_of, orders, products).withColumn(
         "will_expire_30d", inventory.expiry_label()
     )
     features = settle(features)
-    trained = inventory.train_writeoff_classifier(features, id_columns=id_columns)
-    if trained is None:
-        return None
-    model, columns, metrics = trained
+    model, columns, metrics = inventory.train_writeoff_classifier(features, id_columns=id_columns)
     return inventory.predict_writeoff_risk(model, features, columns), metrics

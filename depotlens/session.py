@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders that ``settle`` has made and ``release`` has not yet removed.
+_settled: list[str] = []
+
 
 def get_spark(
     app_name: str = "depotlens",
@@ -36,7 +39,7 @@ def get_spark(
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local session may fall back to /tmp."""
+    """The folder named by ``spark.checkpoint.dir``; only a local session, where there are no other machines, may leave it unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
@@ -58,18 +61,16 @@ def settle(df: DataFrame) -> DataFrame:
     """Write a frame to Parquet in the shared folder and read it from there.
 
     For results that several later steps read: they are computed once, survive the loss of executors,
-    and carry their true size, by which Spark picks join strategies.
+    and carry their true size, by which Spark picks join strategies. ``release`` removes them.
     """
     target = f"{checkpoint_folder(df.sparkSession)}/settled-{uuid.uuid4().hex}"
+    _settled.append(target)
     df.write.parquet(target)
     return df.sparkSession.read.schema(df.schema).parquet(target)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan of few files at least one task per core.
-
-    A file of one row group is read by one task, which would then do all the work up to the next
-    shuffle. A scan of many splits, as on a cluster, is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+def release(spark: SparkSession) -> None:
+    """Remove what this process has settled, at the end of a flow whose results are stored or shown."""
+    while _settled:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_settled.pop())
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

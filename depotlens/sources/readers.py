@@ -27,6 +27,9 @@ LENIENT_DATES = {
 # Doubled quotes inside quoted text, and spaces kept, as other tools write and read such files.
 CSV_FORMAT = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
+# No text holds this sign, so that quoted empty text stays empty and only an empty field without quotes is unknown.
+NO_VALUE = "\x00"
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists in its own file system (local, HDFS or an object store)."""
@@ -35,13 +38,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def scan_csv(
-    spark: SparkSession, path: str, schema: str | None = None, infer: bool = False, multi_line: bool = False
+    spark: SparkSession, path: str, schema: str | None = None, infer: bool = False, multi_line: bool = True
 ) -> DataFrame:
     """Delimited files with a header. A given schema avoids the extra pass that inference needs.
 
-    ``multi_line`` accepts line breaks inside quoted text, at the price of one task per file.
+    Quoted text may hold line breaks, so a file is read by one task; give large tables as many files. Only
+    where no text holds a line break may ``multi_line`` be off. A row that cannot be read is an error.
     """
-    reader = spark.read.options(header=True, enforceSchema=False, multiLine=multi_line, **CSV_FORMAT)
+    options = {"multiLine": multi_line, "mode": "FAILFAST", "nullValue": NO_VALUE, **CSV_FORMAT}
+    reader = spark.read.options(header=True, enforceSchema=False, **options)
     if schema and not infer:
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", True).csv(path)

@@ -39,10 +39,16 @@ def verify_counts(spark: SparkSession, *tables: str) -> DataFrame:
     return out
 
 
-def write_csv_all(tables: Mapping[str, DataFrame], folder: str, mode: str = "overwrite") -> None:
-    """Each table as ``<folder>/<name>.csv``, a directory of part files with headers."""
+def write_csv_all(
+    tables: Mapping[str, DataFrame], folder: str, mode: str = "overwrite", rows_per_file: int = 500_000
+) -> None:
+    """Each table as ``<folder>/<name>.csv``, a directory of part files with headers.
+
+    Files are bounded, as a file with quoted line breaks is read by one task.
+    """
     for name, df in tables.items():
-        df.write.mode(mode).options(header=True, **CSV_FORMAT).csv(f"{folder}/{name}.csv")
+        options = {"header": True, "maxRecordsPerFile": rows_per_file, **CSV_FORMAT}
+        df.write.mode(mode).options(**options).csv(f"{folder}/{name}.csv")
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from depotlens.operators.bronze import BRONZE_MODELS, to_bronze
 from depotlens.plans.medallion import Medallion
 from depotlens.plans.prescriptions import extract_fields, nested_documents
-from depotlens.session import checkpoint_folder, settle, spread
+from depotlens.session import checkpoint_folder, release, settle
 from depotlens.sources import catalog, readers, writers
 from depotlens.sources.schemas import TABLE_COLUMNS, TABLE_DDL
 from depotlens.sources.star_schema import AS_OF, StarSchemaFeeds
@@ -98,13 +98,21 @@ def test_parquet_and_settled_frames(spark, tmp_path):
     kept = settle(spark.range(5).withColumn("r", F.rand()))
     assert kept.collect() == kept.collect()
     assert checkpoint_folder(spark) == spark.conf.get("spark.checkpoint.dir")
-
-
-def test_small_scans_are_spread_and_large_ones_left_alone(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores
-    many = spark.range(0, 100, 1, cores + 3)
-    assert spread(many) is many
+    where = kept.inputFiles()[0].rpartition("/")[0]
+    assert readers.path_exists(spark, where)
+    release(spark)
+    assert not readers.path_exists(spark, where)
+
+
+def test_delimited_text_with_line_breaks_comes_back_whole(spark, tmp_path):
+    rows = [(1, "two\nlines, \"quoted\""), (2, "  spaces  "), (3, ""), (4, None), (5, "a\r\nb\rc"), (6, "back\\slash\\n")]
+    table = spark.createDataFrame(rows, "supplier_id string, supplier_name string".replace("supplier_id string", "supplier_id int"))
+    writers.write_csv_all({"t": table}, str(tmp_path), rows_per_file=2)
+    again = readers.scan_csv(spark, f"{tmp_path}/t.csv", "supplier_id int, supplier_name string")
+    assert sorted(map(tuple, again.collect())) == rows
+    (tmp_path / "bad.csv").write_text("supplier_id,supplier_name\n1,a\nx,b,c\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        readers.scan_csv(spark, f"{tmp_path}/bad.csv", "supplier_id int, supplier_name string").collect()
 
 
 def test_json_documents(spark, tmp_path):

@@ -28,7 +28,7 @@ def test_temporal_split_known_sizes(spark):
 
 def test_temporal_split_small_table_all_train(spark):
     df = spark.range(9).select("id", F.lit("2024-01-01").alias("timestamp"))
-    train, later = splits.temporal_split(df)
+    train, later = splits.temporal_split(df, smallest=10)
     assert (train.count(), later.count()) == (9, 0)
 
 

@@ -171,3 +171,10 @@ def test_factors_equal_scoring_every_pair(spark, events):
     for row in got.collect():
         ranked = sorted((float(user[row.customer_id] @ v) for v in item.values()), reverse=True)
         assert row.score == pytest.approx(ranked[row["rank"] - 1])
+
+
+def test_factor_model_takes_any_whole_number_id(spark, events):
+    """Ids beyond 32 bits are coded for the model and come back as they were."""
+    far = events.withColumn("customer_id", F.col("customer_id") + (1 << 32))
+    found = flows.factor_recommendations(far, k=2, factors=4, iterations=2).select("customer_id").distinct().collect()
+    assert found and all(r.customer_id >= 1 << 32 for r in found)

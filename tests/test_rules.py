@@ -171,7 +171,8 @@ def test_label_source_is_kept_out_of_features(spark):
     assert inventory.leak_guard(["month", "days_until_expiry"]) == ["month"]
     df = spark.range(3).select(F.lit(1).alias("month"), F.lit(1).alias("days_until_expiry"), F.lit(0).alias("will_expire_30d"))
     assert inventory.risk_feature_columns(df) == ["month"]
-    assert inventory.train_writeoff_classifier(df) is None
+    with pytest.raises(ValueError, match="positive"):
+        inventory.train_writeoff_classifier(df)
 
 
 def test_unknown_category_is_named(spark):
@@ -287,13 +288,32 @@ def test_page_blocks(spark):
     assert [r.p for r in got[1:]] == ["only text", "", ""]
 
 
+def test_digest_section_follows_the_whole_text(spark):
+    text = "".join(f"<p>paragraph {i}</p>" for i in range(12)) + "<p>at last the lakes</p>"
+    df = spark.createDataFrame(
+        [("T", None, None, None, None, None, text)],
+        "title string, url string, author string, published string, reading_time string, tags array<string>, summary string",
+    )
+    found = digest.digest(df, "lakes").first()
+    assert found.section == "focus" and found.excerpt.endswith("at last the lakes")
+
+
+def test_classifier_with_many_categories(spark):
+    rows = [(i, float(i % 7), f"category {i % 1000}", int(i % 10 == 0)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, current_stock double, category string, will_expire_30d int")
+    model, columns, metrics = inventory.train_writeoff_classifier(df, id_columns=["id"], trees=3)
+    assert columns == ["current_stock", "category"] and 0 <= metrics.first().accuracy <= 1
+    gaps = df.withColumn("category", F.lit(None).cast("string"))
+    assert inventory.predict_writeoff_risk(model, gaps, columns).count() == 2000
+
+
 def test_digest_entry(spark):
     items = "".join(f"<li>item {i:02d}</li>" for i in range(42))
     df = spark.createDataFrame(
         [("T", "u", "A", None, "", ["x"], f"<p>about lakes</p>{items}"), ("", None, None, None, None, None, "")],
         "title string, url string, author string, published string, reading_time string, tags array<string>, summary string",
     )
-    first, second = digest.digest(df, "LAKES").orderBy("section").collect()
+    first, second = digest.digest(df, "LAKES", most_bullets=40).orderBy("section").collect()
     assert first.section == "focus" and first.omitted_bullets == 2 and len(first.bullets) == 40
     assert "- **URL:** u" in first.markdown and "_… 2 more list items omitted_" in first.markdown
     assert second.title == "(untitled)" and "_No plain-text excerpt._" in second.markdown

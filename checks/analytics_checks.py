@@ -281,9 +281,9 @@ def _standardized(feeds):
     return _rounded(standardize(matrix, *MATRIX), 6, *MATRIX)
 
 
-def _similar_embeddings(feeds):
+def _similar_embeddings(feeds, **options):
     return item_knn_cosine(
-        feeds.table("embeddings").select(F.col("vec_id").alias("product_id"), F.col("embedding").alias("features"))
+        feeds.table("embeddings").select(F.col("vec_id").alias("product_id"), F.col("embedding").alias("features")), **options
     )
 
 
@@ -636,6 +636,11 @@ CHECKS = {
         query("SELECT * FROM similar_products"),
     ),
     "embedding_knn_cosine": (_similar_embeddings, query("SELECT * FROM similar_embeddings")),
+    # The same through many small cells, as on a large table.
+    "embedding_knn_cosine_cells": (
+        lambda f: _similar_embeddings(f, vectors_per_cell=60),
+        query("SELECT * FROM similar_embeddings"),
+    ),
     "anchor_recommendations": (_anchors, query("SELECT * FROM anchor_lists")),
     "not_purchased_counts": (
         lambda f: recommend.not_purchased_counts(

@@ -40,19 +40,18 @@ def safe_file_index(index: ColumnOrName, title: ColumnOrName) -> Column:
     return F.concat(F.lpad(as_column(index).cast("string"), 3, "0"), F.lit("_"), safe_title(title), F.lit(".json"))
 
 
-def video_id(url: ColumnOrName) -> Column:
-    """Id of a video link in its watch, short or embed form, else NULL."""
-    link = as_column(url)
+# What stands before a video's id in a link, and what ends the id.
+VIDEO_LINKS = {"youtube.com/watch?v=": "&", "youtu.be/": "?", "youtube.com/embed/": "?"}
 
-    def after(marker: str, end: str) -> Column:
-        tail = F.split_part(link, F.lit(marker), F.lit(2))
-        return F.split_part(tail, F.lit(end), F.lit(1))
 
-    return (
-        F.when(link.contains("youtube.com/watch?v="), after("watch?v=", "&"))
-        .when(link.contains("youtu.be/"), after("youtu.be/", "?"))
-        .when(link.contains("youtube.com/embed/"), after("embed/", "?"))
+def video_id(url: ColumnOrName) -> Column:
+    """Id of a video link in one of the known forms, else NULL."""
+    link = as_column(url)
+    found = (
+        F.when(link.contains(marker), F.substring_index(F.split_part(link, F.lit(marker), F.lit(2)), end, 1))
+        for marker, end in VIDEO_LINKS.items()
     )
+    return F.coalesce(*found)
 
 
 def join_segments(segments: ColumnOrName, field: str = "text") -> Column:

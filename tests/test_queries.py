@@ -8,8 +8,11 @@ import __spark_entry__
 from checks.compare import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = __spark_entry__.queries()
+# The corpus queries have tests of their own beside them.
+QUERIES = {n: build for n, build in __spark_entry__.queries().items() if n not in {**__spark_entry__.CORPUS, **__spark_entry__.PIPELINE}}
 ORACLES = __spark_entry__.oracle_sql()
+# Queries that may find nothing in the smallest tables.
+MAY_BE_EMPTY: frozenset[str] = frozenset()
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 
 
@@ -24,7 +27,7 @@ def test_query(spark, duck, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [word for word in FORBIDDEN if word in plan]
     if name in ORACLES:
-        assert compare(df, duck, ORACLES[name]) in ("", "no rows")
+        assert compare(df, duck, ORACLES[name]) in ("", "no rows" if name in MAY_BE_EMPTY else "")
     else:
         assert df.count() > 0
 

@@ -42,15 +42,22 @@ def _zero(name: str, value: object = 0) -> Column:
 
 
 def _grouped(
-    df: DataFrame, keys: Sequence[str], measures: Sequence[Column], distinct: Mapping[str, Column | str]
+    df: DataFrame,
+    keys: Sequence[str],
+    measures: Sequence[Column],
+    distinct: Mapping[str, Column | str],
+    values: DataFrame | None = None,
 ) -> DataFrame:
     """Measures and distinct counts per group, computed apart and joined on the group.
 
+    The distinct values come from ``values`` where measures are summed from an aggregate already.
+
     In one aggregate Spark would shuffle a row with room for every measure per distinct value. Apart,
     the measures are reduced on the map side and only (group, value) pairs travel for the counts.
     Both sides are partitioned by the keys already. Groups with NULL keys are matched as well.
     """
-    counts = df.groupBy(*keys).agg(*[F.countDistinct(value).alias(name) for name, value in distinct.items()])
+    source = df if values is None else values
+    counts = source.groupBy(*keys).agg(*[F.countDistinct(value).alias(name) for name, value in distinct.items()])
     counts = counts.withColumnsRenamed({k: f"_{k}" for k in keys})
     same = F.lit(True)
     nullable = {f.name for f in df.schema.fields if f.nullable}
@@ -87,43 +94,66 @@ def _discount_tier(rate: Column | str, suffix: str) -> Column:
 # --- financial analytics -----------------------------------------------------------------
 
 
+def _partial_financials(orders: DataFrame, compat: bool) -> DataFrame:
+    """Sums and counts by month, customer type and product, from which the report's measures follow."""
+    cut = F.col("discount_rate") > 0
+    added = {
+        "quantity": F.col("quantity"),
+        "gross": F.col("total_amount"),
+        "net": F.col("discounted_amount"),
+        "saved": F.col("total_amount") - F.col("discounted_amount"),
+        "rate": F.col("discount_rate"),
+        "cut_gross": F.when(cut, F.col("total_amount")),
+        "cut_rate": F.when(cut, F.col("discount_rate")),
+    }
+    volumes = {level: _labelled("volume_tier", f"{level} Volume", compat) for level in ("High", "Medium", "Low")}
+    return orders.groupBy(month_start("order_date").alias("order_month"), "customer_type", "product_id").agg(
+        *[F.sum(c).alias(f"{name}_sum") for name, c in added.items()],
+        *[F.count(c).alias(f"{name}_n") for name, c in added.items()],
+        *[sum_when(c, "quantity").alias(f"{level}_sum") for level, c in volumes.items()],
+    )
+
+
 def monthly_financials(orders: DataFrame, products: DataFrame, compat: bool = False) -> DataFrame:
-    """Month x customer type x product category x price tier."""
-    lines = orders.join(
-        products.select(
-            "product_id",
-            F.col("category").alias("product_category"),
-            F.col("price_tier").alias("product_price_tier"),
-        ),
+    """Month x customer type x product category x price tier.
+
+    Order lines are summed by product before they meet the products; beside that only distinct
+    (product, order) and (product, customer) values are read, in one pass.
+    """
+    kinds = products.select(
         "product_id",
-        "left",
+        F.col("category").alias("product_category"),
+        F.col("price_tier").alias("product_price_tier"),
     )
-    discounted = F.col("discount_rate") > 0
     keys = ("order_month", "customer_type", "product_category", "product_price_tier")
+    sums = _partial_financials(orders, compat).join(kinds, "product_id", "left")
+
+    def total(name: str, scale: int = 2) -> Column:
+        return F.round(F.sum(f"{name}_sum"), scale)
+
+    def mean(name: str, scale: int = 2) -> Column:
+        return F.try_divide(total(name, scale), F.sum(f"{name}_n").cast("double"))
+
     measures = [
-        F.sum("quantity").alias("total_quantity"),
-        sum_exact("total_amount").alias("gross_revenue"),
-        sum_exact("discounted_amount").alias("net_revenue"),
-        sum_exact(F.col("total_amount") - F.col("discounted_amount")).alias("total_discount_amount"),
-        avg_exact("total_amount").alias("avg_gross_order_value"),
-        avg_exact("discounted_amount").alias("avg_net_order_value"),
-        avg_exact("discount_rate", 4).alias("avg_discount_rate"),
-        F.avg("quantity").alias("avg_quantity_per_order"),
-        sum_when(_labelled("volume_tier", "High Volume", compat), "quantity").alias("high_volume_quantity"),
-        sum_when(_labelled("volume_tier", "Medium Volume", compat), "quantity").alias("medium_volume_quantity"),
-        sum_when(_labelled("volume_tier", "Low Volume", compat), "quantity").alias("low_volume_quantity"),
-        count_when(discounted).alias("discounted_orders"),
-        F.coalesce(sum_exact(F.when(discounted, F.col("total_amount"))), F.lit(0.0)).alias(
-            "discounted_order_value"
-        ),
-        avg_exact(F.when(discounted, F.col("discount_rate")), 4).alias("avg_discount_rate_when_discounted"),
+        F.sum("quantity_sum").alias("total_quantity"),
+        total("gross").alias("gross_revenue"),
+        total("net").alias("net_revenue"),
+        total("saved").alias("total_discount_amount"),
+        mean("gross").alias("avg_gross_order_value"),
+        mean("net").alias("avg_net_order_value"),
+        mean("rate", 4).alias("avg_discount_rate"),
+        F.try_divide(F.sum("quantity_sum").cast("double"), F.sum("quantity_n").cast("double")).alias("avg_quantity_per_order"),
+        *[F.sum(f"{level}_sum").alias(f"{level.lower()}_volume_quantity") for level in ("High", "Medium", "Low")],
+        F.sum("cut_rate_n").alias("discounted_orders"),
+        F.coalesce(total("cut_gross"), F.lit(0.0)).alias("discounted_order_value"),
+        mean("cut_rate", 4).alias("avg_discount_rate_when_discounted"),
+        F.count("product_id").alias("unique_products"),
     ]
-    distinct = {
-        "total_orders": "order_id",
-        "unique_customers": "customer_id",
-        "unique_products": "product_id",
-    }
-    return _grouped(lines.withColumn("order_month", month_start("order_date")), keys, measures, distinct)
+    values = orders.select(
+        month_start("order_date").alias("order_month"), "customer_type", "product_id", "order_id", "customer_id"
+    ).join(kinds, "product_id", "left")
+    distinct = {"total_orders": "order_id", "unique_customers": "customer_id"}
+    return _grouped(sums, keys, measures, distinct, values)
 
 
 def gold_financial_analytics(

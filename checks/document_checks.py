@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.feeds_sql import CTE, query
@@ -211,7 +214,36 @@ def _segments(feeds):
     return rows.select("doc_id", join_segments("segments").alias("text"))
 
 
+def _chosen_sources(feeds):
+    """Which of extracted, annotated and generated fields each mode takes."""
+    extracted = _fields(feeds)
+    annotated, generated = extracted.filter("doc_id % 2 = 0"), extracted.filter("doc_id % 2 = 1")
+    cases = {
+        "ocr": (extracted, annotated, generated, "ocr"),
+        "auto": (extracted, annotated, generated, "auto"),
+        "auto without extraction": (extracted.limit(0), annotated, generated, "auto"),
+        "labels": (extracted, annotated, generated, "labels"),
+        "labels without annotation": (extracted, None, generated, "labels"),
+    }
+    parts = [
+        documents.field_source_fallback(*given).select(F.lit(case).alias("case"), "doc_id") for case, given in cases.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+CHOSEN_SOURCES = "\nUNION ALL ".join(
+    f"SELECT '{case}' AS \"case\", doc_id FROM field_table WHERE {condition}"
+    for case, condition in (
+        ("ocr", "true"),
+        ("auto", "true"),
+        ("auto without extraction", "doc_id % 2 = 0"),
+        ("labels", "doc_id % 2 = 0"),
+        ("labels without annotation", "doc_id % 2 = 1"),
+    )
+)
+
 CHECKS = {
+    "field_source_modes": (_chosen_sources, query(CHOSEN_SOURCES)),
     "text_functions": (_texts, TEXTS),
     "join_segments": (
         _segments,

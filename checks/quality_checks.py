@@ -104,6 +104,24 @@ ALL_REFERENCES = "\nUNION ALL ".join(
 )
 
 
+def _references(feeds):
+    """Violations of every reference against its whole parent."""
+    out = None
+    for child, key, parent, parent_key in quality.FOREIGN_KEYS:
+        found = quality.dq_referential(feeds[child], key, feeds[parent], parent_key)
+        found = found.select(F.lit(f"{child}.{key}").alias("reference"), F.col(key).cast("string").alias("missing"))
+        found = found.groupBy("reference", "missing").agg(F.count(F.lit(1)).alias("rows"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+REFERENCES = "\nUNION ALL ".join(
+    f"SELECT '{child}.{key}' AS reference, CAST({key} AS VARCHAR) AS missing, count(*) AS rows FROM raw_{child} "
+    f"WHERE {key} NOT IN (SELECT {parent_key} FROM raw_{parent}) GROUP BY 2"
+    for child, key, parent, parent_key in quality.FOREIGN_KEYS
+)
+
+
 def _text_columns(feeds):
     return feeds.table("part").select(
         "p_partkey",
@@ -321,6 +339,7 @@ CHECKS = {
         lambda f: quality.dq_valid_rate(f.substitution_events, "margin_delta").select("substitution_id"),
         query("SELECT substitution_id FROM raw_substitution_events WHERE margin_delta < 0 OR margin_delta > 1"),
     ),
+    "dq_referential_whole": (_references, query(REFERENCES)),
     "dq_referential": (_all_references, query(ALL_REFERENCES)),
     "dq_polymorphic_fk": (
         lambda f: quality.dq_polymorphic_fk(

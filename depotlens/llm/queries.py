@@ -139,6 +139,22 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
+OP10_SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce({_words_sql("text", r"[^\x20\x09-\x0D]+")}, []) AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN [array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)]
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS x FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM s a JOIN s b USING (x) GROUP BY ALL),
+links AS (
+  SELECT u, v FROM shared JOIN n nu ON nu.doc_id = u JOIN n nv ON nv.doc_id = v WHERE 100 * k >= 85 * (nu.n + nv.n - k)),
+reach AS (SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u),
+least AS (SELECT u AS doc_id, min(v) AS c FROM reach GROUP BY u)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(c, doc_id) AS component_id, coalesce(c, doc_id) = doc_id AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
+
 CHECKS = {
     "op1_topk_search": (op1_topk_search, OP1_SQL),
     "op2_language_id": (op2_language_id, None),
@@ -148,6 +164,6 @@ CHECKS = {
     "op6_line_dedup": (op6_line_dedup, OP6_SQL),
     "op7_warc_chunks": (op7_warc_chunks, OP7_SQL),
     "op8_sentencepiece": (op8_sentencepiece, None),
-    "op10_minhash_join": (op10_minhash_join, None),
+    "op10_minhash_join": (op10_minhash_join, OP10_SQL),
     "op9_decontaminate": (op9_decontaminate, OP9_SQL),
 }

@@ -30,10 +30,10 @@ def title_words(value: ColumnOrName) -> Column:
     return F.initcap(F.replace(as_column(value), F.lit("_"), F.lit(" ")))
 
 
-def safe_title(title: ColumnOrName) -> Column:
-    """Letters, digits, spaces, '-' and '_' of a title, at most 100, with '_' for spaces."""
+def safe_title(title: ColumnOrName, longest: int = 100) -> Column:
+    """File name of a title: its letters, digits, spaces, '-' and '_', ``longest`` at most, '_' for spaces."""
     kept = F.trim(F.regexp_replace(as_column(title), r"[^\p{L}\p{N} _-]", ""))
-    return F.replace(F.substring(kept, 1, 100), F.lit(" "), F.lit("_"))
+    return F.replace(F.substring(kept, 1, longest), F.lit(" "), F.lit("_"))
 
 
 def safe_file_index(index: ColumnOrName, title: ColumnOrName) -> Column:

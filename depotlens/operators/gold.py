@@ -422,6 +422,7 @@ def product_inventory(inventory: DataFrame) -> DataFrame:
     )
 
 
+# Columns of the report, in its order.
 PRODUCT_ATTRIBUTES = (
     "product_id",
     "product_name",
@@ -736,6 +737,7 @@ def customer_features(orders: DataFrame, as_of: str, compat: bool = False) -> Da
     )
 
 
+# Columns of the report, in its order.
 FEATURE_ATTRIBUTES = (
     "product_id",
     "product_name",
@@ -838,6 +840,7 @@ def related_pairs(orders: DataFrame, inventory: DataFrame) -> DataFrame:
 
 
 # Measures whose customer and product versions share a name.
+# Columns of the report, in its order.
 _SHARED_MEASURES = (
     "total_orders",
     "unique_customers",

@@ -91,13 +91,13 @@ def demand_stats(
     )
 
 
-def demand_90d(orders: DataFrame, as_of: str) -> DataFrame:
-    """Units per product and warehouse in the window, and a 30-day forecast from them."""
+def demand_90d(orders: DataFrame, as_of: str, largest: float = LARGEST_FORECAST) -> DataFrame:
+    """Units per product and warehouse in the window, and a 30-day forecast from them, ``largest`` at most."""
     rows = rolling_cutoff(with_warehouse(orders), "order_date", as_of)
     return (
         rows.groupBy("product_id", "warehouse_id")
         .agg(F.sum("quantity").alias("demand_90d"))
-        .withColumn("forecast_demand_30d", clip(F.col("demand_90d") / 3, 0, LARGEST_FORECAST))
+        .withColumn("forecast_demand_30d", clip(F.col("demand_90d") / 3, 0, largest))
     )
 
 

@@ -46,9 +46,10 @@ REPORT_STOCK_COLUMNS = (
 
 
 class Medallion:
-    """Layers over raw tables. Nothing runs until a result is used; Catalyst sees the whole chain.
+    """Layers over raw tables. Bronze and silver are plain plans that run when a result is used.
 
-    A silver table that feeds several reports can be written once with ``persist_silver``.
+    Reports that read orders or stock more than once first write the columns they use (``stored_orders``,
+    ``stored_inventory``), when the report is asked for; ``persist_silver`` writes whole tables once instead.
     """
 
     def __init__(

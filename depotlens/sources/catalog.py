@@ -37,7 +37,13 @@ def table_row_count(spark: SparkSession, table: str) -> int:
     return spark.table(table).count()
 
 
-def preview_table(df: DataFrame, limit: int = PREVIEW_ROWS, *order: str) -> DataFrame:
-    """A bounded look at a table; with ``order`` the same rows every time."""
-    rows = max(FEWEST_PREVIEW_ROWS, min(MOST_PREVIEW_ROWS, limit))
+def preview_table(
+    df: DataFrame,
+    limit: int = PREVIEW_ROWS,
+    *order: str,
+    fewest: int = FEWEST_PREVIEW_ROWS,
+    most: int = MOST_PREVIEW_ROWS,
+) -> DataFrame:
+    """A look at a table, ``limit`` rows but ``fewest`` to ``most``; with ``order`` the same rows every time."""
+    rows = max(fewest, min(most, limit))
     return (df.orderBy(*order) if order else df).limit(rows)

@@ -15,8 +15,9 @@ from depotlens.llm import decontaminate, language_id, line_dedup, minhash_join,
 from depotlens.llm.base import KEY, keyed
 from depotlens.session import settle
 
-#: A text whose main language has a smaller share of it is rejected as of no language.
-LEAST_SHARE = 0.5
+#: A text whose main language has a smaller share of it is rejected as of no language. Short texts with a
+#: licence or a passage in another language have less than half, and stay.
+LEAST_SHARE = 1 / 3
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

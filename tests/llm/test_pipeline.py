@@ -51,7 +51,7 @@ def test_stages_against_brute_force(spark, tmp_path, library):  # noqa: F811
         before = docs
         docs = spark.createDataFrame(stage(spark, docs, str(tmp_path)).collect(), stage(spark, docs, str(tmp_path)).schema)
         if at == 0:
-            found = [(r.doc_id, r.row.text) for r in language_id.identify(spark, before, whole=True).collect() if r.lang_pred != "und" and r.score >= 0.5]
+            found = [(r.doc_id, r.row.text) for r in language_id.identify(spark, before, whole=True).collect() if r.lang_pred != "und" and r.score >= corpus_pipeline.LEAST_SHARE]
             assert {i for i, _ in found}.isdisjoint({5, 6, 7, 13}) and len(found) >= 12
             kept = found
         elif at == 1:

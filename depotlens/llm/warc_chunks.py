@@ -299,6 +299,6 @@ def archive_round_trip(spark: SparkSession, pages: DataFrame, folder: str | None
     table gives an empty folder of archives and no rows.
     """
     folder = folder or f"{checkpoint_folder(spark)}/archives-{uuid.uuid4().hex}"
-    chunks = settle(chunk_table(pages))
+    chunks = settle(chunk_table(pages), compression="zstd")
     write_archives(chunks, decide_types(chunks), folder)
     return read_archives(spark, folder)

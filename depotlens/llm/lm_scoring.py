@@ -29,7 +29,9 @@ DIMENSIONS, NOISE, BATCH, RATE = 16, 64, 4096, 0.1
 #: The end of a text counts as a token; no word is empty.
 END = b""
 #: Distinct tokens that a task counts before it sends its sums on.
-COUNTED_AT_ONCE = 200_000
+COUNTED_AT_ONCE = 100_000
+#: Rows that scoring holds at once.
+SCORED_AT_ONCE = 1000
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -85,9 +87,21 @@ def ending(token: bytes) -> int:
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    """From stored counts: two bounded collects, of the frequent tokens and of the sums by class."""
+    """From stored counts: bounded collects, of the frequent tokens and of the sums by class.
+
+    Frequent are all tokens with the largest counts, as far as whole counts fit into HEAD; so only they
+    travel, not a long list from every task.
+    """
     size = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("n"), "token").limit(HEAD).collect()
+    held, least = 0, 1 << 62
+    # Each of the largest HEAD counts belongs to a token at least.
+    for r in counts.groupBy("n").agg(F.count("*").alias("k")).orderBy(F.desc("n")).limit(HEAD).collect():
+        held += r.k
+        if held > HEAD:
+            break
+        least = r.n
+    top = counts.where(F.col("n") >= least).collect()
+    top.sort(key=lambda r: (-r.n, bytes(r.token)))
     own = {bytes(r.token): i for i, r in enumerate(top[:OWN])}
     head = {bytes(r.token): (own.get(bytes(r.token), ending(bytes(r.token))), r.n) for r in top}
     mass = np.zeros(CLASSES)
@@ -256,30 +270,36 @@ def _score(shared):
             found = (found - table[w1, w2]) / np.log(10) - log_mass[w]
             return np.add.reduceat(found.astype(np.float64), np.cumsum([0, *map(len, parts[:-1])]))
 
-        for batch in batches:
-            n, known, base, lm, tails, parts, size = [], [], [], [], [], [], 0
+        def rows(batch):
+            n, known, base, lm, parts, size = [], [], [], [], [], 0
+            tail_tokens, tail_times, bounds = [], [], [0]
             for text in batch.column("text"):
                 listed = tokens(text.as_py())
                 parts.append(words.classes(listed))
                 size += len(listed)
                 shares = [share[t] for t in listed if t in share]
-                tails.append(list(Counter(t for t in listed if t not in share).items()))
+                rare = Counter(t for t in listed if t not in share)
+                tail_tokens.extend(rare), tail_times.extend(rare.values()), bounds.append(len(tail_tokens))
                 n.append(len(listed)), known.append(len(shares)), base.append(float(np.sum(shares)))
                 if size >= 1 << 17:
                     lm.extend(neural(parts))
                     parts, size = [], 0
             if parts:
                 lm.extend(neural(parts))
-            tail = pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())]))
-            listed = [[{"token": t, "n": c} for t, c in one] for one in tails]
+            pairs = [pa.array(tail_tokens, pa.binary()), pa.array(tail_times, pa.int64())]
+            tails = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.StructArray.from_arrays(pairs, ["token", "n"]))
             numbers = [pa.array(n, pa.int64()), pa.array(known, pa.int64())]
             numbers += [pa.array(np.array(base) - np.array(n) * base_floor), pa.array(np.array(lm) + np.array(base))]
             kept = ["row", "doc_id", "held_out"]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), *numbers, pa.array(listed, tail)],
+            return pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in kept), *numbers, tails],
                 names=[*kept, "n_tokens", "head_known", "head_base", "head_score", "tail"],
             )
 
+        for batch in batches:
+            for start in range(0, batch.num_rows, SCORED_AT_ONCE):
+                yield rows(batch.slice(start, SCORED_AT_ONCE))
+
     return score
 
 

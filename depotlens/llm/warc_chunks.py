@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from depotlens.session import checkpoint_folder, settle
 
-#: Bytes of a chunk at most, chunks of an archive file at most, and payload bytes from which copies are revisits.
+#: Bytes of a chunk at most, chunks of an archive file on average at most, and payload bytes from which copies are revisits.
 CHUNK, FILE_CHUNKS, REVISIT_FROM = 1 << 16, 1 << 14, 100
 CRLF = b"\r\n"
 CHUNK_COLUMNS = "record string, page_id long, url string, chunk_no int, last boolean, data binary, upto long, digest string"
@@ -155,16 +155,20 @@ def write_archives(chunks: DataFrame, types: DataFrame, folder: str) -> None:
     """Write compressed archives, chunks of a record in order and in one file's run.
 
     A revisit writes a header without payload. Rows travel by record, which is unique for a page, so
-    copies and hosts of any number are spread evenly.
+    copies and hosts of any number are spread evenly. A task writes one file, and files are bounded by the
+    number of tasks, so no file ends inside a record.
     """
     rows = chunks.join(types, "record").where("not revisit or chunk_no = 0")
-    placed = rows.repartition("record").sortWithinPartitions("record", "chunk_no")
+    files = -(-chunks.count() // FILE_CHUNKS)
+    enough = files <= int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition("record") if enough else rows.repartition(files, "record")
+    placed = dealt.sortWithinPartitions("record", "chunk_no")
     records = placed.mapInArrow(_records, "record binary")
     (
         records.select(F.col("record").cast("string").alias("value"))
         .write.option("lineSep", "\r\n\r\n")
         .option("compression", "gzip")
-        .option("maxRecordsPerFile", FILE_CHUNKS)
+        .option("maxRecordsPerFile", 0)
         .text(folder)
     )
 

@@ -25,6 +25,8 @@ BUCKETS, DIMENSIONS = 1 << 16, 8
 WINDOW, STRIDE = 12, 6
 #: The sample that training reads: rows of each label, and characters of each label, at most.
 SAMPLE_ROWS, SAMPLE_CHARACTERS = 1500, 6_000_000
+#: Characters of a passage of a text that the sample cannot hold whole.
+PASSAGE = 1000
 WORD = re.compile(r"\w+")
 #: Words whose scores a task remembers.
 REMEMBERED = 500_000
@@ -231,20 +233,53 @@ def _scorer(shared):
     return score
 
 
+def passages(text: str, room: int) -> str:
+    """The text, or where it is longer than ``room`` characters, passages of it at even distances over its whole length."""
+    if len(text) <= room:
+        return text
+    count = max(room // PASSAGE, 1)
+    size = max(room // count - 1, 0)
+    step = (len(text) - size) / max(count - 1, 1)
+    return "\n".join(text[int(i * step) : int(i * step) + size] for i in range(count))
+
+
+def _cutter(batches):
+    for batch in batches:
+        texts = [passages(t.as_py(), r.as_py()) for t, r in zip(batch.column("text"), batch.column("room"))]
+        names = ["doc_id", "hash", "label"]
+        columns = [*(batch.column(n) for n in names), pa.array(texts, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, names=[*names, "text"])
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, characters: int = SAMPLE_CHARACTERS) -> DataFrame:
     """(text, label) of labelled texts in an order by hash, up to the bounds for each label.
 
-    A document with several label rows has the highest label. Every task sends at most ``rows`` rows of a
-    label, and the running total of characters is taken over those only.
+    A document with several label rows has the highest label, and equal rows count once. Texts of one id come
+    after a text of each other id. If the chosen texts of a label exceed ``characters``, the longest of them
+    send passages up to a common length at which the label fits, and shorter ones stay whole: no text takes
+    the place of another. Only ids, hashes and lengths are sorted; texts are cut where they are read.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("label").isNotNull())
     known = known.groupBy("doc_id").agg(F.max((F.col("label") > 0).cast("int")).alias("label"))
     order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = known.withColumn("k", F.row_number().over(order)).where(F.col("k") <= rows)
-    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text", F.char_length("text").alias("n"))
-    joined = texts.join(F.broadcast(chosen), "doc_id")
-    total = F.sum("n").over(Window.partitionBy("label").orderBy("k", "n").rowsBetween(Window.unboundedPreceding, 0))
-    return joined.withColumn("total", total).where(F.col("total") <= characters).select("text", "label")
+    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text", F.xxhash64("text").alias("hash"))
+    sizes = texts.select("doc_id", "hash", F.char_length("text").alias("n")).join(F.broadcast(chosen), "doc_id").distinct()
+    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy("hash"))
+    sizes = sizes.withColumn("turn", turn).where(F.col("turn") <= rows)
+    place = F.row_number().over(Window.partitionBy("label").orderBy("turn", "k"))
+    sizes = sizes.withColumn("place", place).where(F.col("place") <= rows)
+    # Shortest first: what is left, over the texts that are left, is greatest where whole texts end.
+    shortest = Window.partitionBy("label").orderBy("n", "place")
+    shorter = F.coalesce(F.sum("n").over(shortest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    left = F.count("*").over(Window.partitionBy("label")) - F.row_number().over(shortest) + 1
+    sizes = sizes.withColumn("share", F.floor((characters - shorter) / left))
+    room = F.max("share").over(Window.partitionBy("label"))
+    wanted = sizes.select("doc_id", "hash", "label", room.alias("room"))
+    found = texts.join(F.broadcast(wanted), ["doc_id", "hash"]).select("doc_id", "hash", "label", "room", "text")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    cut = found.mapInArrow(_cutter, f"doc_id {kind}, hash long, label int, text string")
+    return cut.groupBy("doc_id", "hash", "label").agg(F.min("text").alias("text")).select("text", "label")
 
 
 def score_toxicity(

@@ -18,6 +18,8 @@ from depotlens.session import settle
 #: A text whose main language has a smaller share of it is rejected as of no language. Short texts with a
 #: licence or a passage in another language have less than half, and stay.
 LEAST_SHARE = 1 / 3
+#: Words of a shingle and percent of resemblance from which documents are near-duplicates; op10's query has its own.
+NEAR_WIDTH, NEAR_PERCENT = 5, 80
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,9 +43,10 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each near-duplicate component."""
+    """The document of the smallest id of each near-duplicate component: 5-word shingles, resemblance 0.8 or more."""
     rows = keyed(docs, whole=True)
-    kept = settle(minhash_join.groups(rows.drop("row")).where("kept").groupBy(*KEY).agg(F.count("*").alias("n")))
+    found = minhash_join.groups(rows.drop("row"), NEAR_WIDTH, NEAR_PERCENT)
+    kept = settle(found.where("kept").groupBy(*KEY).agg(F.count("*").alias("n")))
     if kept.where("n > 1").isEmpty():
         return rows.join(kept, KEY, "left_semi").select("row.*")
     once = rows.join(kept.where("n = 1"), KEY, "left_semi").select("row")

@@ -1,19 +1,21 @@
 """Near-duplicate groups by a signature-coordinate inverted join.
 
-Equal shingle sets become one node. A node is posted under its first ``PREFIX`` (coordinate, value) pairs
-and its size class. Posting lists are cut into blocks, and pairs of blocks form bounded tiles. In a tile
+Equal shingle sets become one node. A node is posted under its first (coordinate, value) pairs and its
+size class. Posting lists are cut into blocks, and pairs of blocks form bounded tiles. In a tile
 the collisions of all coordinates are counted for whole blocks at once; a pair is skipped where an earlier
-posting list holds it too, and goes on when it agrees in ``MATCHES`` of ``COORDINATES``. What goes on is
+posting list holds it too, and goes on when it agrees in enough of all coordinates. What goes on is
 confirmed on full shingle sets, and links are joined to components. Tiles return at most a spanning forest
 of links, so no group of copies ever becomes a table of all its pairs.
 
-At a resemblance of 0.85 a pair misses all 10 posted coordinates with probability 0.15^10 = 6e-9 and has
-under 40 of 64 agreements with about 2e-6; both fall steeply for closer pairs.
+The posted coordinates and the agreements asked for follow from the threshold, so that a pair at the
+threshold is missed with probability ``MISS`` at most: at 0.85, 10 posted coordinates and 40 of 64
+agreements (6e-9 and 2.4e-6). Both fall steeply for closer pairs.
 """
 
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,8 @@ from depotlens.llm.base import KEY, keyed, runs
 from depotlens.llm.components import components
 from depotlens.session import settle
 
-COORDINATES, PREFIX, MATCHES = 64, 10, 40
+#: Coordinates of a signature at least, and the probability at most to miss a pair at the threshold.
+COORDINATES, MISS = 64, 3e-6
 #: Rows of a block at most, and bytes of shingles that the blocks of a tile aim at.
 BLOCK_ROWS, BLOCK_BYTES = 1024, 1 << 23
 TILE = ["list_id", "lo", "hi"]
@@ -46,23 +49,46 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique(run)
 
 
-def _multipliers() -> tuple[np.ndarray, np.ndarray]:
+@lru_cache
+def agreements(percent: int) -> tuple[int, int, int]:
+    """Coordinates of a signature, posted ones, and agreements asked for at a resemblance of ``percent`` / 100.
+
+    All posted coordinates differ with a hundredth of ``MISS`` at most, agreements fall short with the rest.
+    """
+    if not 0 < percent <= 100:
+        raise ValueError(f"percent must be above 0 and 100 at most, not {percent}")
+    p = percent / 100
+    prefix = math.ceil(math.log(MISS / 100) / math.log1p(-p)) if p < 1 else 1
+    size = max(COORDINATES, prefix)
+    below, least = 0.0, 0
+    while least < size:
+        below += math.comb(size, least) * p**least * (1 - p) ** (size - least)
+        if below > MISS * 0.99:
+            break
+        least += 1
+    return size, prefix, max(least, 1)
+
+
+@lru_cache
+def _multipliers(size: int) -> tuple[np.ndarray, np.ndarray]:
     draw = np.random.default_rng(20240229)
-    odd = draw.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    return odd, draw.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
+    odd = draw.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return odd, draw.integers(0, 1 << 63, size, dtype=np.uint64)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
+def signature(shingles: np.ndarray, size: int = COORDINATES) -> np.ndarray:
     """Smallest of each of the random 32-bit orders over a set."""
-    times, plus = _multipliers()
-    best = np.full(COORDINATES, np.iinfo(np.uint32).max, np.uint32)
+    times, plus = _multipliers(size)
+    best = np.full(size, np.iinfo(np.uint32).max, np.uint32)
     for start in range(0, len(shingles), 2048):
         values = (shingles[start : start + 2048, None] * times + plus) >> np.uint64(32)
         best = np.minimum(best, values.min(axis=0).astype(np.uint32))
     return best
 
 
-def _sketcher(width: int):
+def _sketcher(width: int, percent: int):
+    size, prefix, _ = agreements(percent)
+
     def sketch(batches):
         for batch in batches:
             rows = {"n": [], "set_id": [], "heads": [], "tail": []}
@@ -72,10 +98,10 @@ def _sketcher(width: int):
                 if not len(found):
                     rows["set_id"].append(None), rows["heads"].append(None), rows["tail"].append(None)
                     continue
-                values = signature(found)
+                values = signature(found, size)
                 rows["set_id"].append(xxhash.xxh3_128_digest(found.tobytes()))
-                rows["heads"].append(values[:PREFIX].astype(np.int32))
-                rows["tail"].append(values[PREFIX:].astype(np.uint8).tobytes())
+                rows["heads"].append(values[:prefix].astype(np.int32))
+                rows["tail"].append(values[prefix:].astype(np.uint8).tobytes())
             kept = [batch.column(c) for c in ("doc_id", *KEY)]
             made = [pa.array(rows["n"], pa.int64()), pa.array(rows["set_id"], pa.binary())]
             made += [pa.array(rows["heads"], pa.list_(pa.int32())), pa.array(rows["tail"], pa.binary())]
@@ -127,24 +153,24 @@ def _matches(tile: pa.Table, percent: int):
     tail = np.frombuffer(b"".join(tile.column("tail").to_pylist()), np.uint8).reshape(len(heads), -1)
     n, own = tile.column("n").to_numpy(), tile.column("own").to_numpy()
     low, high = tile.column("lo")[0].as_py(), tile.column("hi")[0].as_py()
-    at = tile.column("coordinate")[0].as_py()
+    at, least = tile.column("coordinate")[0].as_py(), agreements(percent)[2]
     left = np.flatnonzero(own == low)
     right = left if low == high else np.flatnonzero(own == high)
     for start in range(0, len(left), 256):
         part = left[start : start + 256]
-        count = np.zeros((len(part), len(right)), np.uint8)
+        count = np.zeros((len(part), len(right)), np.uint16)
         fresh = n[part][:, None] * 100 >= n[right][None, :] * percent
         fresh &= n[right][None, :] * 100 >= n[part][:, None] * percent
         if low == high:
             fresh &= part[:, None] < right[None, :]
-        for c in range(PREFIX):
+        for c in range(heads.shape[1]):
             equal = heads[part, c][:, None] == heads[right, c][None, :]
             if c < at:
                 fresh &= ~equal
             count += equal
         for c in range(tail.shape[1]):
             count += tail[part, c][:, None] == tail[right, c][None, :]
-        for i, j in np.argwhere(fresh & (count >= MATCHES)):
+        for i, j in np.argwhere(fresh & (count >= least)):
             yield part[i], right[j], count[i, j]
 
 
@@ -239,7 +265,7 @@ def groups(rows: DataFrame, width: int = 3, percent: int = 85) -> DataFrame:
     sketches = settle(
         rows.withColumn("doc_id", F.col("doc_id").cast("bigint"))
         .select("doc_id", *KEY, "text")
-        .mapInArrow(_sketcher(width), made)
+        .mapInArrow(_sketcher(width, percent), made)
     )
     roots = components(settle(links_between(rows, sketches, width, percent)))
     firsts = sketches.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("first"))

@@ -34,6 +34,8 @@ BOILERPLATE = re.compile(
     r"(?:$|[\s_-])",
     re.I,
 )
+#: Forms that say what an element has or lacks, not what it is.
+HAS_OR_NOT = re.compile(r"(?<![^\s_-])(?:has|no|with|without)[_-]\S*", re.I)
 HEADER = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar)(?:$|[\s_-])", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 
@@ -42,7 +44,7 @@ TAG = re.compile(
     r"|<[!?/][^>]*>",
     re.S,
 )
-ATTRIBUTE = re.compile(r"(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
 
 def host_of(url: Column) -> Column:
@@ -56,29 +58,44 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def _left_out(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+    """Whether an element is no article text by its tag or attributes, whatever it holds."""
     if tag in LEFT_OUT or (tag == "header" and not in_article):
         return True
     if not attributes or tag in ("html", "body"):
         return False
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    if BOILERPLATE.search(names) or (not in_article and HEADER.search(names)):
-        return True
     hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true"
     return hidden or attributes.get("role") in ROLES or "display:none" in attributes.get("style", "").replace(" ", "")
 
 
+def _named_boilerplate(attributes: dict[str, str], in_article: bool) -> bool:
+    """Whether the words of class and id say so; this does not hold around the main article."""
+    names = HAS_OR_NOT.sub(" ", f"{attributes.get('class', '')} {attributes.get('id', '')}")
+    return bool(BOILERPLATE.search(names) or (not in_article and HEADER.search(names)))
+
+
 class Page:
-    """Blocks of text of a page with the containers around each, boilerplate elements left out."""
+    """Blocks of text of a page with the containers around each, boilerplate elements left out.
+
+    Class and id words do not judge main elements, articles outside other articles, and what is around a main
+    element or the article with the most text outside links; which one that is shows at the end of the page.
+    """
 
     def __init__(self, source: str):
         self.paths: list[str] = []
         self.semantic: list[bool] = []
         self.blocks: list[tuple[tuple[int, ...], str, int]] = []  # containers, text, characters in links
-        self.stack: list[tuple[str, bool, bool]] = []  # tag, is a container, is left out
+        self.stack: list[tuple[str, bool, bool]] = []  # tag, is a container, is left out by tag or attributes
+        self.named: list[int] = []  # elements open now that class or id words leave out
+        self.named_at: list[int] = []  # how many of them were open before each element of the stack
+        self.n_named = self.plain = self.depth = 0  # named elements, characters outside links, open articles
+        self.core: tuple[int, tuple[int, ...]] = (-1, ())  # characters of the best article, named elements around it
+        self.started: list[int] = []  # characters before each open article
+        self.exempt: set[int] = set()
+        self.raw: list[tuple[tuple[int, ...], list[tuple[str, bool, tuple[int, ...]]]]] = []
         self.names: list[str] = []
         self.around: list[int] = []
-        self.text: list[str] = []
-        self.out = self.links = self.linked = self.articles = 0
+        self.text: list[tuple[str, bool, tuple[int, ...]]] = []  # words, in a link, named elements around
+        self.out = self.links = self.articles = 0
         self._read(source)
 
     def _read(self, source: str) -> None:
@@ -102,19 +119,29 @@ class Page:
             else:
                 self._open(tag, found[3] or found[6] or "")
         self._flush()
+        while self.stack:
+            self._pop()
+        self._judge()
 
     def _words(self, text: str) -> None:
         if text and not self.out:
-            self.text.append(text)
-            if self.links:
-                self.linked += len(text)
+            self.text.append((text, self.links > 0, tuple(self.named)))
+            if not self.links:
+                self.plain += len(text)
 
     def _flush(self) -> None:
         if self.text:
-            text = " ".join(markup.unescape("".join(self.text)).split())
+            self.raw.append((tuple(self.around), self.text))
+            self.text = []
+
+    def _judge(self) -> None:
+        exempt = self.exempt.union(self.core[1])
+        for around, parts in self.raw:
+            kept = [(t, linked) for t, linked, named in parts if exempt.issuperset(named)]
+            text = " ".join(markup.unescape("".join(t for t, _ in kept)).split())
             if text:
-                self.blocks.append((tuple(self.around), text, self.linked))
-            self.text, self.linked = [], 0
+                self.blocks.append((around, text, sum(len(t) for t, linked in kept if linked)))
+        self.raw = []
 
     def _open(self, tag: str, rest: str) -> None:
         if tag in BLOCKS:
@@ -137,6 +164,16 @@ class Page:
             self.paths.append(">".join(n for n in self.names if n))
             self.semantic.append(tag in SEMANTIC)
         self.stack.append((tag, holds, out))
+        self.named_at.append(len(self.named))
+        judged = tag not in ("html", "body", "main") and not (tag == "article" and not self.depth)
+        if attributes and not out and judged and _named_boilerplate(attributes, self.articles > 0):
+            self.named.append(self.n_named)
+            self.n_named += 1
+        if tag == "main" and not out:
+            self.exempt.update(self.named)
+        if tag == "article":
+            self.depth += 1
+            self.started.append(self.plain)
         self.out += out
         self.links += tag == "a"
         self.articles += tag in SEMANTIC
@@ -152,15 +189,24 @@ class Page:
         else:
             return
         while len(self.stack) > depth:
-            name, holds, out = self.stack.pop()
-            self.names.pop()
-            if name in BLOCKS:
-                self._flush()
-            if holds:
-                self.around.pop()
-            self.out -= out
-            self.links -= name == "a"
-            self.articles -= name in SEMANTIC
+            self._pop()
+
+    def _pop(self) -> None:
+        name, holds, out = self.stack.pop()
+        self.names.pop()
+        if name in BLOCKS:
+            self._flush()
+        del self.named[self.named_at.pop() :]
+        if name == "article":
+            self.depth -= 1
+            size = self.plain - self.started.pop()
+            if not self.depth and not self.out and size > self.core[0]:
+                self.core = (size, tuple(self.named))
+        if holds:
+            self.around.pop()
+        self.out -= out
+        self.links -= name == "a"
+        self.articles -= name in SEMANTIC
 
     def scores(self) -> list[float]:
         """Characters outside links, halved for each container in between; articles get all of theirs."""

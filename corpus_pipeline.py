@@ -46,7 +46,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """The document of the smallest id of each near-duplicate component: 5-word shingles, resemblance 0.8 or more."""
     rows = keyed(docs, whole=True)
     found = minhash_join.groups(rows.drop("row"), NEAR_WIDTH, NEAR_PERCENT)
-    kept = settle(found.where("kept").groupBy(*KEY).agg(F.count("*").alias("n")))
+    kept = settle(found.where("chosen").groupBy(*KEY).agg(F.count("*").alias("n")))
     if kept.where("n > 1").isEmpty():
         return rows.join(kept, KEY, "left_semi").select("row.*")
     once = rows.join(kept.where("n = 1"), KEY, "left_semi").select("row")

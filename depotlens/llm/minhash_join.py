@@ -256,11 +256,14 @@ def near_duplicates(
     one without words has an empty set and stands alone. Rows of null id get the smallest known id of their
     group, or null and kept if there is none. Repeated rows get equal results, an empty table an empty one.
     """
-    return groups(keyed(docs, doc_id, text), width, percent).drop(*KEY)
+    return groups(keyed(docs, doc_id, text), width, percent).drop(*KEY, "chosen")
 
 
 def groups(rows: DataFrame, width: int = 3, percent: int = 85) -> DataFrame:
-    """The columns of ``near_duplicates`` and the key, for rows made by ``keyed``."""
+    """The columns of ``near_duplicates``, the key and ``chosen``, for rows made by ``keyed``.
+
+    One row of a group is chosen, with the rows that repeat its id and text: the smallest known id, then hash.
+    """
     made = "doc_id long, key_id long, key_hash long, n long, set_id binary, heads array<int>, tail binary"
     sketches = settle(
         rows.withColumn("doc_id", F.col("doc_id").cast("bigint"))
@@ -268,13 +271,14 @@ def groups(rows: DataFrame, width: int = 3, percent: int = 85) -> DataFrame:
         .mapInArrow(_sketcher(width, percent), made)
     )
     roots = components(settle(links_between(rows, sketches, width, percent)))
-    firsts = sketches.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("first"))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key_hash")
+    firsts = sketches.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min(place).alias("first"))
     placed = firsts.join(roots, F.col("set_id") == F.col("node"), "left")
     placed = settle(placed.select("set_id", "first", F.coalesce("root", "set_id").alias("root")))
-    least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_set = placed.join(least, "root").select("set_id", "component_id")
+    least = placed.groupBy("root").agg(F.min("first").alias("least"))
+    of_set = placed.join(least, "root").select("set_id", "least")
     found = sketches.join(of_set, "set_id", "left").withColumn("n_shingles", F.col("n"))
-    found = found.withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return found.select(
-        *KEY, "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
-    )
+    found = found.withColumn("component_id", F.coalesce("least.doc_id", "doc_id"))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    chosen = kept & F.coalesce(F.col("key_hash") == F.col("least.key_hash"), F.lit(True))
+    return found.select(*KEY, "doc_id", "n_shingles", "component_id", kept.alias("kept"), chosen.alias("chosen"))

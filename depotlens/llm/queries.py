@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlens.llm import decontaminate, html_consensus, language_id, line_dedup, lm_scoring, minhash_join, piece_transducer, topk_search, toxicity, warc_chunks
+from depotlens.llm import (
+    decontaminate,
+    html_consensus,
+    language_id,
+    line_dedup,
+    lm_scoring,
+    minhash_join,
+    piece_table,
+    piece_transducer,
+    prefix_trie,
+    token_counts,
+    topk_search,
+    toxicity,
+    warc_chunks,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -63,6 +77,21 @@ def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Fill-in-the-middle form of every document, and its way back."""
+    return piece_table.fill_in_middle(_table(spark, folder, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Nodes of the trie of all rebuilt conversations."""
+    return prefix_trie.trie(spark, _table(spark, folder, "conversations"))
+
+
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document in the byte-level vocabulary."""
+    return token_counts.count_tokens(spark, _table(spark, folder, "documents"))
+
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -155,6 +184,60 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(c, doc_id) AS comp
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)
 """
 
+OP11_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+h AS (
+  SELECT *, ('0x' || x[1:8])::BIGINT % (n + 1) AS a, ('0x' || x[9:16])::BIGINT % (n + 1) AS b,
+    ('0x' || x[17:24])::BIGINT % 100 AS h3, ('0x' || x[25:32])::BIGINT % 100 AS h4 FROM d),
+f AS (
+  SELECT *, least(a, b) AS p, greatest(a, b) AS m,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain'
+         WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+c AS (SELECT *, substring(t, 1, p) AS prefix, substring(t, p + 1, m - p) AS middle, substring(t, m + 1, n - m) AS suffix FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN p END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN m - p END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM c
+"""
+
+# crc32 bit by bit: a character is mixed in, then -1 stands for each of the eight shifts.
+OP12_SQL = r"""
+WITH t AS (
+  SELECT conv_id AS c, role, text, md5(length(role) || ':' || role || text) AS x,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))::BIGINT AS w,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(length(role) || ':' || role || text)) AS k
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+steps AS (
+  SELECT DISTINCT c, flatten([[ascii(z), -1, -1, -1, -1, -1, -1, -1, -1] FOR z IN string_split(c::VARCHAR, '')]) AS s FROM t),
+h AS (
+  SELECT c, c - c % 20 AS b, xor(list_reduce(list_prepend(4294967295::BIGINT, s::BIGINT[]),
+    lambda a, z: CASE WHEN z >= 0 THEN xor(a, z) ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295) % 4 AS h FROM steps),
+turns AS (
+  SELECT h.c, k, x, w FROM h JOIN t ON t.c = h.b AND k <= h.h UNION ALL SELECT h.c, k, x, w FROM h JOIN t ON t.c = h.c AND k > h.h),
+paths AS (
+  SELECT h.c, coalesce(list(x ORDER BY k) FILTER (x IS NOT NULL), []) AS p, list(w ORDER BY k) AS w
+  FROM h LEFT JOIN turns ON turns.c = h.c GROUP BY h.c),
+members AS (SELECT c, d, p[1:d] AS q, w[d] AS w, len(p) = d AS ends FROM paths, unnest(range(0, len(p) + 1)) u(d)),
+nodes AS (
+  SELECT d, q, min(c) AS conv_id, count(*) AS n, any_value(w) AS w,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM members GROUP BY d, q),
+children AS (SELECT q[1:d - 1] AS q, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+own AS (
+  SELECT nodes.*, coalesce(children.n, 0) AS n_children, CASE WHEN d > 0 THEN (nodes.n - 1) * w ELSE 0 END AS saved
+  FROM nodes LEFT JOIN children USING (q)),
+sums AS (
+  SELECT q[1:a] AS q, sum(saved) AS saved, count(*) FILTER (n_children = 0) AS leaves
+  FROM own, unnest(range(0, d + 1)) u(a) GROUP BY 1)
+SELECT own.conv_id, own.d AS depth, above.conv_id AS parent_conv_id, own.n AS n_convs, own.n_children,
+  sums.leaves AS n_leaves, sums.saved::BIGINT AS saved_tokens, own.ends_sha256
+FROM own JOIN sums USING (q) LEFT JOIN nodes above ON own.d > 0 AND above.q = own.q[1:own.d - 1]
+"""
+
 CHECKS = {
     "op1_topk_search": (op1_topk_search, OP1_SQL),
     "op2_language_id": (op2_language_id, None),
@@ -166,4 +249,7 @@ CHECKS = {
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op10_minhash_join": (op10_minhash_join, OP10_SQL),
     "op9_decontaminate": (op9_decontaminate, OP9_SQL),
+    "op11_fill_in_middle": (op11_fill_in_middle, OP11_SQL),
+    "op12_prefix_trie": (op12_prefix_trie, OP12_SQL),
+    "op13_token_counts": (op13_token_counts, None),
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from depotlens.functions.columns import coerce_date
+from depotlens.sources.records import records
 from depotlens.sources.schemas import ARTICLE_DDL, OCR_DDL, TABLE_DDL
 
 log = logging.getLogger(__name__)
@@ -29,6 +30,7 @@ CSV_FORMAT = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWh
 
 # No text holds this sign, so that quoted empty text stays empty and only an empty field without quotes is unknown.
 NO_VALUE = "\x00"
+CSV_READ = {"mode": "FAILFAST", "nullValue": NO_VALUE, "multiLine": True, **CSV_FORMAT}
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -38,18 +40,76 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def scan_csv(
-    spark: SparkSession, path: str, schema: str | None = None, infer: bool = False, multi_line: bool = True
+    spark: SparkSession, path: str, schema: str | None = None, infer: bool = False, multi_line: bool = True, whole_files: bool = False
 ) -> DataFrame:
     """Delimited files with a header. A given schema avoids the extra pass that inference needs.
 
-    Quoted text may hold line breaks, so a file is read by one task; give large tables as many files. Only
-    where no text holds a line break may ``multi_line`` be off. A row that cannot be read is an error.
+    Quoted text may hold line breaks: records are found by the parity of quotes (``records``), so many tasks
+    read one file. Where no text holds a line break, ``multi_line=False`` saves that. Files with stray quotes in
+    plain fields need ``whole_files``, one task for each. A row that cannot be read is an error.
     """
-    options = {"multiLine": multi_line, "mode": "FAILFAST", "nullValue": NO_VALUE, **CSV_FORMAT}
-    reader = spark.read.options(header=True, enforceSchema=False, **options)
-    if schema and not infer:
-        return reader.schema(schema).csv(path)
-    return reader.option("inferSchema", True).csv(path)
+    known = schema if schema and not infer else None
+    if multi_line and not whole_files:
+        return _scan_records(spark, path, known)
+    reader = spark.read.options(header=True, enforceSchema=False, **{**CSV_READ, "multiLine": whole_files})
+    return reader.schema(known).csv(path) if known else reader.option("inferSchema", True).csv(path)
+
+
+def _quoted_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _scan_records(spark: SparkSession, path: str, schema: str | None) -> DataFrame:
+    rows = records(spark, path)
+    # One header a file, and few different ones.
+    heads = [r["text"] for r in rows.where("head").select("text").distinct().collect()]
+    titles = {
+        tuple(spark.range(1).select(F.from_csv(F.lit(h), _texts(h.count(",") + 1), {**CSV_READ, "mode": "PERMISSIVE"}).alias("r")).first()["r"])
+        for h in heads
+    }
+    names = {tuple(t for t in found if t is not None) for found in titles}
+    if schema is None:
+        if len(names) != 1:
+            raise ValueError(f"files without one common header: {sorted(names)}")
+        schema = _inferred(rows, next(iter(names)))
+    fields = StructType.fromDDL(schema).fieldNames()
+    for found in names:
+        if [n.lower() for n in found] != [n.lower() for n in fields]:
+            raise ValueError(f"header {list(found)} differs from columns {fields}")
+    return rows.where("not head").select(F.from_csv("text", schema, CSV_READ).alias("r")).select("r.*")
+
+
+def _texts(n: int) -> str:
+    return ", ".join(f"c{i} string" for i in range(n))
+
+
+# Types in the order in which they are tried, and the form that text of the type has.
+INFERRED = (
+    ("int", r"^[+-]?[0-9]+$"),
+    ("bigint", r"^[+-]?[0-9]+$"),
+    ("double", r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"),
+    ("date", r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"),
+    ("timestamp", r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[T ][0-9]{1,2}:[0-9]{2}"),
+    ("boolean", "(?i)^(true|false)$"),
+)
+
+
+def _inferred(rows: DataFrame, names: Sequence[str]) -> str:
+    """Schema that reads every value: per column the first type that no value contradicts, else text; one pass."""
+    values = rows.where("not head").select(F.from_csv("text", _texts(len(names)), CSV_READ).alias("r")).select("r.*")
+    tests = [
+        F.coalesce(F.every(F.col(f"c{i}").isNull() | (F.col(f"c{i}").rlike(form) & F.col(f"c{i}").try_cast(kind).isNotNull())), F.lit(False))
+        for i in range(len(names))
+        for kind, form in INFERRED
+    ]
+    filled = [F.count(f"c{i}") > 0 for i in range(len(names))]
+    found = values.agg(F.array(*tests).alias("fits"), F.array(*filled).alias("filled")).first()
+    kinds = []
+    for i in range(len(names)):
+        fits = found["fits"][i * len(INFERRED) : (i + 1) * len(INFERRED)]
+        first = next((kind for (kind, _), fit in zip(INFERRED, fits) if fit), "string")
+        kinds.append(first if found["filled"][i] else "string")
+    return ", ".join(f"{_quoted_name(n)} {kind}" for n, kind in zip(names, kinds))
 
 
 def scan_csv_tables(

@@ -40,15 +40,17 @@ def verify_counts(spark: SparkSession, *tables: str) -> DataFrame:
 
 
 def write_csv_all(
-    tables: Mapping[str, DataFrame], folder: str, mode: str = "overwrite", rows_per_file: int = 500_000
+    tables: Mapping[str, DataFrame], folder: str, mode: str = "overwrite", bytes_per_file: int = 1 << 27
 ) -> None:
     """Each table as ``<folder>/<name>.csv``, a directory of part files with headers.
 
-    Files are bounded, as a file with quoted line breaks is read by one task.
+    A file ends after as many rows as have ``bytes_per_file`` on average; one pass over the table sizes them.
     """
     for name, df in tables.items():
-        options = {"header": True, "maxRecordsPerFile": rows_per_file, **CSV_FORMAT}
-        df.write.mode(mode).options(**options).csv(f"{folder}/{name}.csv")
+        line = F.octet_length(F.to_csv(F.struct(*df.columns), CSV_FORMAT)) + 1
+        n, size = df.agg(F.count(F.lit(1)), F.sum(line.cast("bigint"))).first()
+        rows = max(1, n * bytes_per_file // size) if size else 1
+        df.write.mode(mode).options(header=True, maxRecordsPerFile=rows, **CSV_FORMAT).csv(f"{folder}/{name}.csv")
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -107,7 +107,7 @@ def test_parquet_and_settled_frames(spark, tmp_path):
 def test_delimited_text_with_line_breaks_comes_back_whole(spark, tmp_path):
     rows = [(1, "two\nlines, \"quoted\""), (2, "  spaces  "), (3, ""), (4, None), (5, "a\r\nb\rc"), (6, "back\\slash\\n")]
     table = spark.createDataFrame(rows, "supplier_id string, supplier_name string".replace("supplier_id string", "supplier_id int"))
-    writers.write_csv_all({"t": table}, str(tmp_path), rows_per_file=2)
+    writers.write_csv_all({"t": table}, str(tmp_path), bytes_per_file=40)
     again = readers.scan_csv(spark, f"{tmp_path}/t.csv", "supplier_id int, supplier_name string")
     assert sorted(map(tuple, again.collect())) == rows
     (tmp_path / "bad.csv").write_text("supplier_id,supplier_name\n1,a\nx,b,c\n")

@@ -27,8 +27,8 @@ from depotlens.session import settle
 CHUNK, OVERLAP, WIDER = 1 << 15, 1 << 9, 16
 #: Tokens above which a document is over the limit.
 LIMIT = 1024
-#: Characters that the library encodes in one call, about.
-CALL = 1 << 22
+#: Characters that the library encodes in one call, about, and words whose tokens it remembers.
+CALL, REMEMBERED = 1 << 16, 1 << 15
 #: Characters of the longest form of the word pattern that is decided by a fixed text (``'re``), and one to look ahead.
 LOOKAHEAD = 4
 
@@ -74,6 +74,8 @@ def _load(definition: str):
         made = Tokenizer.from_str(definition)
         made.no_padding()
         made.no_truncation()
+        if hasattr(made.model, "_resize_cache"):
+            made.model._resize_cache(REMEMBERED)
         _loaded[key] = made
     return _loaded[key]
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks.feeds_sql import AS_OF, CTE, query, rnd
 from checks.medallion import layers
-from depotlens.operators import inventory, ordering, recommend, splits
+from depotlens.operators import groupwise, inventory, ordering, recommend, splits
 from depotlens.operators.gold import inventory_features
 from depotlens.operators.neighbours import item_knn_cosine, standardize
+from depotlens.operators.trees import node_table, score_by_nodes, with_features
 from depotlens.plans import recommendation as flows
-from depotlens.plans import stock as stock_flows
+from depotlens.session import settle
 from depotlens.sources.star_schema import AS_OF as TODAY
 
 
@@ -92,13 +94,6 @@ def _risk_features(feeds):
     )
 
 
-def _risk(feeds):
-    lake = layers(feeds)
-    return stock_flows.writeoff_risk(
-        lake.inventory, _site_demand(feeds), lake.products, TODAY, ["inventory_id"]
-    )
-
-
 CTE["scored_docs"] = """
 SELECT quality AS actual, CASE WHEN n_chars >= 1000 THEN 1 ELSE 0 END AS predicted, CAST(n_chars AS DOUBLE) AS score
 FROM labels JOIN documents USING (doc_id)"""
@@ -355,6 +350,26 @@ def _list_facts(found, key="customer_id"):
     )
 
 
+def _fitted_als(feeds, iterations=10):
+    weights, _ = flows.coded(settle(recommend.interaction_weights(layers(feeds).interactions)))
+    weights = settle(weights)
+    return recommend.als_implicit(weights, 32, iterations), weights
+
+
+def _als_solved(feeds):
+    """Every user, and whether its factors solve its normal equations."""
+    found = recommend.als_residuals(*_fitted_als(feeds))
+    return found.select("customer_id", "n_items", (F.col("residual") < 1e-3).alias("solved"))
+
+
+def _als_loss(feeds):
+    """Whether the loss falls with the iterations and from zero factors."""
+    long, short = (recommend.als_objective(*_fitted_als(feeds, n)) for n in (10, 1))
+    return long.select(
+        (F.col("objective") < short.select("objective").scalar()).alias("falls"), (F.col("objective") < F.col("at_zero")).alias("below_zero_factors")
+    )
+
+
 def _als_recommendations(feeds):
     interactions = layers(feeds).interactions
     found = flows.factor_recommendations(interactions)
@@ -372,18 +387,51 @@ SELECT customer_id, least(10, (SELECT count(DISTINCT product_id) FROM silver_int
 FROM silver_interactions GROUP BY customer_id"""
 
 
+def _fitted_risk(feeds):
+    lake = layers(feeds)
+    rows = inventory.writeoff_features(lake.inventory, TODAY, _site_demand(feeds), lake.products)
+    rows = settle(rows.withColumn("will_expire_30d", inventory.expiry_label()))
+    return rows, *inventory.train_writeoff_classifier(rows, id_columns=["inventory_id"])
+
+
+def _same(one, other):
+    return F.abs(F.col(one) - F.col(other)) < 1e-9
+
+
 def _risk_rows(feeds):
-    """Every stock row with its label, and whether its score is a probability."""
-    return _risk(feeds)[0].select(
-        "inventory_id", "will_expire_30d", F.col("risk_score").between(0, 1).alias("is_probability")
+    """Every stock row with its label, and whether its score is the one that the forest's node table gives."""
+    rows, model, columns, _ = _fitted_risk(feeds)
+    scored = inventory.risk_by_nodes(model, inventory.predict_writeoff_risk(model, rows, columns), columns)
+    return scored.select(
+        "inventory_id",
+        "will_expire_30d",
+        F.col("risk_score").between(0, 1).alias("is_probability"),
+        _same("risk_score", "node_score").alias("equals_nodes"),
     )
 
 
 def _risk_metrics(feeds):
-    """The holdout keeps the share of each class; the other metrics are shares."""
-    names = ("accuracy", "f1", "precision", "recall", "pr_auc")
-    return _risk(feeds)[1].select(
-        F.round("positive_rate", 9).alias("positive_rate"), *[F.col(n).between(0, 1).alias(f"{n}_is_share") for n in names]
+    """The holdout keeps the share of each class; the metrics follow from node scores of its rows, counted anew."""
+    rows, model, columns, metrics = _fitted_risk(feeds)
+    held = splits.stratified_split(rows, "will_expire_30d", 0.2, 42, ["inventory_id"])[1]
+    scored = settle(inventory.risk_by_nodes(model, held, columns).select(F.col("will_expire_30d").alias("y"), F.col("node_score").alias("p")))
+    guess = (F.col("p") > 0.5).cast("int")
+    counts = scored.agg(
+        F.avg((guess == F.col("y")).cast("double")).alias("a"),
+        F.try_divide(2 * F.sum(guess * F.col("y")), F.sum(guess) + F.sum("y")).alias("f"),
+        F.try_divide(F.sum(guess * F.col("y")).cast("double"), F.sum(guess).cast("double")).alias("q"),
+        F.try_divide(F.sum(guess * F.col("y")).cast("double"), F.sum("y").cast("double")).alias("r"),
+    )
+    # Average precision once more, as the mean over positives of the precision at their own score.
+    positives = scored.where("y = 1").select(F.round("p", 12).alias("at"))
+    steps = scored.groupBy(F.round("p", 12).alias("at")).agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("k"))
+    below = Window.orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, 0)
+    precision = steps.select("at", (F.sum("k").over(below) / F.sum("n").over(below)).alias("v"))
+    area = positives.join(precision, "at").agg(F.avg("v").alias("area"))
+    pairs = {"accuracy": "a", "f1": "f", "precision": "q", "recall": "r", "pr_auc": "area"}
+    both = metrics.crossJoin(counts).crossJoin(area).na.fill(0.0)  # one row each
+    return both.select(
+        F.round("positive_rate", 9).alias("positive_rate"), *[_same(name, own).alias(f"{name}_is_own") for name, own in pairs.items()]
     )
 
 
@@ -395,6 +443,37 @@ def _ranked(feeds):
     return _list_facts(flows.ranker_recommendations(_base(feeds), items))
 
 
+def _ranker_scores(feeds):
+    """Every pair with history, and whether the ranker's score is the one that its node table gives."""
+    base = settle(_base(feeds))
+    rows, columns = recommend.ranker_features(base, layers(feeds).products)
+    rows = settle(rows)
+    model = recommend.train_ranker(rows, columns)
+    scored = score_by_nodes(with_features(model, model.transform(rows).drop("_features")), node_table(feeds.spark, model))
+    return scored.select("customer_id", "product_id", _same("score", "node_score").alias("equals_nodes"))
+
+
+GROUP_COLUMNS = ("interaction_count", "unit_price", "margin_percentage", "lead_time_days")
+
+
+def _group_ranked(feeds):
+    """Best five pairs of every customer by the published weights, which are recomputed from them in another way."""
+    rows, _ = recommend.ranker_features(_base(feeds), layers(feeds).products)
+    rows = settle(rows.select("customer_id", "product_id", "label", *GROUP_COLUMNS))
+    weights = settle(groupwise.train_group_ranker(rows, GROUP_COLUMNS))
+    ranked = groupwise.rank_in_groups(weights, rows, 5)
+    parts = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in GROUP_COLUMNS]
+    long = rows.select("customer_id", "product_id", F.explode(F.array(*parts)).alias("e")).select("customer_id", "product_id", "e.*")
+    again = long.join(weights, "feature").groupBy("customer_id", "product_id").agg(F.sum(F.col("x") * F.col("weight")).alias("again"))
+    # Ranks without ties that rounding may turn: each score is the sum, and none below it is larger.
+    near = F.abs(F.col("score") - F.col("again")) <= 1e-9 * (1 + F.abs(F.col("again")))
+    return (
+        ranked.join(again, ["customer_id", "product_id"])
+        .groupBy("customer_id")
+        .agg(F.count(F.lit(1)).alias("n"), F.every(near).alias("scores_recomputed"))
+    )
+
+
 def _ranker_rows(feeds):
     items = layers(feeds).products.select(*RANKER_ATTRIBUTES)
     rows, _ = recommend.ranker_features(_base(feeds), items)
@@ -583,16 +662,16 @@ CHECKS = {
     "train_writeoff_classifier": (
         _risk_metrics,
         query(
-            "SELECT round(p / (p + n), 9) AS positive_rate, true AS accuracy_is_share, true AS f1_is_share, true AS precision_is_share, "
-            "true AS recall_is_share, true AS pr_auc_is_share FROM (SELECT round(0.2 * count(*) FILTER (WHERE days_until_expiry BETWEEN 0 "
+            "SELECT round(p / (p + n), 9) AS positive_rate, true AS accuracy_is_own, true AS f1_is_own, true AS precision_is_own, "
+            "true AS recall_is_own, true AS pr_auc_is_own FROM (SELECT round(0.2 * count(*) FILTER (WHERE days_until_expiry BETWEEN 0 "
             "AND 30))::DOUBLE AS p, round(0.2 * count(*) FILTER (WHERE NOT days_until_expiry BETWEEN 0 AND 30))::DOUBLE AS n FROM silver_inventory)"
         ),
     ),
     "predict_writeoff_risk": (
         _risk_rows,
         query(
-            "SELECT inventory_id, CAST(days_until_expiry BETWEEN 0 AND 30 AS BIGINT) AS will_expire_30d, true AS is_probability "
-            "FROM silver_inventory"
+            "SELECT inventory_id, CAST(days_until_expiry BETWEEN 0 AND 30 AS BIGINT) AS will_expire_30d, true AS is_probability, "
+            "true AS equals_nodes FROM silver_inventory"
         ),
     ),
     # recommendation
@@ -667,6 +746,11 @@ CHECKS = {
             "FROM silver_products) p ON b.product_id = p.product_id"
         ),
     ),
+    "train_ranker": (_ranker_scores, query("SELECT customer_id, product_id, true AS equals_nodes FROM base_table")),
+    "group_ranker": (
+        _group_ranked,
+        query("SELECT customer_id, least(count(*), 5) AS n, true AS scores_recomputed FROM base_table GROUP BY customer_id"),
+    ),
     "rank_candidates": (
         _ranked,
         query(f"SELECT customer_id, 10::BIGINT AS n, {FACTS} FROM base_table WHERE label = 1 GROUP BY customer_id"),
@@ -683,6 +767,8 @@ CHECKS = {
             + ") GROUP BY customer_id"
         ),
     ),
+    "als_implicit": (_als_solved, query("SELECT customer_id, count(*) AS n_items, true AS solved FROM weight_table GROUP BY customer_id")),
+    "als_objective": (_als_loss, "SELECT true AS falls, true AS below_zero_factors"),
     "als_recommend_for_users": (_als_recommendations, query(LIST_FACTS.format(" - count(DISTINCT product_id)"))),
     "als_all_items": (_als_all_items, query(LIST_FACTS.format(""))),
     "ranking_metrics_per_user": (

@@ -26,6 +26,7 @@ from depotlens.functions.columns import (
 from depotlens.operators.joins import lookup_default, merge_category
 from depotlens.operators.ordering import running_totals
 from depotlens.operators.splits import demand_split, stratified_split
+from depotlens.operators.trees import node_table, score_by_nodes, with_features
 
 # Planning defaults.
 DEMAND_WINDOW_DAYS = 90
@@ -288,6 +289,13 @@ def predict_writeoff_risk(model: PipelineModel, features: DataFrame, columns: Se
     return scored.withColumn("risk_score", vector_to_array("probability")[1]).select(*keep, "risk_score")
 
 
+def risk_by_nodes(model: PipelineModel, features: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add ``node_score``: the probability of class 1 as it follows from the forest's table of nodes."""
+    rows = with_features(model, _cleaned(features, columns))
+    scored = score_by_nodes(rows, node_table(features.sparkSession, model), mean=True)
+    return scored.select(*features.columns, "node_score")
+
+
 # --- metrics -----------------------------------------------------------------------------
 
 

@@ -57,14 +57,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(checkpoint_folder(spark))
 
 
+def scratch_folder(spark: SparkSession, kind: str) -> str:
+    """A new path in the shared folder, which ``release`` removes."""
+    path = f"{checkpoint_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+    _settled.append(path)
+    return path
+
+
 def settle(df: DataFrame, **options: str) -> DataFrame:
     """Write a frame to Parquet in the shared folder, with the writer's options, and read it from there.
 
     For results that several later steps read: they are computed once, survive the loss of executors,
     and carry their true size, by which Spark picks join strategies. ``release`` removes them.
     """
-    target = f"{checkpoint_folder(df.sparkSession)}/settled-{uuid.uuid4().hex}"
-    _settled.append(target)
+    target = scratch_folder(df.sparkSession, "settled")
     df.write.options(**options).parquet(target)
     return df.sparkSession.read.schema(df.schema).parquet(target)
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html as markup
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -27,16 +28,22 @@ RAW = frozenset("script style noscript template iframe textarea title svg select
 LEFT_OUT = frozenset("nav aside form footer button fieldset dialog menu label".split())
 SEMANTIC = frozenset("article main".split())
 CLOSED_BY = {"li": "ul ol".split(), "dt": ["dl"], "dd": ["dl"], "td": ["tr", "table"], "th": ["tr", "table"], "tr": ["table"]}
-BOILERPLATE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|alert|sidebar|side|menu|nav|navbar|"
-    r"navigation|breadcrumbs?|footer|comments?|commentlist|respond|replies|disqus|share|sharing|social|related|"
-    r"recommended|newsletter|subscribe|signup|popup|modal|overlay|widget|pagination|pager|toolbar|login|search)"
-    r"(?:$|[\s_-])",
-    re.I,
+BOILERPLATE = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promoted promotion banner cookie cookies consent notice "
+    "notices alert alerts sidebar side menu nav navbar navigation breadcrumb breadcrumbs footer comment comments commentlist respond "
+    "replies reviews reactions responses discussion disqus share sharing social related recommended newsletter subscribe signup popup "
+    "modal overlay widget widgets pagination pager toolbar login search".split()
+)
+HEADERS = frozenset("header masthead topbar".split())
+#: Words that may stand beside such a word in a name without giving it another sense.
+BESIDE = HEADERS | frozenset(
+    "box bar block list item items container wrapper wrap area section content inner outer left right top bottom main site page post posts "
+    "article articles entry stories news global primary secondary button buttons link links icon icons form field input slot unit panel "
+    "group row col column holder sticky fixed mobile desktop title text body message messages results thread".split()
 )
 #: Forms that say what an element has or lacks, not what it is.
 HAS_OR_NOT = re.compile(r"(?<![^\s_-])(?:has|no|with|without)[_-]\S*", re.I)
-HEADER = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar)(?:$|[\s_-])", re.I)
+NAME_PARTS = re.compile(r"[^\W\d_]+")
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 
 TAG = re.compile(
@@ -68,33 +75,46 @@ def _left_out(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
 
 
 def _named_boilerplate(attributes: dict[str, str], in_article: bool) -> bool:
-    """Whether the words of class and id say so; this does not hold around the main article."""
-    names = HAS_OR_NOT.sub(" ", f"{attributes.get('class', '')} {attributes.get('id', '')}")
-    return bool(BOILERPLATE.search(names) or (not in_article and HEADER.search(names)))
+    """Whether a name of class or id says so: a boilerplate word, and beside it only words that leave it its sense.
+
+    ``search-form`` and ``comments`` say it, ``search-engine`` and ``alert-system`` do not.
+    """
+    names = HAS_OR_NOT.sub(" ", f"{attributes.get('class', '')} {attributes.get('id', '')}").lower()
+    for name in names.split():
+        parts = set(NAME_PARTS.findall(name))
+        telling = parts & BOILERPLATE or (not in_article and parts & HEADERS)
+        if telling and parts <= BOILERPLATE | BESIDE:
+            return True
+    return False
 
 
 class Page:
-    """Blocks of text of a page with the containers around each, boilerplate elements left out.
+    """Blocks of text of a page with the innermost container around each, boilerplate elements left out.
 
     Class and id words do not judge main elements, articles outside other articles, and what is around a main
     element or the article with the most text outside links; which one that is shows at the end of the page.
+    Containers, their paths and named elements know their parents only, so work and memory grow with the
+    page and not with its depth.
     """
 
     def __init__(self, source: str):
-        self.paths: list[str] = []
+        self.inside: list[int] = []  # container around each container, or -1
+        self.path: list[int] = []  # number of its path
         self.semantic: list[bool] = []
-        self.blocks: list[tuple[tuple[int, ...], str, int]] = []  # containers, text, characters in links
-        self.stack: list[tuple[str, bool, bool]] = []  # tag, is a container, is left out by tag or attributes
-        self.named: list[int] = []  # elements open now that class or id words leave out
-        self.named_at: list[int] = []  # how many of them were open before each element of the stack
-        self.n_named = self.plain = self.depth = 0  # named elements, characters outside links, open articles
-        self.core: tuple[int, tuple[int, ...]] = (-1, ())  # characters of the best article, named elements around it
+        self.steps: list[tuple[int, str]] = []  # path before and last name of each path
+        self.numbers: dict[tuple[int, str], int] = {}
+        self.blocks: list[tuple[int, str, int]] = []  # container, text, characters in links
+        self.stack: list[tuple[str, bool, bool, int]] = []  # tag, is a container, is left out, named element around
+        self.opened: Counter[str] = Counter()
+        self.around: list[int] = [-1]
+        self.named: list[int] = []  # named element around each element that class or id words leave out, or -1
+        self.name = -1  # innermost of these open now
+        self.exempt: list[int] = []  # named elements that are exempt with all around them
+        self.plain = self.depth = 0  # characters outside links, open articles
+        self.core: tuple[int, int] = (-1, -1)  # characters of the best article, named element around it
         self.started: list[int] = []  # characters before each open article
-        self.exempt: set[int] = set()
-        self.raw: list[tuple[tuple[int, ...], list[tuple[str, bool, tuple[int, ...]]]]] = []
-        self.names: list[str] = []
-        self.around: list[int] = []
-        self.text: list[tuple[str, bool, tuple[int, ...]]] = []  # words, in a link, named elements around
+        self.raw: list[tuple[int, list[tuple[str, bool, int]]]] = []
+        self.text: list[tuple[str, bool, int]] = []  # words, in a link, named element around
         self.out = self.links = self.articles = 0
         self._read(source)
 
@@ -125,28 +145,35 @@ class Page:
 
     def _words(self, text: str) -> None:
         if text and not self.out:
-            self.text.append((text, self.links > 0, tuple(self.named)))
+            self.text.append((text, self.links > 0, self.name))
             if not self.links:
                 self.plain += len(text)
 
     def _flush(self) -> None:
         if self.text:
-            self.raw.append((tuple(self.around), self.text))
+            self.raw.append((self.around[-1], self.text))
             self.text = []
 
     def _judge(self) -> None:
-        exempt = self.exempt.union(self.core[1])
+        exempt = [False] * len(self.named)
+        for named in (*self.exempt, self.core[1]):
+            while named >= 0 and not exempt[named]:
+                exempt[named] = True
+                named = self.named[named]
+        kept = [True] * (len(self.named) + 1)  # the last one stands for -1
+        for at, around in enumerate(self.named):
+            kept[at] = exempt[at] and kept[around]
         for around, parts in self.raw:
-            kept = [(t, linked) for t, linked, named in parts if exempt.issuperset(named)]
-            text = " ".join(markup.unescape("".join(t for t, _ in kept)).split())
+            some = [(t, linked) for t, linked, named in parts if kept[named]]
+            text = " ".join(markup.unescape("".join(t for t, _ in some)).split())
             if text:
-                self.blocks.append((around, text, sum(len(t) for t, linked in kept if linked)))
+                self.blocks.append((around, text, sum(len(t) for t, linked in some if linked)))
         self.raw = []
 
     def _open(self, tag: str, rest: str) -> None:
         if tag in BLOCKS:
             self._flush()
-            if any(t == "p" for t, _, _ in self.stack[-8:]) and tag != "html":
+            if any(t == "p" for t, *_ in self.stack[-8:]) and tag != "html":
                 self._close("p", stop=CONTAINERS)
             if tag in CLOSED_BY:
                 self._close(tag, stop=CLOSED_BY[tag])
@@ -157,20 +184,25 @@ class Page:
         attributes = _attributes(rest)
         out = self.out > 0 or _left_out(tag, attributes, self.articles > 0)
         holds = tag in CONTAINERS
-        label = ".".join([tag, *sorted(attributes.get("class", "").split())]) if holds else ""
-        self.names.append(re.sub(r"\d+", "#", label))
         if holds:
-            self.around.append(len(self.paths))
-            self.paths.append(">".join(n for n in self.names if n))
+            label = re.sub(r"\d+", "#", ".".join([tag, *sorted(attributes.get("class", "").split())]))
+            parent = self.around[-1]
+            step = (self.path[parent] if parent >= 0 else -1, label)
+            if step not in self.numbers:
+                self.numbers[step] = len(self.steps)
+                self.steps.append(step)
+            self.around.append(len(self.inside))
+            self.inside.append(parent)
+            self.path.append(self.numbers[step])
             self.semantic.append(tag in SEMANTIC)
-        self.stack.append((tag, holds, out))
-        self.named_at.append(len(self.named))
+        self.stack.append((tag, holds, out, self.name))
+        self.opened[tag] += 1
         judged = tag not in ("html", "body", "main") and not (tag == "article" and not self.depth)
         if attributes and not out and judged and _named_boilerplate(attributes, self.articles > 0):
-            self.named.append(self.n_named)
-            self.n_named += 1
+            self.named.append(self.name)
+            self.name = len(self.named) - 1
         if tag == "main" and not out:
-            self.exempt.update(self.named)
+            self.exempt.append(self.name)
         if tag == "article":
             self.depth += 1
             self.started.append(self.plain)
@@ -181,60 +213,89 @@ class Page:
     def _close(self, tag: str, stop=()) -> None:
         if tag in BLOCKS:
             self._flush()
+        if not self.opened[tag]:
+            return
         for depth in range(len(self.stack) - 1, -1, -1):
             if self.stack[depth][0] == tag:
                 break
             if self.stack[depth][0] in stop:
                 return
-        else:
-            return
         while len(self.stack) > depth:
             self._pop()
 
     def _pop(self) -> None:
-        name, holds, out = self.stack.pop()
-        self.names.pop()
-        if name in BLOCKS:
+        tag, holds, out, self.name = self.stack.pop()
+        self.opened[tag] -= 1
+        if tag in BLOCKS:
             self._flush()
-        del self.named[self.named_at.pop() :]
-        if name == "article":
+        if tag == "article":
             self.depth -= 1
             size = self.plain - self.started.pop()
             if not self.depth and not self.out and size > self.core[0]:
-                self.core = (size, tuple(self.named))
+                self.core = (size, self.name)
         if holds:
             self.around.pop()
         self.out -= out
-        self.links -= name == "a"
-        self.articles -= name in SEMANTIC
+        self.links -= tag == "a"
+        self.articles -= tag in SEMANTIC
 
     def scores(self) -> list[float]:
         """Characters outside links, halved for each container in between; articles get all of theirs."""
-        found = [0.0] * len(self.paths)
-        for around, text, linked in self.blocks:
-            worth = len(text) - 2.0 * linked
-            for near, c in enumerate(reversed(around)):
-                found[c] += worth if self.semantic[c] else worth / (1 << min(near, 60))
-        return found
+        halved = [0.0] * len(self.inside)
+        for c, text, linked in self.blocks:
+            if c >= 0:
+                halved[c] += len(text) - 2.0 * linked
+        whole = list(halved)
+        for c in range(len(self.inside) - 1, -1, -1):  # containers come before those inside them
+            if self.inside[c] >= 0:
+                halved[self.inside[c]] += halved[c] / 2
+                whole[self.inside[c]] += whole[c]
+        return [w if s else h for h, w, s in zip(halved, whole, self.semantic)]
+
+    def path_text(self, container: int) -> str:
+        names, path = [], self.path[container]
+        while path >= 0:
+            path, name = self.steps[path]
+            names.append(name)
+        return ">".join(reversed(names))
+
+    def _best(self) -> tuple[int, float]:
+        """Number and score of the best container, the first of equal ones; -1 if none has a score above 0."""
+        scores = self.scores()
+        at = max(range(len(scores)), key=lambda i: (scores[i], -i), default=-1)
+        return (at, scores[at]) if at >= 0 and scores[at] > 0 else (-1, 0.0)
 
     def best(self) -> tuple[str | None, float]:
-        """Path and score of the best container, the first of equal ones."""
-        scores = self.scores()
-        if not scores:
-            return None, 0.0
-        at = max(range(len(scores)), key=lambda i: (scores[i], -i))
-        return (self.paths[at], scores[at]) if scores[at] > 0 else (None, 0.0)
+        """Path and score of the best container."""
+        at, score = self._best()
+        return (self.path_text(at), score) if at >= 0 else (None, 0.0)
+
+    def _number(self, path: str) -> int:
+        """Number of a path on this page, or -1: each path continues the one before it by its last name."""
+        upto: list[int] = []
+        for number, (before, name) in enumerate(self.steps):
+            at = 0 if before < 0 else upto[before] + 1
+            fits = (before < 0 or (upto[before] >= 0 and path.startswith(">", at - 1))) and path.startswith(name, at)
+            upto.append(at + len(name) if fits else -1)
+            if fits and upto[-1] == len(path):
+                return number
+        return -1
+
+    def _inside(self, number: int) -> str:
+        """Text inside the containers of a path, in page order."""
+        within = [False] * (len(self.inside) + 1)  # the last one stands for -1
+        for c, (parent, path) in enumerate(zip(self.inside, self.path)):
+            within[c] = path == number or within[parent]
+        return "\n".join(t for c, t, _ in self.blocks if within[c])
 
     def extract(self, path: str | None) -> str:
-        """Text inside the containers on the path, in page order, or of the page's best container."""
-        on_path = {i for i, p in enumerate(self.paths) if p == path}
-        text = "\n".join(t for around, t, _ in self.blocks if not on_path.isdisjoint(around))
-        if text:
-            return text
-        best, _ = self.best()
-        if best is not None and best != path:
-            return self.extract(best)
-        return "\n".join(t for _, t, _ in self.blocks)
+        """Text inside the containers on the path, or else of the page's best container, or else all of it."""
+        number = -1 if path is None else self._number(path)
+        text = self._inside(number) if number >= 0 else ""
+        if not text:
+            best, _ = self._best()
+            text = self._inside(self.path[best]) if best >= 0 else ""
+        return text or "\n".join(t for _, t, _ in self.blocks)
 
 
 def _vote(batches):

@@ -290,11 +290,17 @@ CHECKS = {
     ),
     "document_inventory": (
         lambda f: documents.document_inventory(
-            documents=f.table("documents"), pages=f.doc_pages, annotated=f.table("labels")
+            documents=f.table("documents"),
+            pages=f.doc_pages,
+            fields=_fields(f),
+            predictions=_fields(f).where("prescription_number <> ''"),
+            annotated=f.table("labels"),
         ),
         query(
             "SELECT 'documents' AS source, count(DISTINCT doc_id) AS documents, count(*) AS rows FROM documents UNION ALL "
             "SELECT 'pages', count(DISTINCT doc_id), count(*) FROM doc_pages UNION ALL "
+            "SELECT 'fields', count(DISTINCT doc_id), count(*) FROM field_table UNION ALL "
+            "SELECT 'predictions', count(DISTINCT doc_id), count(*) FROM field_table WHERE prescription_number <> '' UNION ALL "
             "SELECT 'annotated', count(DISTINCT doc_id), count(*) FROM labels"
         ),
     ),

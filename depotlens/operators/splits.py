@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from depotlens.functions.columns import hash_hex, resolve_column
@@ -80,22 +80,29 @@ def stratified_split(
     seed: int = 42,
     id_columns: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Training and holdout rows with the same share of every class of ``label``."""
-    chains = [_hash_chain(seed, id_columns or df.columns)]
-    train, holdout = None, None
-    # One row per class of the label, which is binary here.
-    sizes = {row[label]: row["count"] for row in df.groupBy(label).count().collect()}
-    for value, size in sorted(sizes.items(), key=str):
-        rows = df.filter(F.col(label) == F.lit(value))
-        take = round(size * fraction)
-        if take == 0:
-            held, kept = rows.limit(0), rows
-        elif take == size:
-            held, kept = rows, rows.limit(0)
-        else:
-            held, kept = split_at(rows, select_cut(rows, take, chains))
-        train = kept if train is None else train.unionByName(kept)
-        holdout = held if holdout is None else holdout.unionByName(held)
-    if train is None:
-        return df, df
-    return train, holdout
+    """Training and holdout rows with the same share of every class of ``label``; null is a class of its own.
+
+    Each class gives its rows of the smallest hashes, exactly as many as its share rounds to (half to even). Classes
+    are rows of a table of cuts, so there may be any number of them, and nothing comes to the driver: hashes
+    are counted by their first 16 bits, and only the one range in which a class is cut is ordered.
+    """
+    hashed = df.withColumns({"_tie": hash_hex(seed, *(id_columns or df.columns)), "_class": F.col(label)})
+    hashed = hashed.withColumn("_range", F.substring("_tie", 1, 4))
+    counts = hashed.groupBy("_class", "_range").agg(F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy("_class")
+    upto = F.sum("n").over(whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, 0))
+    wanted = F.bround(F.sum("n").over(whole) * F.lit(float(fraction))).cast("bigint")
+    cuts = (
+        counts.select("_class", "_range", "n", upto.alias("upto"), wanted.alias("wanted"))
+        .where("upto - n < wanted and upto >= wanted")
+        .select(F.col("_class").alias("cut_class"), F.col("_range").alias("cut_range"), (F.col("wanted") - F.col("upto") + F.col("n")).alias("left"))
+    )
+    # A class whose share rounds to nothing has no cut, and all of its rows stay.
+    placed = hashed.join(cuts, F.col("_class").eqNullSafe(F.col("cut_class")), "left")
+    # Rows of equal hashes and columns are copies: which of them goes where makes no difference.
+    order = Window.partitionBy("_class").orderBy("_tie", hash_hex(seed, *df.columns))
+    inside = placed.where("_range = cut_range").withColumn("_place", F.row_number().over(order))
+    names = [F.col(f"`{c}`") for c in df.columns]
+    held = placed.where("_range < cut_range").select(*names).unionByName(inside.where("_place <= left").select(*names))
+    apart = placed.where("cut_range is null or _range > cut_range").select(*names)
+    return apart.unionByName(inside.where("_place > left").select(*names)), held

@@ -71,6 +71,20 @@ def test_stratified_split_keeps_class_shares(spark):
     assert train.count() == 80 and train.join(held, "id").count() == 0
 
 
+def test_stratified_split_of_many_classes_and_null(spark):
+    """Ten thousand classes of 1 to 9 rows, a null class, and a class of copies, in one plan."""
+    rows = spark.range(10_000).select(F.explode(F.sequence(F.lit(1), F.col("id") % 9 + 1)).alias("n"), F.col("id").alias("label"))
+    null = spark.range(25).select(F.col("id").cast("int").alias("n"), F.lit(None).cast("bigint").alias("label"))
+    copies = spark.range(10).select(F.lit(1).alias("n"), F.lit(-1).cast("bigint").alias("label"))
+    df = rows.unionByName(null).unionByName(copies)
+    train, held = splits.stratified_split(df, "label", 0.5)
+    got = dict(rows_of(held.groupBy("label").count(), "label", "count"))
+    want = {i: round((i % 9 + 1) * 0.5) for i in range(10_000)} | {None: round(25 * 0.5), -1: 5}
+    assert got == {c: n for c, n in want.items() if n}
+    assert train.count() + held.count() == df.count()
+    assert train.unionByName(held).exceptAll(df).isEmpty() and held.exceptAll(splits.stratified_split(df, "label", 0.5)[1]).isEmpty()
+
+
 def test_positions_and_running_totals(spark):
     values = [random.Random(3).randrange(50) for _ in range(200)]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v int")

@@ -7,12 +7,16 @@ and never looks further ahead than the margin kept at the end of a slice, so fro
 the same words, and tokens never cross words. The counts are spliced there. Where an overlap has no common
 boundary (a word or a run of spaces longer than it), the document comes again with wider overlaps, until one
 slice holds it whole.
+
+Other texts are cut before white space that follows something visible, where a word always ends, so that parts
+which come again in a task are encoded once.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 from functools import reduce
 
 import numpy as np
@@ -27,8 +31,13 @@ from depotlens.session import settle
 CHUNK, OVERLAP, WIDER = 1 << 15, 1 << 9, 16
 #: Tokens above which a document is over the limit.
 LIMIT = 1024
-#: Characters that the library encodes in one call, about, and words whose tokens it remembers.
-CALL, REMEMBERED = 1 << 16, 1 << 15
+#: Characters that are counted in one go and encoded in one call, about; parts whose counts are remembered, and their longest.
+CALL, JOINED, REMEMBERED, SHORT = 1 << 20, 1 << 16, 1 << 19, 64
+#: No white space in any version of Unicode: visible ASCII and letters of Latin, Greek and Cyrillic.
+VISIBLE = "!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u0148\u0391-\u03a1\u03a3-\u03c9\u0410-\u044f"
+#: White space can only begin a word of the pattern, so a word ends before the first of a run.
+WORD_END = re.compile(f"(?<=[{VISIBLE}])(?=[ \n])")
+INNER = re.compile(f"[ \n].*[{VISIBLE}]", re.DOTALL)
 #: Characters of the longest form of the word pattern that is decided by a fixed text (``'re``), and one to look ahead.
 LOOKAHEAD = 4
 
@@ -54,7 +63,7 @@ def margin(definition: str) -> int | None:
     """
     made = json.loads(definition)
     split = made["pre_tokenizer"] or {}
-    apart = not any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in made["added_tokens"])
+    apart = not any(t["single_word"] or t["lstrip"] or t["rstrip"] or " " in t["content"] for t in made["added_tokens"])
     known = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
     if made["normalizer"] or not (known and apart):
         return None
@@ -74,31 +83,57 @@ def _load(definition: str):
         made = Tokenizer.from_str(definition)
         made.no_padding()
         made.no_truncation()
-        if hasattr(made.model, "_resize_cache"):
-            made.model._resize_cache(REMEMBERED)
         _loaded[key] = made
     return _loaded[key]
 
 
-def _calls(texts: list[str]):
-    """Runs of texts of about CALL characters."""
+def _calls(texts: list[str], most: int):
+    """Runs of texts of about ``most`` characters."""
     run, size = [], 0
     for text in texts:
         run.append(text)
         size += len(text)
-        if size >= CALL:
+        if size >= most:
             yield run
             run, size = [], 0
     if run:
         yield run
 
 
-def _counter(definition):
+def _part_sizes(made, parts: list[str]) -> dict[str, int]:
+    """Tokens of different parts; those that may stand beside each other are encoded as one text, told apart by offsets."""
+    inner = [part for part in parts if INNER.fullmatch(part)]
+    others = list(set(parts).difference(inner))
+    found = dict(zip(others, map(len, made.encode_batch_fast(others, add_special_tokens=False))))
+    for run in _calls(inner, JOINED):
+        starts = np.array([a for a, _ in made.encode("".join(run), add_special_tokens=False).offsets])
+        upto = np.searchsorted(starts, np.cumsum(list(map(len, run))))
+        found.update(zip(run, np.diff(upto, prepend=0).tolist()))
+    return found
+
+
+def _sizes(made, texts: list[str], known: dict[str, int] | None) -> list[int]:
+    """Tokens of each text. With ``known``, texts are cut where words surely end, and equal parts are encoded once."""
+    if known is None:
+        return [len(e) for e in made.encode_batch_fast(texts, add_special_tokens=False)]
+    if len(known) > REMEMBERED:
+        known.clear()
+    cut = [WORD_END.split(text) for text in texts]
+    found = _part_sizes(made, list(set().union(*cut) - known.keys()))
+    known.update(found)
+    sizes = [sum(map(known.__getitem__, parts)) for parts in cut]
+    for part in found:
+        if len(part) > SHORT:
+            del known[part]
+    return sizes
+
+
+def _counter(definition, apart: bool):
     def count(batches):
-        made = _load(definition.value)
+        made, known = _load(definition.value), {} if apart else None
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            sizes = [len(e) for run in _calls(texts) for e in made.encode_batch_fast(run, add_special_tokens=False)]
+            sizes = [n for run in _calls(texts, CALL) for n in _sizes(made, run, known)]
             kept = [n for n in batch.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in kept), pa.array(sizes, pa.int64())], names=[*kept, "n_tokens"]
@@ -227,7 +262,7 @@ def count_tokens(
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def counted(some: DataFrame) -> DataFrame:
-        return some.select("doc_id", "n_bytes", "text").mapInArrow(_counter(held), f"doc_id {kind}, n_bytes long, n_tokens long")
+        return some.select("doc_id", "n_bytes", "text").mapInArrow(_counter(held, ahead is not None), f"doc_id {kind}, n_bytes long, n_tokens long")
 
     if ahead is None:
         made = counted(rows)

@@ -73,6 +73,19 @@ def test_boundaries_are_words(library):
         assert b == len(library.encode(text[:a], add_special_tokens=False).ids)
 
 
+@pytest.mark.parametrize("remembered", [3, 1 << 18])
+def test_parts_of_words_add_up(library, monkeypatch, remembered):
+    """Cutting before spaces between letters changes no count, however small the memory."""
+    monkeypatch.setattr(token_counts, "REMEMBERED", remembered)
+    draw = random.Random(3)
+    texts = [pieces_of(draw, draw.randint(0, 60)) for _ in range(300)]
+    texts += ["it 's we 'll", "été où à l'œuvre", "Ω ω Я я", "a  b", "a \u0300b", "x" * 200 + " y", "a\u00a0b c", "<|endoftext|> a <|endoftext|>b c"]
+    known: dict[str, int] = {}
+    got = [n for start in range(0, len(texts), 40) for n in token_counts._sizes(library, texts[start : start + 40], known)]
+    assert got == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert all(len(part) <= token_counts.SHORT for part in known)
+
+
 def test_empty_table(spark):
     assert token_counts.count_tokens(spark, spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

@@ -219,14 +219,14 @@ CTE["customer_top"] = """
 SELECT customer_id, product_id, count(*) AS score,
   row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, product_id) AS rank
 FROM train_rows GROUP BY customer_id, product_id QUALIFY rank <= 10"""
-def _user_metrics_sql(k: int) -> str:
+def _user_metrics_sql(k: int, source: str = "customer_top") -> str:
     return f"""
 SELECT t.customer_id, coalesce(hits, 0) / {k}.0::DOUBLE AS precision_at_k, coalesce(hits, 0) / relevant AS recall_at_k,
   coalesce(dcg, 0) / (SELECT sum(1 / log2(i + 1)) FROM range(1, CAST(least(relevant, {k}) AS BIGINT) + 1) r(i)) AS ndcg_at_k
 FROM (SELECT customer_id, CAST(count(*) AS DOUBLE) AS relevant FROM truth_table GROUP BY 1) t
   JOIN (SELECT p.customer_id, CAST(count(t.product_id) AS DOUBLE) AS hits,
       sum(CASE WHEN t.product_id IS NOT NULL THEN 1 / log2(rank + 1) END) AS dcg
-    FROM (SELECT CAST(customer_id AS VARCHAR) AS customer_id, CAST(product_id AS VARCHAR) AS product_id, rank FROM customer_top
+    FROM (SELECT CAST(customer_id AS VARCHAR) AS customer_id, CAST(product_id AS VARCHAR) AS product_id, rank FROM {source}
       WHERE rank <= {k}) p
     LEFT JOIN truth_table t ON t.customer_id = p.customer_id AND t.product_id = p.product_id GROUP BY 1) h
   ON t.customer_id = h.customer_id"""
@@ -234,6 +234,7 @@ FROM (SELECT customer_id, CAST(count(*) AS DOUBLE) AS relevant FROM truth_table
 
 CTE["user_metrics"] = _user_metrics_sql(10)
 CTE["user_metrics_3"] = _user_metrics_sql(3)
+CTE["anchor_metrics"] = _user_metrics_sql(10, "anchor_lists")
 
 
 def _split(feeds):
@@ -435,12 +436,36 @@ def _risk_metrics(feeds):
     )
 
 
-RANKER_ATTRIBUTES = ("product_id", "category", "price_tier", "unit_price", "is_prescription", "lead_time_days")
+# Product columns by the way in which they become numbers.
+PRODUCT_WORDS = (
+    "pbs_code atc_code active_ingredient dosage_form pack_size therapeutic_category brand generic_equivalent_id pack_size_variants "
+    "product_name generic_name category manufacturer supplier storage_type price_tier storage_classification regulatory_class silver_model_name"
+).split()
+PRODUCT_FLAGS = (
+    "is_prescription is_controlled_substance requires_cold_chain has_negative_unit_price has_negative_wholesale_price "
+    "has_negative_retail_price has_negative_expiry_months has_future_created_date"
+).split()
+PRODUCT_DATES = ["created_date", "last_updated"]
+PRODUCT_AMOUNTS = (
+    "expiry_months batch_size minimum_order_quantity lead_time_days supplier_id margin_percentage unit_price wholesale_price retail_price "
+    "profit_margin profit_margin_percentage days_since_created"
+).split()
+PRODUCT_AS_NUMBERS = (
+    {c: f"dense_rank() OVER (ORDER BY coalesce({c}, '')) - 1" for c in PRODUCT_WORDS}
+    | {c: f"CAST({c} AS INTEGER)" for c in PRODUCT_FLAGS}
+    | {c: f"date_diff('day', DATE '1970-01-01', {c})" for c in PRODUCT_DATES}
+    | {c: c for c in PRODUCT_AMOUNTS}
+)
+RANKER_ROWS = f"""
+SELECT b.customer_id, b.product_id, label, CAST(interaction_count AS DOUBLE) AS interaction_count,
+  {", ".join(f"coalesce({c}, 0) AS {c}" for c in PRODUCT_AS_NUMBERS)}
+FROM base_table b LEFT JOIN (
+  SELECT product_id, {", ".join(f"CAST({sql} AS DOUBLE) AS {c}" for c, sql in PRODUCT_AS_NUMBERS.items())} FROM silver_products) p
+  ON b.product_id = p.product_id"""
 
 
 def _ranked(feeds):
-    items = layers(feeds).products.select(*RANKER_ATTRIBUTES)
-    return _list_facts(flows.ranker_recommendations(_base(feeds), items))
+    return _list_facts(flows.ranker_recommendations(_base(feeds), layers(feeds).products))
 
 
 def _ranker_scores(feeds):
@@ -475,8 +500,7 @@ def _group_ranked(feeds):
 
 
 def _ranker_rows(feeds):
-    items = layers(feeds).products.select(*RANKER_ATTRIBUTES)
-    rows, _ = recommend.ranker_features(_base(feeds), items)
+    rows, _ = recommend.ranker_features(_base(feeds), layers(feeds).products)
     return rows.drop("last_interaction_timestamp")
 
 
@@ -493,6 +517,14 @@ def _compared(feeds):
     )
 
 
+def _three_models(feeds):
+    """The three trained recommenders by the metrics of one split: the values of the first follow from SQL, the others are shares."""
+    lake = layers(feeds)
+    found = flows.compare_recommenders(lake.interactions, lake.products, 10)
+    known = F.col("model") == "item_similarity"
+    return found.select("model", "metric", F.when(known, F.round("value", 6)).alias("value"), F.col("value").between(0, 1).alias("is_share"))
+
+
 def _rounded_metrics(df):
     return _rounded(df, 6, *df.columns)
 
@@ -735,17 +767,7 @@ CHECKS = {
             "UNION ALL SELECT customer_id, product_id, label, NULL, NULL FROM negative_table"
         ),
     ),
-    "ranker_features": (
-        _ranker_rows,
-        query(
-            "SELECT b.customer_id, b.product_id, label, CAST(interaction_count AS DOUBLE) AS interaction_count, coalesce(category, 0) AS category, "
-            "coalesce(price_tier, 0) AS price_tier, coalesce(unit_price, 0) AS unit_price, coalesce(is_prescription, 0) AS is_prescription, "
-            "coalesce(lead_time_days, 0) AS lead_time_days FROM base_table b LEFT JOIN (SELECT product_id, "
-            "CAST(dense_rank() OVER (ORDER BY category) - 1 AS DOUBLE) AS category, CAST(dense_rank() OVER (ORDER BY price_tier) - 1 AS DOUBLE) AS price_tier, "
-            "unit_price, CAST(CAST(is_prescription AS INT) AS DOUBLE) AS is_prescription, CAST(lead_time_days AS DOUBLE) AS lead_time_days "
-            "FROM silver_products) p ON b.product_id = p.product_id"
-        ),
-    ),
+    "ranker_features": (_ranker_rows, query(RANKER_ROWS)),
     "train_ranker": (_ranker_scores, query("SELECT customer_id, product_id, true AS equals_nodes FROM base_table")),
     "group_ranker": (
         _group_ranked,
@@ -793,6 +815,20 @@ CHECKS = {
             "(SELECT count(*) FROM train_rows) AS reco_n_train_events, (SELECT count(*) FROM validation_rows) AS reco_n_val_events"
         ),
     ),
+    "compare_recommenders": (
+        _three_models,
+        query(
+            "\nUNION ALL ".join(
+                f"SELECT '{model}' AS model, 'val_{metric}' AS metric, {value} AS value, true AS is_share {source}"
+                for metric in ("precision_at_k", "recall_at_k", "ndcg_at_k")
+                for model, value, source in (
+                    ("item_similarity", f"coalesce(round(avg({metric}), 6), 0)", "FROM anchor_metrics"),
+                    ("als", "CAST(NULL AS DOUBLE)", ""),
+                    ("ranker", "CAST(NULL AS DOUBLE)", ""),
+                )
+            )
+        ),
+    ),
     "compare_models": (
         _compared,
         query(

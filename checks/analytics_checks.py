@@ -473,7 +473,7 @@ def _ranker_scores(feeds):
     base = settle(_base(feeds))
     rows, columns = recommend.ranker_features(base, layers(feeds).products)
     rows = settle(rows)
-    model = recommend.train_ranker(rows, columns)
+    model = recommend.train_ranker(rows, columns, iterations=5)
     scored = score_by_nodes(with_features(model, model.transform(rows).drop("_features")), node_table(feeds.spark, model))
     return scored.select("customer_id", "product_id", _same("score", "node_score").alias("equals_nodes"))
 
@@ -520,7 +520,7 @@ def _compared(feeds):
 def _three_models(feeds):
     """The three trained recommenders by the metrics of one split: the values of the first follow from SQL, the others are shares."""
     lake = layers(feeds)
-    found = flows.compare_recommenders(lake.interactions, lake.products, 10)
+    found = flows.compare_recommenders(lake.interactions, lake.products, 10, ranker_iterations=5)
     known = F.col("model") == "item_similarity"
     return found.select("model", "metric", F.when(known, F.round("value", 6)).alias("value"), F.col("value").between(0, 1).alias("is_share"))
 

@@ -81,7 +81,7 @@ def ranker_recommendations(
 
 
 def compare_recommenders(
-    interactions: DataFrame, products: DataFrame, k: int = recommend.EVALUATION_K
+    interactions: DataFrame, products: DataFrame, k: int = recommend.EVALUATION_K, ranker_iterations: int = 20
 ) -> DataFrame:
     """(model, metric, value) of item similarity, factors and ranker under one split."""
     train, later = split_events(interactions)
@@ -90,7 +90,7 @@ def compare_recommenders(
     lists = {
         "item_similarity": recommend.anchor_recommendations(train, truth, neighbours),
         "als": factor_recommendations(train, k),
-        "ranker": ranker_recommendations(recommend.training_base(train), products, k),
+        "ranker": ranker_recommendations(recommend.training_base(train), products, k, ranker_iterations),
     }
     return recommend.compare_models(
         {

@@ -50,7 +50,9 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     if kept.where("n > 1").isEmpty():
         return rows.join(kept, KEY, "left_semi").select("row.*")
     once = rows.join(kept.where("n = 1"), KEY, "left_semi").select("row")
-    repeated = rows.join(kept.where("n > 1"), KEY, "left_semi").groupBy(*KEY).agg(F.min("row").alias("row"))
+    # Rows are ordered by their JSON text, as columns of some types have no order.
+    first = F.min_by("row", F.to_json("row")).alias("row")
+    repeated = rows.join(kept.where("n > 1"), KEY, "left_semi").groupBy(*KEY).agg(first)
     return once.union(repeated.select("row")).select("row.*")
 
 

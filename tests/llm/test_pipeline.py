@@ -57,7 +57,7 @@ def test_stages_against_brute_force(spark, tmp_path, library):  # noqa: F811
         elif at == 1:
             kept = [(i, t) for i, n, gone, t in brute_lines(kept) if gone == 0 or gone < n]
         elif at == 2:
-            kept = list(dict.fromkeys((i, t) for (i, t), g in zip(kept, brute_groups(kept)) if g[3]))
+            kept = list(dict.fromkeys((i, t) for (i, t), g in zip(kept, brute_groups(kept, corpus_pipeline.NEAR_WIDTH, corpus_pipeline.NEAR_PERCENT)) if g[3]))
         elif at == 3:
             kept = [(i, t) for (i, t), c in zip(kept, brute_contamination(kept, [(1, item)])) if not c[5]]
         else:
@@ -69,6 +69,15 @@ def test_stages_against_brute_force(spark, tmp_path, library):  # noqa: F811
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(kept) > 5
 
 
+def test_columns_without_an_order_and_repeated_rows(spark):
+    text = "one text of more than five words here"
+    rows = [(1, text, {"a": 2}), (1, text, {"a": 1}), (2, "quite another text of some more words", {"b": 3}), (3, text + " too", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra map<string,int>")
+    got = corpus_pipeline.keep_one_of_each_group(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id, r.extra) for r in got.collect() if r.doc_id != 3) == [(1, {"a": 1}), (2, {"b": 3})]
+
+
 def test_pipeline_of_an_empty_table(spark, tmp_path):
     write(spark, tmp_path, [], [(1, "a b c")])
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []

@@ -339,7 +339,8 @@ def extract_main_text(pages: DataFrame, *, page_id: str = "page_id", url: str =
     """Main text of every page: page_id, url, text, n_chars and host_path (null if the host has none).
 
     Blocks are joined by one line feed; white space inside a block, line breaks included, is one space. A
-    null or empty page has empty text. Pages without a host in their address vote together. Repeated rows get
+    null or empty page has empty text. Equal scores go to the first container, equal votes to the higher score and then
+    to path order; work grows with a page's length, however deep or unclosed its elements are. Pages without a host in their address vote together. Repeated rows get
     equal results, an empty table an empty one.
     """
     rows = pages.select(

@@ -61,9 +61,9 @@ def dedup_lines(
 
     Returns doc_id, n_lines, n_removed and text, and with ``whole`` the input row as a struct. Lines end at a line feed and are compared as they are, case
     and spaces included. The first occurrence, by doc_id and position, stays; a row that repeats an earlier
-    row in id and text counts as the same occurrence and stays as well. Rows of null id come first. A null
+    row in id and text counts as the same occurrence and stays as well. Rows of null id stand at -1 in this order. A null
     text has 0 lines and stays null, an empty text has one empty line. A text that loses all its lines
-    becomes empty.
+    becomes empty; a text of fewer lines than a window has no window and stays.
     """
     rows = keyed(docs, doc_id, text, whole)
     windows = settle(window_table(rows, window))

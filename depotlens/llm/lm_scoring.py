@@ -316,7 +316,8 @@ def score_texts(
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score. A null text is an
     empty one: a single end. Tokens outside the frequent ones get their exact counts by a join. Repeated rows
-    get equal results; with nothing to learn from, all tokens are unseen; an empty table gives an empty one.
+    get equal results; with nothing to learn from, all tokens are unseen; an empty table gives an empty one. Every task
+    trains on its own texts, so ``score`` (not base_score) depends a little on how the files fall into tasks.
     """
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")

@@ -297,7 +297,7 @@ def score_toxicity(
 
     Returns doc_id, held_out, score and predicted (1 from a score of 0.5). Null and empty texts get the
     score of no words. Without labels of both kinds every text gets the score of the kind there is, or a
-    low one. Repeated rows get equal results, an empty table an empty one.
+    low one. A score of exactly 0.5 predicts 1. Repeated rows get equal results, an empty table an empty one.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("held_out", remainder(F.col("doc_id"), divisor) == held_out)

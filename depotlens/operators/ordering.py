@@ -11,13 +11,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from depotlens.functions.columns import ColumnOrName, as_column
 from depotlens.session import settle
 
 COPIES_PER_TASK = 100_000
+#: Rows whose keys one task may order.
+DIRECT_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -42,32 +44,41 @@ class Cut:
         return test
 
 
-def select_cut(df: DataFrame, rank: int, chains: Sequence[Sequence[Column]]) -> Cut:
+def _first_beyond(counts: DataFrame, names: Sequence[str], rank: int) -> Row:
+    """The row of a table of counts (names, rows) at which their running sum passes ``rank``; names come as text."""
+    # The table of counts per value is ordered, never the rows themselves.
+    upto = F.sum("rows").over(Window.orderBy(*names).rowsBetween(Window.unboundedPreceding, 0))
+    found = (
+        counts.withColumn("upto", upto)
+        .filter((F.col("upto") > rank) & (F.col("upto") - F.col("rows") <= rank))
+        .select(*[F.col(n).cast("string") for n in names], "rows", "upto")
+        .first()
+    )
+    if found is None:
+        raise ValueError(f"rank {rank} is beyond the table")
+    return found
+
+
+def select_cut(df: DataFrame, rank: int, chains: Sequence[Sequence[Column]], total: int | None = None) -> Cut:
     """Key of the row with ``rank`` rows before it.
 
-    Each chain is one part of the sort key, given from its coarsest to its finest rounding. One
-    counting job runs per level, over the rows of the value chosen before, and brings one row to the
-    driver; the search ends as soon as a boundary between values has the wanted rank.
+    Each chain is one part of the sort key, given from its coarsest to its finest rounding. A counting job runs per
+    level, over the rows of the value chosen before, and brings one row to the driver. As soon as at most
+    DIRECT_ROWS rows are left (``total`` says so of the table), one job over their whole keys finishes, and the search
+    also ends where a boundary between values has the wanted rank.
     """
-    scope, remaining, group = df, rank, 0
+    scope, remaining, group = df, rank, total
     columns: list[Column] = []
     key: list[Column] = []
-    for chain in chains:
+    for place, chain in enumerate(chains):
         columns.append(chain[-1])
         key.append(F.lit(None))
         for level in chain:
+            if group is not None and group <= DIRECT_ROWS:
+                return _cut_directly(scope, remaining, columns[:-1], key[:-1], [c[-1] for c in chains[place:]])
             counts = scope.groupBy(level.alias("value")).agg(F.count(F.lit(1)).alias("rows"))
-            # The table of counts per value is ordered, never the rows themselves.
-            upto = F.sum("rows").over(Window.orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
-            steps = counts.withColumn("upto", upto)
             kind = dict(counts.dtypes)["value"]
-            found = (
-                steps.filter((F.col("upto") > remaining) & (F.col("upto") - F.col("rows") <= remaining))
-                .select(F.col("value").cast("string"), "rows", "upto")
-                .first()
-            )
-            if found is None:
-                raise ValueError(f"rank {rank} is beyond the table")
+            found = _first_beyond(counts, ["value"], remaining)
             remaining -= found["upto"] - found["rows"]
             group = found["rows"]
             key[-1] = F.lit(found["value"]).cast(kind)
@@ -77,6 +88,16 @@ def select_cut(df: DataFrame, rank: int, chains: Sequence[Sequence[Column]]) ->
     return Cut(tuple(columns), tuple(key), remaining, group)
 
 
+def _cut_directly(scope: DataFrame, rank: int, columns: list[Column], key: list[Column], rest: list[Column]) -> Cut:
+    """The cut in a few rows, whose keys agree on ``columns``, by ordering the rest of their keys."""
+    names = [f"k{i}" for i in range(len(rest))]
+    counts = scope.groupBy(*[c.alias(n) for c, n in zip(rest, names)]).agg(F.count(F.lit(1)).alias("rows"))
+    kinds = dict(counts.dtypes)
+    found = _first_beyond(counts, names, rank)
+    values = [F.lit(found[n]).cast(kinds[n]) for n in names]
+    return Cut((*columns, *rest), (*key, *values), rank - (found["upto"] - found["rows"]), found["rows"])
+
+
 def _copies(row: DataFrame, count: int) -> DataFrame:
     """``count`` copies of the single row of ``row``, made by many tasks."""
     if count == 0:

@@ -53,7 +53,7 @@ def temporal_split(
     rank = max(1, int(total * (1 - float(fraction))))
     if rank >= total:
         return rows, rows.limit(0)
-    return split_at(rows, select_cut(rows, rank, _time_chains(rows, column, tie_columns)))
+    return split_at(rows, select_cut(rows, rank, _time_chains(rows, column, tie_columns), total))
 
 
 def demand_split(
@@ -70,7 +70,7 @@ def demand_split(
         rank = total - 1
     if rank < 1:
         return rows.limit(0), rows
-    return split_at(rows, select_cut(rows, rank, _time_chains(rows, time_column, tie_columns)))
+    return split_at(rows, select_cut(rows, rank, _time_chains(rows, time_column, tie_columns), total))
 
 
 def stratified_split(

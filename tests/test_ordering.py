@@ -38,12 +38,15 @@ def test_temporal_split_drops_missing_times(spark):
     assert (train.count(), later.count()) == (10, 4)
 
 
-def test_temporal_split_of_equal_moments_and_copies(spark):
+@pytest.mark.parametrize("direct", [0, 12, 1_000_000])
+def test_temporal_split_of_equal_moments_and_copies(spark, monkeypatch, direct):
+    """By levels to the end, by levels and then directly, and directly."""
+    monkeypatch.setattr(ordering, "DIRECT_ROWS", direct)
     # A third of the rows share a moment, and half of those are copies of one row.
     data = [(i, "2024-01-01 00:00:00") for i in range(10)] + [(99, "2024-01-05 00:00:00")] * 15
     data += [(100 + i, "2024-01-05 00:00:00") for i in range(5)]
     df = spark.createDataFrame(data, "id int, t string").select("id", F.col("t").cast("timestamp_ntz").alias("timestamp"))
-    for fraction in (0.1, 0.3, 0.5, 0.6):
+    for fraction in (0.1, 0.4, 0.6):
         train, later = splits.temporal_split(df, fraction)
         assert train.count() == max(1, int(30 * (1 - fraction)))
         assert Counter(rows_of(train, "id")) + Counter(rows_of(later, "id")) == Counter((i,) for i, _ in data)

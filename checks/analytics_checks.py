@@ -691,6 +691,10 @@ CHECKS = {
         "round(avg(l_linenumber / l_quantity) * 100, 6) AS mape FROM lineitem WHERE l_quantity > 0",
     ),
     "naive_mean_forecast": (_forecast, query(FORECAST)),
+    "leak_guard": (
+        lambda f: _risk_features(f).select(*inventory.leak_guard(_risk_features(f).columns)),
+        query("SELECT * EXCLUDE (days_until_expiry) FROM risk_table"),
+    ),
     "train_writeoff_classifier": (
         _risk_metrics,
         query(

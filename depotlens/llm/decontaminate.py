@@ -4,20 +4,27 @@ Items are cut into phrases (windows of consecutive words). The corpus-wide frequ
 is counted, the rarest terms of each phrase are chosen, and only their postings (document, position) are
 stored. A phrase is looked up from its rarest term on: each posting proposes a start, the offset-adjusted
 postings of the next rarest terms must agree with it, and the words kept around the rarest posting
-confirm the whole phrase. All of it is DataFrame work.
+confirm the whole phrase. Starts that the stored terms confirm only nearly give the proximity matches.
+All of it is DataFrame work.
 """
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotlens.llm.base import KEY, keyed, lower_ascii
 from depotlens.session import settle
 
+#: What stands between words of lower-cased text, and of text as it is.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+RAW_SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Below so many rows of term strings (about 50 MB) a table of terms is broadcast, beyond it is shuffled.
 BROADCAST_TERMS = 500_000
+#: Words of a block, by which texts meet postings whose terms are too many to broadcast.
+BLOCK = 512
 
 
 def word_list(text: Column) -> Column:
@@ -37,16 +44,65 @@ def phrases_of(items: DataFrame, item_id: str = "item_id", text: str = "text", w
     ).distinct()
 
 
-def _postings(docs: DataFrame) -> DataFrame:
-    """One row per word: key, position from 0, term, and the list of the text's words."""
-    listed = docs.select(*KEY, word_list(F.col("text")).alias("w"))
-    return listed.select(*KEY, "w", F.posexplode("w").alias("pos", "term"))
+def _lower_word(word: Column) -> Column:
+    """``lower_ascii`` of a single word."""
+    folded = F.translate(word, ascii_uppercase, ascii_lowercase)
+    return F.when(F.octet_length(word) == F.char_length(word), F.lower(word)).otherwise(folded)
+
+
+def listed(docs: DataFrame) -> DataFrame:
+    """Key, doc_id and the words of each text, in the case they are written in (null for a null text)."""
+    return docs.select(*KEY, "doc_id", F.array_remove(F.split("text", RAW_SEPARATORS), "").alias("w"))
+
+
+def _postings(words: DataFrame, *kept: str) -> DataFrame:
+    """One row per word: key, position from 0, term in lower case, and the columns ``kept``."""
+    each = words.select(*KEY, *kept, F.posexplode("w").alias("pos", "word"))
+    return each.select(*KEY, *kept, "pos", _lower_word(F.col("word")).alias("term"))
+
+
+def _few(terms: DataFrame) -> bool:
+    return terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
 
 
-def _with_terms(postings: DataFrame, terms: DataFrame) -> DataFrame:
-    """Postings of the given distinct terms; the terms travel only if they are proven few."""
-    few = terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
-    return postings.join(F.broadcast(terms) if few else terms, "term")
+def _frequencies(words: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, n): how often each of the distinct terms occurs; many terms meet counts, not postings."""
+    each = _postings(words)
+    if _few(terms):
+        each = each.join(F.broadcast(terms), "term")
+    counted = each.groupBy("term").agg(F.count("*").alias("n"))
+    return counted.join(terms, "term", "left_semi")
+
+
+def _stored(words: DataFrame, chosen: DataFrame, window: int) -> DataFrame:
+    """Postings of the chosen terms; those that lead a phrase keep the words around them.
+
+    Few terms are broadcast, and the words are cut from the text where the posting is found. Otherwise postings
+    travel without words, and leading ones then meet the overlapping blocks of ``BLOCK`` words of their text.
+    """
+    first = F.greatest(F.col("pos") - (window - 1), F.lit(0))
+    length = F.col("pos") + window - first
+    if _few(chosen):
+        around = F.transform(F.slice("w", first + 1, length), _lower_word)
+        found = _postings(words, "w").join(F.broadcast(chosen), "term")
+        return found.select(*KEY, "term", "pos", F.when(F.col("leads"), around).alias("around"))
+
+    def begin(block: Column) -> Column:
+        return F.greatest(block * BLOCK - (window - 1), F.lit(0))
+
+    def cut(block: Column) -> Column:
+        return F.slice("w", begin(block) + 1, (block + 1) * BLOCK + (window - 1) - begin(block))
+
+    numbers = F.sequence(F.lit(0), F.floor((F.size("w") - 1) / BLOCK).cast("int"))
+    blocks = (
+        words.where(F.size("w") > 0)
+        .select(*KEY, F.posexplode(F.transform(numbers, cut)).alias("block", "near"))
+        .dropDuplicates([*KEY, "block"])
+    )
+    block = F.when(F.col("leads"), F.floor(F.col("pos") / BLOCK).cast("int"))
+    found = _postings(words).join(chosen, "term").distinct().withColumn("block", block)
+    around = F.transform(F.slice("near", first - begin(F.col("block")) + 1, length), _lower_word)
+    return found.join(blocks, [*KEY, "block"], "left").select(*KEY, "term", "pos", around.alias("around"))
 
 
 def _rarest(phrases: DataFrame, frequency: DataFrame, depth: int) -> DataFrame:
@@ -70,16 +126,17 @@ def build_index(docs: DataFrame, phrases: DataFrame, depth: int = 3, window: int
     ``docs`` has the columns of ``keyed``. A posting of a term that leads a phrase keeps the
     ``window`` - 1 words to either side.
     """
+    return index_words(settle(listed(docs)), phrases, depth, window)
+
+
+def index_words(words: DataFrame, phrases: DataFrame, depth: int = 3, window: int = 13) -> tuple[DataFrame, DataFrame]:
+    """``build_index`` of stored word lists (``listed``), which are read twice."""
     terms = settle(phrases.select(F.explode("phrase").alias("term")).distinct())
-    frequency = _with_terms(_postings(docs).drop("w"), terms).groupBy("term").agg(F.count("*").alias("n"))
-    plans = settle(_rarest(phrases, settle(frequency), depth))
+    plans = settle(_rarest(phrases, settle(_frequencies(words, terms)), depth))
     leading = plans.select(F.col("leads")[0]["term"].alias("term"), F.lit(True).alias("leads"))
     others = plans.select(F.explode(F.col("leads.term")).alias("term"), F.lit(False).alias("leads"))
     chosen = settle(leading.union(others).groupBy("term").agg(F.max("leads").alias("leads")))
-    first = F.greatest(F.col("pos") - (window - 2), F.lit(1))
-    around = F.when(F.col("leads"), F.slice("w", first, F.col("pos") + window - first + 1))
-    stored = _with_terms(_postings(docs), chosen).select(*KEY, "term", "pos", around.alias("around"))
-    return plans, settle(stored)
+    return plans, settle(_stored(words, chosen, window))
 
 
 def find_phrases(plans: DataFrame, index: DataFrame, depth: int = 3, window: int = 13) -> DataFrame:
@@ -110,25 +167,40 @@ def _agree(found: DataFrame, index: DataFrame, which: int) -> DataFrame:
     return wanted.join(there, [*KEY, "term", "at"], "left_semi").drop("term", "at").unionByName(found.where(~longer))
 
 
-def near_terms(plans: DataFrame, index: DataFrame, slop: int) -> DataFrame:
-    """(key, phrase) where the two rarest terms stand within ``slop`` words of their distance in the phrase.
+def near_terms(plans: DataFrame, index: DataFrame, slop: int, depth: int = 3) -> DataFrame:
+    """(key, phrase) of proximity matches.
 
-    Starts are dealt into cells of ``slop`` + 1 positions, and a cell meets its neighbours, so the join
-    stays an equality and nearly adjacent starts are the only pairs made.
+    The rarest term of the phrase proposes a start, and every other stored term (``depth`` at most, the rarest)
+    must stand within ``slop`` words of its place after it; further words of the phrase are not asked for. An
+    exact occurrence is also near, and a phrase of one word is near where it occurs.
     """
-    cell = slop + 1
+    first = F.col("leads")[0]
+    starts = (
+        plans.select("phrase", "leads", first["term"].alias("term"), first["offset"].alias("offset"))
+        .join(index.where(F.col("around").isNotNull()).drop("around"), "term")
+        .select(*KEY, "phrase", "leads", (F.col("pos") - F.col("offset")).alias("start"))
+    )
+    for which in range(1, depth):
+        starts = _about(starts, index, which, slop)
+    return starts.select(*KEY, "phrase").distinct()
 
-    def starts(which: int) -> DataFrame:
-        lead = F.col("leads")[which]
-        of = plans.where(F.size("leads") > which).select("phrase", lead["term"].alias("term"), lead["offset"].alias("o"))
-        return of.join(index, "term").select(*KEY, "phrase", (F.col("pos") - F.col("o")).alias(f"s{which}"))
 
-    left = starts(0).withColumn("cell", F.floor(F.col("s0") / cell))
-    right = starts(1).withColumn(
-        "cell", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.floor(F.col("s1") / cell) + d))
-    )
-    near = left.join(right, [*KEY, "phrase", "cell"]).where(F.abs(F.col("s0") - F.col("s1")) <= slop)
-    return near.select(*KEY, "phrase").distinct()
+def _about(starts: DataFrame, index: DataFrame, which: int, slop: int) -> DataFrame:
+    """Starts with a posting of the next rarest term within ``slop`` words of its place.
+
+    Positions are dealt into cells of 2 * slop + 1, so a place looks into two cells at most and the join stays an
+    equality; it ends with the first posting found.
+    """
+    longer, width = F.size("leads") > which, 2 * slop + 1
+    lead = F.get("leads", F.lit(which))
+    wanted = starts.where(longer).withColumns({"term": lead["term"], "at": F.col("start") + lead["offset"]})
+    cells = F.sequence(F.floor((F.col("at") - slop) / width), F.floor((F.col("at") + slop) / width))
+    there = index.select(*KEY, "term", "pos", F.floor(F.col("pos") / width).alias("cell")).alias("there")
+    wanted = wanted.withColumn("cell", F.explode(cells)).alias("wanted")
+    same = [F.col(f"wanted.{c}") == F.col(f"there.{c}") for c in (*KEY, "term", "cell")]
+    close = F.abs(F.col("there.pos") - F.col("wanted.at")) <= slop
+    found = wanted.join(there, [*same, close], "left_semi").drop("term", "at", "cell")
+    return found.unionByName(starts.where(~longer))
 
 
 def _covered(spans: DataFrame) -> DataFrame:
@@ -155,38 +227,54 @@ def contamination(
     item_text: str = "text",
     window: int = 13,
     share: int = 20,
+    slop: int = 2,
 ) -> DataFrame:
     """How much of every document stands inside windows of the items.
 
-    Returns doc_id, n_words, n_hit, n_items, items_sha256 and contaminated (``n_hit`` > 0 and
-    ``share`` * n_hit >= n_words). A null or empty text has no words and no hits. Items of null id hit
+    Returns doc_id, n_words, n_hit, n_items, items_sha256, contaminated (``n_hit`` > 0 and
+    ``share`` * n_hit >= n_words) and n_near, the items with a window near a place of the text (``near_terms``). A null or empty text has no words and no hits. Items of null id hit
     words but are not counted; repeated items count once. Rows that repeat a document get equal results.
     An empty table of items leaves every document clean.
     """
-    return judged(keyed(docs, doc_id, text), items, item_id, item_text, window, share).drop(*KEY)
+    rows = keyed(docs, doc_id, text)
+    return judged(rows, items, item_id, item_text, window, share, slop).drop(*KEY)
 
 
 def judged(
-    rows: DataFrame, items: DataFrame, item_id: str = "item_id", item_text: str = "text", window: int = 13, share: int = 20
+    rows: DataFrame,
+    items: DataFrame,
+    item_id: str = "item_id",
+    item_text: str = "text",
+    window: int = 13,
+    share: int = 20,
+    slop: int | None = None,
 ) -> DataFrame:
-    """The columns of ``contamination`` and the key, for rows made by ``keyed``."""
+    """The columns of ``contamination`` and the key, for rows made by ``keyed``; ``n_near`` only with a ``slop``."""
     phrases = settle(phrases_of(items, item_id, item_text, window))
-    plans, index = build_index(rows, phrases, window=window)
+    known = phrases.where(F.col("item_id").isNotNull())
+    words = settle(listed(rows))
+    plans, index = index_words(words, phrases, window=window)
     found = settle(find_phrases(plans, index, window=window))
     spans = found.select(*KEY, "start", (F.col("start") + F.size("phrase")).alias("end")).distinct()
-    named = found.select(*KEY, "phrase").distinct().join(phrases.where(F.col("item_id").isNotNull()), "phrase")
+    named = found.select(*KEY, "phrase").distinct().join(known, "phrase")
     ids = named.select(*KEY, F.col("item_id").cast("string").alias("i")).distinct()
     items_of = ids.groupBy(*KEY).agg(F.array_sort(F.collect_list("i")).alias("ids"))
-    hits = _covered(spans).join(items_of, KEY, "left")
-    counted = rows.select(*KEY, "doc_id", F.coalesce(F.size(word_list(F.col("text"))), F.lit(0)).cast("bigint").alias("n_words"))
-    n_hit = F.coalesce("n_hit", F.lit(0).cast("bigint"))
-    listed = F.coalesce("ids", F.array().cast("array<string>"))
-    return counted.withColumn("n_words", F.greatest("n_words", F.lit(0))).join(hits, KEY, "left").select(
+    n_words, none = F.greatest(F.size("w"), F.lit(0)).cast("bigint"), F.lit(0).cast("bigint")
+    counted = words.select(*KEY, "doc_id", F.coalesce(n_words, none).alias("n_words"))
+    hits = counted.join(_covered(spans).join(items_of, KEY, "left"), KEY, "left")
+    n_hit = F.coalesce("n_hit", none)
+    ids = F.coalesce("ids", F.array().cast("array<string>"))
+    made = [
         *KEY,
         "doc_id",
         "n_words",
         n_hit.alias("n_hit"),
-        F.size(listed).cast("bigint").alias("n_items"),
-        F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"),
+        F.size(ids).cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
         ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"),
-    )
+    ]
+    if slop is None:
+        return hits.select(*made)
+    close = near_terms(plans, index, slop).join(known, "phrase").select(*KEY, "item_id").distinct()
+    close = close.groupBy(*KEY).agg(F.count("*").alias("n_near"))
+    return hits.join(close, KEY, "left").select(*made, F.coalesce("n_near", none).alias("n_near"))

@@ -114,11 +114,32 @@ spots AS (
 hits AS (SELECT r, s, n, item_id FROM spots JOIN phrases USING (p)),
 places AS (SELECT r, count(DISTINCT x) AS n_hit FROM hits, unnest(range(s, s + n)) t(x) GROUP BY r),
 named AS (SELECT DISTINCT r, item_id::VARCHAR AS i FROM hits WHERE item_id IS NOT NULL),
-lists AS (SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM named GROUP BY r)
+lists AS (SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM named GROUP BY r),
+terms AS (
+  SELECT p, k - 1 AS place, p[k] AS term
+  FROM (SELECT DISTINCT p FROM phrases), unnest(range(1, len(p) + 1)) t(k)),
+posted AS (
+  SELECT r, pos - 1 AS pos, term
+  FROM (SELECT r, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS pos FROM d)
+  WHERE term IN (SELECT term FROM terms)),
+frequency AS (SELECT term, count(*) AS n FROM posted GROUP BY term),
+leads AS (
+  SELECT p, place, term, count(n) OVER (PARTITION BY p) AS known,
+    row_number() OVER (PARTITION BY p ORDER BY n, term, place) AS k
+  FROM terms LEFT JOIN frequency USING (term)),
+first_leads AS (SELECT * FROM leads WHERE known = len(p) AND k <= 3),
+starts AS (SELECT DISTINCT r, p, pos - place AS s FROM first_leads JOIN posted USING (term) WHERE k = 1),
+close AS (
+  SELECT DISTINCT starts.r, starts.p, s, k
+  FROM starts JOIN first_leads l USING (p)
+  JOIN posted ON posted.r = starts.r AND posted.term = l.term AND abs(posted.pos - l.place - s) <= 2),
+near AS (SELECT DISTINCT r, p FROM close GROUP BY r, p, s HAVING count(*) = least(len(p), 3)),
+nears AS (SELECT r, count(DISTINCT item_id) AS n_near FROM near JOIN phrases USING (p) GROUP BY r)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_near, 0)::BIGINT AS n_near,
   coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN places USING (r) LEFT JOIN lists USING (r)
+FROM d LEFT JOIN places USING (r) LEFT JOIN lists USING (r) LEFT JOIN nears USING (r)
 """
 
 OP1_SQL = """

@@ -363,31 +363,56 @@ def split_words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
 
 
-def brute_contamination(rows, items):
+def places_near(words, leads, slop):
+    """Whether some place of the first lead has every other lead within ``slop`` of where it stands in the phrase."""
+    at = defaultdict(list)
+    for k, x in enumerate(words):
+        at[x].append(k)
+    starts = [k - leads[0][2] for k in at[leads[0][1]]]
+    return any(all(any(abs(k - o - s) <= slop for k in at[t]) for _, t, o in leads[1:]) for s in starts)
+
+
+def rarest(phrase, n, depth=3):
+    """The leads of a phrase, none if the corpus lacks a term."""
+    leads = sorted((n[t], t.encode(), o) for o, t in enumerate(phrase))
+    return [(k, t.decode(), o) for k, t, o in leads[:depth]] if leads[0][0] else []
+
+
+def brute_contamination(rows, items, slop=2):
     phrases = defaultdict(set)
     for i, t in items:
         w = split_words(t)
         for k in range(max(1, len(w) - 12) if w else 0):
             phrases[tuple(w[k : k + 13])].add(i)
-    found = []
+    found, n = [], Counter(x for _, t in rows for x in split_words(t))
+    leads_of = {p: rarest(p, n) for p in phrases}
     for i, t in rows:
-        w, hit, named = split_words(t), set(), set()
+        w, hit, named, close = split_words(t), set(), set(), set()
         for p, ids in phrases.items():
+            if leads_of[p] and places_near(w, leads_of[p], slop):
+                close.update(x for x in ids if x is not None)
             for k in range(len(w) - len(p) + 1):
                 if tuple(w[k : k + len(p)]) == p:
                     hit.update(range(k, k + len(p))), named.update(ids)
         ids = ",".join(sorted(str(x) for x in named if x is not None))
-        n = len([x for x in named if x is not None])
-        found.append((i, len(w), len(hit), n, hashlib.sha256(ids.encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)))
+        n_items = len([x for x in named if x is not None])
+        bad = bool(hit) and 20 * len(hit) >= len(w)
+        found.append((i, len(w), len(hit), n_items, hashlib.sha256(ids.encode()).hexdigest(), bad, len(close)))
     return found
 
 
-def test_contamination_against_brute_force(spark, docs):
+@pytest.mark.parametrize("broadcast", [decontaminate.BROADCAST_TERMS, 0])
+def test_contamination_against_brute_force(spark, docs, broadcast, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_TERMS", broadcast)
+    monkeypatch.setattr(decontaminate, "BLOCK", 20)
     draw = random.Random(8)
     items = [(i, sentence(draw, draw.choice([1, 3, 13, 14, 40]))) for i in range(25)]
     items += [(100, None), (101, "?!"), (None, "no id here"), (3, items[3][1]), (102, "Ünïcode ἀβγ"), (103, "tura tura tura")]
     rows = [(i, sentence(draw, 60)) for i in range(100, 130)]
     rows += [(200 + k, f"{sentence(draw, 30)}. {t} {sentence(draw, 5)}") for k, (_, t) in enumerate(items) if t]
+    moved = [(i, split_words(t)) for i, t in items if t and i in (2, 3, 4, 5)]
+    rows += [(300 + i, " ".join(["tura", *w[:5], "zzz", *w[5:], "Zzz"])) for i, w in moved]
+    rows += [(400 + i, " ".join([w[-1], *w[:-1]] * 30)) for i, w in moved] + rows[:2]
     table = spark.createDataFrame([(i, t, "p") for i, t in rows], "doc_id long, text string, phrase string")
     tests = spark.createDataFrame([(*i, "a", "b") for i in items], ITEMS)
     same(map(tuple, decontaminate.contamination(table, tests).collect()), brute_contamination(rows, items))
@@ -407,12 +432,9 @@ def test_terms_near_each_other(spark):
     plans, index = decontaminate.build_index(keyed, phrases)
     leads = [(x.term, x.offset) for x in plans.first().leads]
     positions = {1: "alpha one two beta x".split(), 2: "alpha beta".split(), 3: "alpha x x x x x x beta".split()}
-    near = set()
-    for i, w in positions.items():
-        (a, ao), (b, bo) = leads[:2]
-        starts = [[k - o for k, x in enumerate(w) if x == t] for t, o in ((a, ao), (b, bo))]
-        if any(abs(x - y) <= 2 for x in starts[0] for y in starts[1]):
-            near.add(i)
+    assert len(leads) == 3
+    near = {i for i, w in positions.items() if places_near(w, [(0, *x) for x in leads], 2)}
+    assert near == {1}
     got = decontaminate.near_terms(plans, index, 2).select("key_id").distinct().collect()
     assert {r.key_id for r in got} == near
 

@@ -75,7 +75,7 @@ def _frequencies(words: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def _stored(words: DataFrame, chosen: DataFrame, window: int) -> DataFrame:
-    """Postings of the chosen terms; those that lead a phrase keep the words around them.
+    """Postings of the chosen terms; those that lead a phrase keep the words around them, in the case of the text.
 
     Few terms are broadcast, and the words are cut from the text where the posting is found. Otherwise postings
     travel without words, and leading ones then meet the overlapping blocks of ``BLOCK`` words of their text.
@@ -83,9 +83,9 @@ def _stored(words: DataFrame, chosen: DataFrame, window: int) -> DataFrame:
     first = F.greatest(F.col("pos") - (window - 1), F.lit(0))
     length = F.col("pos") + window - first
     if _few(chosen):
-        around = F.transform(F.slice("w", first + 1, length), _lower_word)
+        around = F.when(F.col("leads"), F.slice("w", first + 1, length))
         found = _postings(words, "w").join(F.broadcast(chosen), "term")
-        return found.select(*KEY, "term", "pos", F.when(F.col("leads"), around).alias("around"))
+        return found.select(*KEY, "term", "pos", around.alias("around"))
 
     def begin(block: Column) -> Column:
         return F.greatest(block * BLOCK - (window - 1), F.lit(0))
@@ -101,7 +101,7 @@ def _stored(words: DataFrame, chosen: DataFrame, window: int) -> DataFrame:
     )
     block = F.when(F.col("leads"), F.floor(F.col("pos") / BLOCK).cast("int"))
     found = _postings(words).join(chosen, "term").distinct().withColumn("block", block)
-    around = F.transform(F.slice("near", first - begin(F.col("block")) + 1, length), _lower_word)
+    around = F.slice("near", first - begin(F.col("block")) + 1, length)
     return found.join(blocks, [*KEY, "block"], "left").select(*KEY, "term", "pos", around.alias("around"))
 
 
@@ -126,7 +126,7 @@ def build_index(docs: DataFrame, phrases: DataFrame, depth: int = 3, window: int
     ``docs`` has the columns of ``keyed``. A posting of a term that leads a phrase keeps the
     ``window`` - 1 words to either side.
     """
-    return index_words(settle(listed(docs)), phrases, depth, window)
+    return index_words(settle(listed(docs), compression="zstd"), phrases, depth, window)
 
 
 def index_words(words: DataFrame, phrases: DataFrame, depth: int = 3, window: int = 13) -> tuple[DataFrame, DataFrame]:
@@ -136,7 +136,7 @@ def index_words(words: DataFrame, phrases: DataFrame, depth: int = 3, window: in
     leading = plans.select(F.col("leads")[0]["term"].alias("term"), F.lit(True).alias("leads"))
     others = plans.select(F.explode(F.col("leads.term")).alias("term"), F.lit(False).alias("leads"))
     chosen = settle(leading.union(others).groupBy("term").agg(F.max("leads").alias("leads")))
-    return plans, settle(_stored(words, chosen, window))
+    return plans, settle(_stored(words, chosen, window), compression="zstd")
 
 
 def find_phrases(plans: DataFrame, index: DataFrame, depth: int = 3, window: int = 13) -> DataFrame:
@@ -152,7 +152,7 @@ def find_phrases(plans: DataFrame, index: DataFrame, depth: int = 3, window: int
         found = _agree(found, index, which)
     at = F.col("start") - F.greatest(F.col("pos") - (window - 2), F.lit(1)) + 2
     return (
-        found.where(F.slice("around", at, F.size("phrase")) == F.col("phrase"))
+        found.where(F.transform(F.slice("around", at, F.size("phrase")), _lower_word) == F.col("phrase"))
         .select(*KEY, "start", "phrase")
         .distinct()
     )
@@ -174,15 +174,18 @@ def near_terms(plans: DataFrame, index: DataFrame, slop: int, depth: int = 3) ->
     must stand within ``slop`` words of its place after it; further words of the phrase are not asked for. An
     exact occurrence is also near, and a phrase of one word is near where it occurs.
     """
+    # A start travels with the number of its phrase and the leads to be found, not with words.
+    numbered = settle(plans.withColumn("number", F.monotonically_increasing_id()))
     first = F.col("leads")[0]
     starts = (
-        plans.select("phrase", "leads", first["term"].alias("term"), first["offset"].alias("offset"))
+        numbered.select("number", "leads", first["term"].alias("term"), first["offset"].alias("offset"))
         .join(index.where(F.col("around").isNotNull()).drop("around"), "term")
-        .select(*KEY, "phrase", "leads", (F.col("pos") - F.col("offset")).alias("start"))
+        .select(*KEY, "number", "leads", (F.col("pos") - F.col("offset")).alias("start"))
     )
-    for which in range(1, depth):
+    starts = starts.select(*KEY, "number", "start", F.expr("slice(leads, 2, size(leads))").alias("leads"))
+    for which in range(depth - 1):
         starts = _about(starts, index, which, slop)
-    return starts.select(*KEY, "phrase").distinct()
+    return starts.select(*KEY, "number").distinct().join(numbered.select("number", "phrase"), "number").drop("number")
 
 
 def _about(starts: DataFrame, index: DataFrame, which: int, slop: int) -> DataFrame:
@@ -252,7 +255,7 @@ def judged(
     """The columns of ``contamination`` and the key, for rows made by ``keyed``; ``n_near`` only with a ``slop``."""
     phrases = settle(phrases_of(items, item_id, item_text, window))
     known = phrases.where(F.col("item_id").isNotNull())
-    words = settle(listed(rows))
+    words = settle(listed(rows), compression="zstd")
     plans, index = index_words(words, phrases, window=window)
     found = settle(find_phrases(plans, index, window=window))
     spans = found.select(*KEY, "start", (F.col("start") + F.size("phrase")).alias("end")).distinct()

@@ -11,7 +11,7 @@ upper-case spelling instead, which matches nothing.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -681,45 +681,132 @@ def gold_supply_chain_performance(orders: DataFrame, events: DataFrame, audit: b
 # --- machine-learning features -----------------------------------------------------------
 
 
+def _order_cells(orders: DataFrame, compat: bool) -> DataFrame:
+    """Sums, counts and days by customer, type, product and month, from which both sides' features follow.
+
+    All measures sit in one array of doubles (counts and sums of whole numbers are exact below 2**53), so
+    the customer side, the product side and the pairs all ask for whole cells: the shuffle of the cells is
+    then the same in each, and Spark runs it once. Keys come beside them; a hot customer or product is
+    reduced on the map side.
+    """
+    cut = F.col("discount_rate") > 0
+    day = F.unix_date("order_date")
+    measures = {
+        "lines": F.count(F.lit(1)),
+        "quantities": F.count("quantity"),
+        "totals": F.count("total_amount"),
+        "rates": F.count("discount_rate"),
+        "cuts": count_when(cut),
+        **{f"{level} Volume": count_when(_labelled("volume_tier", f"{level} Volume", compat)) for level in ("High", "Medium", "Low")},
+        **{f"{level} Value": count_when(_labelled("order_value_tier", f"{level} Value", compat)) for level in ("High", "Medium", "Low")},
+        "quantity": F.sum("quantity"),
+        "first": F.min(day),
+        "last": F.max(day),
+        "total": F.sum("total_amount"),
+        "net": F.sum("discounted_amount"),
+        "rate": F.sum("discount_rate"),
+        "cut_rate": F.sum(F.when(cut, F.col("discount_rate"))),
+    }
+    assert tuple(measures) == _CELL_MEASURES
+    keys = ("customer_id", "customer_type", "product_id", month_start("order_date").alias("order_month"))
+    return orders.groupBy(*keys).agg(F.array(*[c.cast("double") for c in measures.values()]).alias("measures"))
+
+
+# Order of the measures of a cell.
+_CELL_MEASURES = (
+    "lines",
+    "quantities",
+    "totals",
+    "rates",
+    "cuts",
+    "High Volume",
+    "Medium Volume",
+    "Low Volume",
+    "High Value",
+    "Medium Value",
+    "Low Value",
+    "quantity",
+    "first",
+    "last",
+    "total",
+    "net",
+    "rate",
+    "cut_rate",
+)
+
+
+def _of_cell(name: str) -> Column:
+    return F.get("measures", F.lit(_CELL_MEASURES.index(name)))
+
+
+def _cell_count(name: str) -> Column:
+    return F.sum(_of_cell(name)).cast("bigint")
+
+
+def _cell_sum(name: str, scale: int = 2) -> Column:
+    return F.round(F.sum(_of_cell(name)), scale)
+
+
+def _cell_mean(name: str, held: str, scale: int = 2) -> Column:
+    return F.try_divide(_cell_sum(name, scale), F.sum(_of_cell(held)))
+
+
+def _cell_day(bound: Callable[[Column], Column], name: str) -> Column:
+    return F.date_from_unix_date(bound(_of_cell(name)).cast("int"))
+
+
+def _by_key(
+    cells: DataFrame,
+    orders: DataFrame,
+    keys: Sequence[str],
+    measures: Sequence[Column],
+    distinct: Mapping[str, str],
+) -> DataFrame:
+    """Measures and distinct values of the cells by key, and ``total_orders``, which alone needs the lines."""
+    held = cells.where(_of_cell("lines") > 0)
+    parts = [
+        held.groupBy(*keys).agg(*[F.countDistinct(value).alias(name) for name, value in distinct.items()]),
+        orders.groupBy(*keys).agg(F.countDistinct("order_id").alias("total_orders")),
+    ]
+    found = cells.groupBy(*keys).agg(*measures)
+    for part in parts:
+        other = part.withColumnsRenamed({k: f"_{k}" for k in keys})
+        same = F.lit(True)
+        for k in keys:
+            # Entity keys are never NULL after silver; a customer type may be.
+            same = same & (F.col(k) == F.col(f"_{k}") if k.endswith("_id") else F.col(k).eqNullSafe(F.col(f"_{k}")))
+        found = found.join(other, same).drop(*[f"_{k}" for k in keys])
+    return found
+
+
 def _value_score(revenue: Column, steps: tuple[int, int, int, int]) -> Column:
     return tier(revenue, list(zip(steps, (5, 4, 3, 2))), 1).cast("bigint")
 
 
 def customer_features(orders: DataFrame, as_of: str, compat: bool = False) -> DataFrame:
-    discounted = F.col("discount_rate") > 0
+    return _customer_features(_order_cells(orders, compat), orders, as_of)
+
+
+def _customer_features(cells: DataFrame, orders: DataFrame, as_of: str) -> DataFrame:
+    labels = [f"{level} {kind}" for kind in ("Volume", "Value") for level in ("High", "Medium", "Low")]
     return (
-        _grouped(
+        _by_key(
+            cells,
             orders,
             ("customer_id", "customer_type"),
             [
-                F.sum("quantity").alias("total_quantity_ordered"),
-                sum_exact("total_amount").alias("total_order_value"),
-                sum_exact("discounted_amount").alias("total_discounted_value"),
-                avg_exact("total_amount").alias("avg_order_value"),
-                avg_exact("discount_rate", 4).alias("avg_discount_rate"),
-                F.min("order_date").alias("first_order_date"),
-                F.max("order_date").alias("last_order_date"),
-                *[
-                    count_when(_labelled(column, label, compat)).alias(
-                        f"{label.lower().replace(' ', '_')}_orders"
-                    )
-                    for column, label in (
-                        ("volume_tier", "High Volume"),
-                        ("volume_tier", "Medium Volume"),
-                        ("volume_tier", "Low Volume"),
-                        ("order_value_tier", "High Value"),
-                        ("order_value_tier", "Medium Value"),
-                        ("order_value_tier", "Low Value"),
-                    )
-                ],
-                count_when(discounted).alias("discounted_orders"),
-                avg_exact(F.when(discounted, F.col("discount_rate")), 4).alias("avg_discount_when_discounted"),
+                _cell_count("quantity").alias("total_quantity_ordered"),
+                _cell_sum("total").alias("total_order_value"),
+                _cell_sum("net").alias("total_discounted_value"),
+                _cell_mean("total", "totals").alias("avg_order_value"),
+                _cell_mean("rate", "rates", 4).alias("avg_discount_rate"),
+                _cell_day(F.min, "first").alias("first_order_date"),
+                _cell_day(F.max, "last").alias("last_order_date"),
+                *[_cell_count(label).alias(f"{label.lower().replace(' ', '_')}_orders") for label in labels],
+                _cell_count("cuts").alias("discounted_orders"),
+                _cell_mean("cut_rate", "cuts", 4).alias("avg_discount_when_discounted"),
             ],
-            {
-                "total_orders": "order_id",
-                "unique_products_ordered": "product_id",
-                "active_months": month_start("order_date"),
-            },
+            {"unique_products_ordered": "product_id", "active_months": "order_month"},
         )
         .withColumns(
             {
@@ -757,26 +844,25 @@ FEATURE_ATTRIBUTES = (
 
 
 def product_features(orders: DataFrame, products: DataFrame, compat: bool = False) -> DataFrame:
-    sales = _grouped(
+    return _product_features(_order_cells(orders, compat), orders, products)
+
+
+def _product_features(cells: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    sales = _by_key(
+        cells,
         orders,
         ("product_id",),
         [
-            F.sum("quantity").alias("total_quantity_sold"),
-            sum_exact("total_amount").alias("total_revenue"),
-            F.avg("quantity").alias("avg_quantity_per_order"),
-            avg_exact("total_amount").alias("avg_order_value"),
-            avg_exact("discount_rate", 4).alias("avg_discount_rate"),
-            F.min("order_date").alias("first_sale_date"),
-            F.max("order_date").alias("last_sale_date"),
-            count_when(_labelled("volume_tier", "High Volume", compat)).alias("high_volume_orders"),
-            count_when(_labelled("volume_tier", "Medium Volume", compat)).alias("medium_volume_orders"),
-            count_when(_labelled("volume_tier", "Low Volume", compat)).alias("low_volume_orders"),
+            _cell_count("quantity").alias("total_quantity_sold"),
+            _cell_sum("total").alias("total_revenue"),
+            F.try_divide(F.sum(_of_cell("quantity")), F.sum(_of_cell("quantities"))).alias("avg_quantity_per_order"),
+            _cell_mean("total", "totals").alias("avg_order_value"),
+            _cell_mean("rate", "rates", 4).alias("avg_discount_rate"),
+            _cell_day(F.min, "first").alias("first_sale_date"),
+            _cell_day(F.max, "last").alias("last_sale_date"),
+            *[_cell_count(f"{level} Volume").alias(f"{level.lower()}_volume_orders") for level in ("High", "Medium", "Low")],
         ],
-        {
-            "total_orders": "order_id",
-            "unique_customers": "customer_id",
-            "active_sale_months": month_start("order_date"),
-        },
+        {"unique_customers": "customer_id", "active_sale_months": "order_month"},
     )
     counts = (
         "total_orders",
@@ -834,9 +920,12 @@ def inventory_features(inventory: DataFrame) -> DataFrame:
 
 def related_pairs(orders: DataFrame, inventory: DataFrame) -> DataFrame:
     """Customer-product pairs with an order line or a stock row."""
-    ordered = orders.select("customer_id", "product_id")
+    return _related(orders, inventory)
+
+
+def _related(ordered: DataFrame, inventory: DataFrame) -> DataFrame:
     stocked = inventory.select(F.col("pharmacy_id").alias("customer_id"), "product_id")
-    return ordered.unionByName(stocked).distinct()
+    return ordered.select("customer_id", "product_id").unionByName(stocked).distinct()
 
 
 # Measures whose customer and product versions share a name.
@@ -853,7 +942,7 @@ _SHARED_MEASURES = (
 
 
 def gold_ml_ready_dataset(
-    pairs: DataFrame,
+    pairs: DataFrame | None,
     orders: DataFrame,
     products: DataFrame,
     inventory: DataFrame,
@@ -863,12 +952,19 @@ def gold_ml_ready_dataset(
 ) -> DataFrame:
     """Customer, product and stock features of every given (customer_id, product_id) pair.
 
-    The pairs are an input (``related_pairs`` gives those with any activity), so the work grows
-    with the pairs asked for and not with customers times products.
+    The pairs are an input (None stands for ``related_pairs``, those with any activity), so the work
+    grows with the pairs asked for and not with customers times products. The orders are read three
+    times: whole for the cells that all measures and pairs come from, and two narrow columns for the
+    distinct orders of each side.
     """
-    customers = customer_features(orders, as_of, compat).drop("first_order_date", "last_order_date")
+    # Silver holds no unknown ids. Said here, no join adds it to its own copy of the cells.
+    orders = orders.where(F.col("customer_id").isNotNull() & F.col("product_id").isNotNull())
+    cells = _order_cells(orders, compat)
+    if pairs is None:
+        pairs = _related(cells.where(_of_cell("lines") > 0), inventory)
+    customers = _customer_features(cells, orders, as_of).drop("first_order_date", "last_order_date")
     items = (
-        product_features(orders, products, compat)
+        _product_features(cells, orders, products)
         .drop("first_sale_date", "last_sale_date")
         .withColumnsRenamed({name: f"product_{name}" for name in _SHARED_MEASURES})
     )

@@ -141,7 +141,6 @@ class Medallion:
 
     def ml_ready_dataset(self, pairs: DataFrame | None = None) -> DataFrame:
         orders, inventory = self.stored_orders, self.stored_inventory
-        wanted = gold.related_pairs(orders, inventory) if pairs is None else pairs
         return gold.gold_ml_ready_dataset(
-            wanted, orders, self.products, inventory, self.as_of, self.audit, self.compat
+            pairs, orders, self.products, inventory, self.as_of, self.audit, self.compat
         )

@@ -324,3 +324,44 @@ def test_export_and_progress(spark):
     assert {(r.file, r.total_files) for r in documents.export_annotated(docs).collect()} == {("a", 2), ("b", 2)}
     reviews = spark.createDataFrame([("reviewed",), ("needs_attention",), ("open",), (None,)], "status string")
     assert documents.review_progress(reviews).first().progress == 0.5
+
+
+def test_features_read_the_orders_three_times(spark, tmp_path):
+    """One shuffle of cells serves measures, distinct values and pairs; two narrow reads count orders."""
+    changes = [
+        {"order_id": f"O{i // 2}", "customer_id": f"C{i % 3}", "product_id": f"P{i % 4}", "quantity": i, "order_date": dt.date(2024, 1 + i % 5, 3)}
+        for i in range(24)
+    ]
+    silver.silver_orders(orders(spark, *changes, {"customer_id": "C9", "product_id": "P9", "quantity": None}), audit=False).write.parquet(f"{tmp_path}/orders")
+    read = spark.read.parquet(f"{tmp_path}/orders")
+    products = spark.createDataFrame(
+        [(f"P{i}", *["x"] * 5, 1.0, 2.0, False, False, False, 3, 4, 5) for i in (0, 1, 2, 3, 7, 9)],
+        "product_id string, product_name string, category string, price_tier string, regulatory_class string, "
+        "storage_classification string, unit_price double, profit_margin_percentage double, is_prescription boolean, "
+        "is_controlled_substance boolean, requires_cold_chain boolean, expiry_months int, minimum_order_quantity int, lead_time_days int",
+    )
+    stock = spark.createDataFrame(
+        [("C1", "P7", 1, 1, 1, 50.0, 1.0, 9, 9, "a", "b", "c", True, False, False)],
+        "pharmacy_id string, product_id string, current_stock int, reorder_level int, max_stock int, stock_percentage double, "
+        "stock_to_reorder_ratio double, days_until_expiry int, days_since_last_restock int, stock_status string, "
+        "expiry_status string, stock_level_tier string, reorder_alert boolean, expiry_alert boolean, low_stock_alert boolean",
+    )
+    report = gold.gold_ml_ready_dataset(None, read, products, stock, TODAY, audit=False)
+    rows = {(r.customer_id, r.product_id): r for r in report.collect()}
+    plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") <= 3
+    assert rows.keys() == {(f"C{i % 3}", f"P{i % 4}") for i in range(24)} | {("C1", "P7"), ("C9", "P9")}
+    for c in ("C0", "C1", "C2"):
+        own = [(i, x) for i, x in enumerate(changes) if x["customer_id"] == c]
+        got = rows[c, "P0"]
+        assert got.total_orders == len({x["order_id"] for _, x in own})
+        assert got.unique_products_ordered == len({x["product_id"] for _, x in own})
+        assert got.active_months == len({x["order_date"] for _, x in own})
+        assert got.total_quantity_ordered == sum(i for i, _ in own)
+    bought = [x for x in changes if x["product_id"] == "P0"]
+    assert rows["C0", "P0"].product_total_orders == len({x["order_id"] for x in bought})
+    assert rows["C0", "P0"].product_unique_customers == 3
+    assert rows["C9", "P9"].total_quantity_ordered is None and rows["C9", "P9"].total_orders == 1
+    assert rows["C1", "P7"].product_total_orders == 0
+    given = gold.gold_ml_ready_dataset(gold.related_pairs(read, stock), read, products, stock, TODAY, audit=False)
+    assert sorted(map(str, given.collect())) == sorted(map(str, rows.values()))

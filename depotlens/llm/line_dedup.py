@@ -1,6 +1,6 @@
 """Line deduplication by overlapping windows of consecutive lines, with DataFrame work only.
 
-Every run of ``window`` lines is hashed, windows that occur more than once are found over the whole table,
+Every run of ``window`` lines is hashed, and a shorter text as a whole; windows that occur more than once are found over the whole table,
 and all lines covered by an occurrence after the first are removed. The covered positions of a document
 are merged, so overlapping windows remove a long repeated passage as one block.
 """
@@ -13,22 +13,27 @@ from pyspark.sql import functions as F
 from depotlens.llm.base import KEY, keyed
 from depotlens.session import settle
 
+#: Type of the hashes of a text's windows.
+HASHES = "array<struct<a:bigint,b:bigint>>"
+
 
 def _hashes(lines: Column, window: int) -> Column:
     """Two independent 64-bit hashes of each window of lines, in order of position."""
-    starts = F.sequence(F.lit(1), F.size(lines) - window + 1)
-    held = F.when(F.size(lines) >= window, starts).otherwise(F.array().cast("array<int>"))
 
     def of(i: Column) -> Column:
         parts = [F.get(lines, i - 1 + k) for k in range(window)]
         return F.struct(F.xxhash64(*parts).alias("a"), F.xxhash64(*reversed(parts), F.lit(window)).alias("b"))
 
-    return F.transform(held, of)
+    # All lines of a shorter text, with their number, so that no window of full length has the same hashes.
+    held = F.size(lines)
+    short = F.struct(F.xxhash64(lines, held).alias("a"), F.xxhash64(held, lines, F.lit(window)).alias("b"))
+    whole = F.when(F.array_join(lines, "") != "", F.array(short)).otherwise(F.array().cast(HASHES))
+    return F.when(held >= window, F.transform(F.sequence(F.lit(1), held - window + 1), of)).otherwise(whole)
 
 
 def window_table(rows: DataFrame, window: int = 3) -> DataFrame:
-    """(key, start, a, b): the hash of every window of lines; texts of fewer lines have none."""
-    listed = rows.select(*KEY, F.split("text", "\n").alias("lines"))
+    """(key, start, a, b): the hash of every window of lines; a text of fewer lines is one window, unless all are empty."""
+    listed = rows.where(F.col("text").isNotNull()).select(*KEY, F.split("text", "\n").alias("lines"))
     return listed.select(*KEY, F.posexplode(_hashes(F.col("lines"), window)).alias("start", "h")).select(
         *KEY, "start", "h.a", "h.b"
     )
@@ -63,12 +68,14 @@ def dedup_lines(
     and spaces included. The first occurrence, by doc_id and position, stays; a row that repeats an earlier
     row in id and text counts as the same occurrence and stays as well. Rows of null id stand at -1 in this order. A null
     text has 0 lines and stays null, an empty text has one empty line. A text that loses all its lines
-    becomes empty; a text of fewer lines than a window has no window and stays.
+    becomes empty. A text of fewer lines than a window, some of them not empty, is one window of all its
+    lines, which only equal texts repeat.
     """
     rows = keyed(docs, doc_id, text, whole)
     windows = settle(window_table(rows, window))
     gone = covered_lines(later_occurrences(windows), window)
     held = rows.join(gone, KEY, "left").withColumn("lines", F.split("text", "\n"))
+    held = held.withColumn("gone", F.filter("gone", lambda p: p < F.size("lines")))
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
     left = F.transform(stay, lambda i: F.get("lines", i))
     return held.select(

@@ -169,9 +169,12 @@ SELECT page_id, url, text, length(text)::BIGINT AS n_chars, 'body>article' AS ho
 
 OP6_SQL = """
 WITH d AS (SELECT doc_id, text, str_split(text, chr(10)) AS l FROM documents),
-windows AS (SELECT doc_id, s, l[s] AS x, l[s + 1] AS y, l[s + 2] AS z FROM d, unnest(range(1, len(l) - 1)) t(s)),
-placed AS (SELECT doc_id, s, row_number() OVER (PARTITION BY x, y, z ORDER BY doc_id, s) AS k FROM windows),
-gone AS (SELECT DISTINCT doc_id, p FROM placed, unnest(range(s, s + 3)) t(p) WHERE k > 1),
+windows AS (
+  SELECT doc_id, s, s + 3 AS e, l[s] AS x, l[s + 1] AS y, l[s + 2] AS z FROM d, unnest(range(1, len(l) - 1)) t(s)
+  UNION ALL
+  SELECT doc_id, 1, len(l) + 1, l[1], l[2], NULL FROM d WHERE len(l) < 3 AND array_to_string(l, '') <> ''),
+placed AS (SELECT doc_id, s, e, row_number() OVER (PARTITION BY x, y, z ORDER BY doc_id, s) AS k FROM windows),
+gone AS (SELECT DISTINCT doc_id, p FROM placed, unnest(range(s, e)) t(p) WHERE k > 1),
 lists AS (SELECT doc_id, list(p) AS gone FROM gone GROUP BY doc_id)
 SELECT doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_removed,
   CASE WHEN gone IS NULL THEN text

@@ -266,9 +266,10 @@ def brute_lines(rows, window=3):
     seen, gone = {}, defaultdict(set)
     for i, t in sorted({(-1 if i is None else i, t) for i, t in rows if t is not None}):
         lines = t.split("\n")
-        for s in range(len(lines) - window + 1):
+        short = len(lines) < window
+        for s in range(any(lines) if short else len(lines) - window + 1):
             if tuple(lines[s : s + window]) in seen:
-                gone[i, t].update(range(s, s + window))
+                gone[i, t].update(range(s, min(s + window, len(lines))))
             else:
                 seen[tuple(lines[s : s + window])] = 1
     found = []
@@ -289,6 +290,14 @@ def test_lines_against_brute_force(spark, docs):
     assert line_dedup.dedup_lines(docs.limit(0)).collect() == []
 
 
+def test_texts_of_fewer_lines_than_a_window(spark):
+    texts = ["a\nb", "a\nb", "a\nb\n", "a", "b", "a", "", "", "\n", "\n", None, "a\nb\nc", "a\nb"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in line_dedup.dedup_lines(table).collect()}
+    assert {i for i, (_, gone, _) in got.items() if gone} == {1, 5, 12}
+    assert got[1] == (2, 2, "") and got[5] == (1, 1, "") and got[9] == (2, 0, "\n") and got[10] == (0, 0, None)
+
+
 # ---- archives ----
 
 

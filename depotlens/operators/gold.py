@@ -955,7 +955,8 @@ def gold_ml_ready_dataset(
     The pairs are an input (None stands for ``related_pairs``, those with any activity), so the work
     grows with the pairs asked for and not with customers times products. The orders are read three
     times: whole for the cells that all measures and pairs come from, and two narrow columns for the
-    distinct orders of each side.
+    distinct orders of each side. A filter of the products on their own key reaches the pairs' cells, which
+    are then read a fourth time.
     """
     # Silver holds no unknown ids. Said here, no join adds it to its own copy of the cells.
     orders = orders.where(F.col("customer_id").isNotNull() & F.col("product_id").isNotNull())

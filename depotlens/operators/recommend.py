@@ -424,14 +424,39 @@ def _numeric_products(products: DataFrame) -> DataFrame:
 def ranker_features(pairs: DataFrame, products: DataFrame) -> tuple[DataFrame, list[str]]:
     """Pairs with the attributes of their product as numbers, and the names of the features.
 
-    Text is coded over the product table, so that a product has the same code in every call.
+    Text is coded over the product table, so that a product has the same code in every call. What
+    ``like_pairs`` adds is no feature.
     """
     numeric = _numeric_products(products)
     merged = pairs.join(numeric, "product_id", "left")
-    columns = list(dict.fromkeys([*feature_names(pairs), *(c for c in numeric.columns if c not in KEYS)]))
+    own = [c for c in feature_names(pairs) if c not in (LIKE, PAIRS)]
+    columns = list(dict.fromkeys([*own, *(c for c in numeric.columns if c not in KEYS)]))
     return merged.withColumns({c: to_number(c) for c in columns}), columns
 
 
+#: Columns of ``like_pairs``: what the pairs of a row share, and their number.
+LIKE, PAIRS = "_like", "_pairs"
+
+
+def _shared(pairs: DataFrame) -> Column:
+    return F.struct("product_id", *feature_names(pairs)).alias(LIKE)
+
+
+def like_pairs(pairs: DataFrame, *others: str) -> DataFrame:
+    """Pairs that a ranker cannot tell apart, as one row: product, the pairs' own features, ``others`` and their number.
+
+    All other features are the product's, so these rows, weighted by their number, train as the pairs do. Before the
+    product's attributes are joined there are few columns to group by, and a hot product is reduced on the map side.
+    """
+    groups = pairs.select(_shared(pairs), *others).groupBy(LIKE, *others).agg(F.count(F.lit(1)).alias(PAIRS))
+    return groups.select(F.col(f"{LIKE}.*"), LIKE, *others, PAIRS)
+
+
+def of_each_pair(pairs: DataFrame, found: DataFrame, *columns: str) -> DataFrame:
+    """Pairs with columns found for their row of ``like_pairs``; unknown features are equal to each other."""
+    return pairs.select("*", _shared(pairs)).join(found.select(LIKE, *columns), LIKE).drop(LIKE)
+
+
 def train_ranker(
     features: DataFrame,
     columns: Sequence[str],
@@ -439,11 +464,12 @@ def train_ranker(
     iterations: int = 20,
     seed: int = 42,
 ) -> PipelineModel:
-    """Pointwise boosted trees; the score orders the candidates of a customer."""
+    """Pointwise boosted trees; the score orders the candidates of a customer. Rows of ``like_pairs`` count as their pairs."""
+    weight = {"weightCol": PAIRS} if PAIRS in features.columns else {}
     stages = [
         VectorAssembler(inputCols=list(columns), outputCol="_features"),
         GBTRegressor(
-            featuresCol="_features", labelCol=label, predictionCol="score", maxIter=iterations, seed=seed
+            featuresCol="_features", labelCol=label, predictionCol="score", maxIter=iterations, seed=seed, **weight
         ),
     ]
     return Pipeline(stages=stages).fit(features)
@@ -470,14 +496,15 @@ def rank_catalogue(
     """Top k of the whole catalogue for every user, without a user-by-product grid.
 
     A pair without history has product attributes only, so its score is the product's own: products
-    are scored and ranked once, and each user takes the best of the pairs with history and of the
-    first k products without.
+    are scored and ranked once, pairs with history that share their features are scored once, and each user
+    takes the best of the pairs with history and of the first k products without.
     """
     wanted = users.select("customer_id").distinct()
     history = base.drop("label").join(wanted, "customer_id", "left_semi")
     pair_columns = feature_names(history)
-    known, _ = ranker_features(history, products)
-    known = model.transform(known).select("customer_id", "product_id", "score")
+    rows, _ = ranker_features(like_pairs(history), products)
+    known = of_each_pair(history, model.transform(rows), "score").select("customer_id", "product_id", "score")
+    known = settle(known)
     blank = products.select("product_id").distinct()
     blank = blank.select("product_id", *[F.lit(0).alias(c) for c in pair_columns])
     alone, _ = ranker_features(blank, products)

@@ -75,7 +75,9 @@ def ranker_recommendations(
 ) -> DataFrame:
     """Top k of the catalogue for every customer with a purchase, by boosted trees."""
     base, products = settle(base), settle(products)
-    rows, columns = recommend.ranker_features(recommend.with_negatives(base, products), products)
+    # Negatives of a product differ in nothing that the ranker sees.
+    pairs = recommend.like_pairs(recommend.with_negatives(base, products), "label")
+    rows, columns = recommend.ranker_features(pairs, products)
     model = recommend.train_ranker(settle(rows), columns, iterations=iterations)
     return recommend.rank_catalogue(model, base.filter(F.col("label") == 1), base, products, k)
 

@@ -13,7 +13,6 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -135,8 +134,8 @@ class Transducer:
             self.pairs[left, right] = known
         return known
 
-    def path(self, part: str) -> tuple[tuple[int, ...], str, str]:
-        """Remembered shortest path of a part: its ids, first piece and last piece."""
+    def path(self, part: str) -> tuple[bytes, bytes, str, str]:
+        """Remembered shortest path of a part: its ids as numbers of 32 bits, what they read as, first and last piece."""
         known = self.recent.get(part)
         if known is None:
             known = self.older.get(part) or self._path(part)
@@ -146,7 +145,7 @@ class Transducer:
                     self.older, self.recent = self.recent, {}
         return known
 
-    def _path(self, word: str) -> tuple[tuple[int, ...], str, str]:
+    def _path(self, word: str) -> tuple[bytes, bytes, str, str]:
         """Shortest path through the composition of a normalised input with the machines.
 
         All finite paths to a position weigh 0 and end in the same piece, as merging has one outcome, so a
@@ -178,14 +177,15 @@ class Transducer:
                 raise ValueError(f"no path through {word[:at]!r}")
             found.append(piece)
             at -= len(piece)
-        return tuple(i for piece in reversed(found) for i in self._written(piece)), found[-1], found[0]
+        ids = [i for piece in reversed(found) for i in self._written(piece)]
+        return np.array(ids, "<i4").tobytes(), self._read(ids), found[-1], found[0]
 
     def _written(self, piece: str) -> list[int]:
         known = self.ids.get(piece)
         return [self.octets[b] for b in piece.encode("utf-8", "replace")] if known is None else [known]
 
-    def parts(self, text: str) -> list[tuple[int, ...]]:
-        """Ids of a whole text, part by part.
+    def parts(self, text: str) -> list[tuple[bytes, bytes, str, str]]:
+        """Paths of a whole text, part by part.
 
         Paths of neighbouring parts are one path if the pieces where they meet may stand side by side;
         otherwise the parts are composed as one. No piece reaches over a space into what follows it.
@@ -194,32 +194,49 @@ class Transducer:
             return []
         line = SPACE + text.replace(" ", SPACE)
         if not self.words_apart:
-            return [self._path(line)[0]]
-        found: list[tuple[int, ...]] = []
-        names: list[str] = []
-        ends: list[str] = []
-        for part in PART.findall(line):
-            ids, first, last = self.path(part)
-            while names and part[0] != SPACE and not self.follows(ends[-1], first):
-                part = names.pop() + part
-                found.pop(), ends.pop()
-                ids, first, last = self._path(part)
-            found.append(ids), names.append(part), ends.append(last)
-        return found
+            return [self._path(line)]
+        recent, path, allowed = self.recent.get, self.path, self.pairs.get
+        names = PART.findall(line)
+        found: list[tuple | None] = [recent(part) or path(part) for part in names]
+        # Every text begins with a space, so a part without one has another before it.
+        for place in [i for i, part in enumerate(names) if part[0] != SPACE]:
+            before = place - 1
+            while names[place][0] != SPACE:
+                meeting = found[before][3], found[place][2]
+                known = allowed(meeting)
+                if known or (known is None and self.follows(*meeting)):
+                    break
+                names[place] = names[before] + names[place]
+                found[before], found[place] = None, self._path(names[place])
+                while before > 0 and found[before] is None:
+                    before -= 1
+        return [one for one in found if one]
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text; an empty text has none."""
-        return list(chain.from_iterable(self.parts(text)))
+        return np.frombuffer(b"".join([one[0] for one in self.parts(text)]), "<i4").tolist()
+
+    def both_ways(self, text: str) -> tuple[bytes, str]:
+        """Ids of a whole text as little-endian numbers of 32 bits, and the text that these ids decode to."""
+        found = self.parts(text)
+        return b"".join([one[0] for one in found]), _text(b"".join([one[1] for one in found]))
+
+    def _read(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.read_back.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: the machines read backwards; bytes that are no UTF-8 become U+FFFD."""
-        text = b"".join(map(self.read_back.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")
-        return text[1:] if text.startswith(" ") else text
+        return _text(self._read(ids))
+
+
+def _text(octets: bytes) -> str:
+    text = octets.decode("utf-8", "replace").replace(SPACE, " ")
+    return text[1:] if text.startswith(" ") else text
 
 
-def digest(ids: list[int] | np.ndarray) -> str:
-    """SHA-256 of ids as little-endian 32-bit numbers."""
-    return hashlib.sha256(np.asarray(ids, "<i4").tobytes()).hexdigest()
+def digest(ids: list[int] | np.ndarray | bytes) -> str:
+    """SHA-256 of ids as little-endian 32-bit numbers, which may be written so already."""
+    return hashlib.sha256(ids if isinstance(ids, bytes) else np.asarray(ids, "<i4").tobytes()).hexdigest()
 
 
 def _encoder(machine):
@@ -231,10 +248,10 @@ def _encoder(machine):
                 if text is None:
                     counts.append(None), shas.append(None), backs.append(None)
                     continue
-                listed = made.encode(text)
-                ids = np.array(listed, np.int32)
-                flat.append(ids), counts.append(len(ids)), shas.append(digest(ids))
-                backs.append(made.decode(listed) == text.replace(SPACE, " "))
+                octets, back = made.both_ways(text)
+                ids = np.frombuffer(octets, "<i4")
+                flat.append(ids), counts.append(len(ids)), shas.append(digest(octets))
+                backs.append(back == text.replace(SPACE, " "))
             sizes = np.array([n or 0 for n in counts], np.int32)
             bounds = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
             missing = pa.array([n is None for n in counts], pa.bool_())

@@ -349,7 +349,8 @@ def negative_samples(
         .join(catalogue, "product_id", "left")
     )
     bought = positives.filter(F.col("code").isNotNull()).select("customer_id", "code")
-    counts = positives.groupBy("customer_id").agg(F.count("code").alias("n_bought"))
+    counts = positives.groupBy("customer_id").agg(F.count("code").alias("n_bought"), F.count(F.lit(1)).alias("n_pairs"))
+    sizes = counts.select("customer_id", (F.col("n_pairs") * (1 + per_positive)).alias("rows"))
     free = counts.select("customer_id", (F.lit(catalogue.count()) - F.col("n_bought")).alias("n_free"))
     free = free.filter(F.col("n_free") > 0)
 
@@ -374,7 +375,7 @@ def negative_samples(
             F.posexplode(ranks).alias("slot", "free_rank"),
         )
     )
-    placed = nth_missing(bought, draws, "customer_id", "code", "free_rank", "code")
+    placed = nth_missing(bought, draws, "customer_id", "code", "free_rank", "code", sizes=sizes)
     return placed.join(catalogue, "code").select(
         "customer_id",
         "product_id",

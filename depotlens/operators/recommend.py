@@ -25,6 +25,7 @@ from depotlens.operators.ordering import (
     factorize_many,
     last_per_group,
     nth_missing,
+    spread,
     topk_per_group,
     with_position,
 )
@@ -328,8 +329,9 @@ def recommendation_arrays(recommendations: DataFrame) -> DataFrame:
 def not_purchased_counts(bought: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Per customer: number of catalogue products not bought."""
     size = catalogue.select("product_id").distinct().agg(F.count(F.lit(1)).alias("n"))
-    known = bought.join(catalogue.select("product_id"), "product_id", "left_semi")
-    counts = known.groupBy("customer_id").agg(F.countDistinct("product_id").alias("n_bought"))
+    known = bought.select("customer_id", "product_id").join(catalogue.select("product_id"), "product_id", "left_semi")
+    # Pairs hardly repeat, so tasks in front of the shuffle would hold almost every pair to reduce little.
+    counts = spread(known, "customer_id").groupBy("customer_id").agg(F.countDistinct("product_id").alias("n_bought"))
     return counts.select("customer_id", "n_bought", (size.scalar() - F.col("n_bought")).alias("n_free"))
 
 

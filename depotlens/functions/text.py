@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -150,10 +150,14 @@ class _BlockReader(HTMLParser):
                 return
 
 
-def _read_pages(pages: pd.Series) -> pd.DataFrame:
-    """Paragraphs (all text if there are none) and list items of a batch of pages, each read once."""
+#: Pages whose texts a task holds at once; Arrow batches have thousands, of any length.
+PAGES_AT_ONCE = 64
+
+
+def _read_pages(pages: pa.Array) -> pa.Array:
+    """Paragraphs (all text if there are none) and list items of some pages, each read once."""
     reader, paragraphs, items = _BlockReader(), [], []
-    for page in pages:
+    for page in pages.to_pylist():
         reader.begin()
         if page and page.strip():
             reader.feed(page)
@@ -164,19 +168,25 @@ def _read_pages(pages: pd.Series) -> pd.DataFrame:
             found = [" ".join(reader.everything)]
         paragraphs.append(found)
         items.append([" ".join(texts) for texts in reader.items if texts])
-    return pd.DataFrame({"paragraphs": paragraphs, "items": items})
+    lists = pa.list_(pa.string())
+    return pa.StructArray.from_arrays([pa.array(paragraphs, lists), pa.array(items, lists)], names=["paragraphs", "items"])
+
+
+def _read_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        for start in range(0, len(batch), PAGES_AT_ONCE):
+            yield _read_pages(batch.slice(start, PAGES_AT_ONCE))
 
 
 def page_blocks(html: ColumnOrName) -> Column:
     """Struct of the non-empty paragraphs and list items of a page.
 
     Real pages leave elements open and use character references, which patterns cannot resolve, so
-    the pages go through the standard parser in Arrow batches, once for both lists.
+    the pages go through the standard parser, once for both lists. They stay in their Arrow batch but for a few at a time.
     """
 
-    @F.pandas_udf("paragraphs array<string>, items array<string>")
-    def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield _read_pages(batch)
+    @F.arrow_udf("paragraphs array<string>, items array<string>")
+    def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from _read_batches(batches)
 
     return read(as_column(html))

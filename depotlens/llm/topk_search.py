@@ -1,8 +1,9 @@
 """Exact top-k search by tiled matrix products.
 
 Vectors become integers and are packed into blocks of rows. Every pair of a query block and a shard is a
-tile: one matrix product in a task, from which each query keeps its best k by partial selection. The lists
-of a query are merged in a tree of bounded fan-in, so no task ever sees all its tiles.
+tile: one matrix product. Query blocks come in bundles and shards in stripes; a task holds a bundle and its queries'
+best k so far while the shards of a stripe pass, and a shard is sent once for each bundle. The lists of a query from all
+stripes are merged in a tree of bounded fan-in.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from depotlens.session import settle
 
 #: Rows of a query block and of a shard, and bytes of a block at most.
 QUERY_ROWS, SHARD_ROWS, BLOCK_BYTES = 1024, 4096, 1 << 21
+#: Query blocks of a bundle and shards of a stripe on average, at most.
+BUNDLE_BLOCKS, STRIPE_SHARDS = 64, 64
 #: Lists that one step of the tree merges.
 FAN_IN = 16
 
@@ -37,14 +40,18 @@ def _packer(rows_at_most: int):
             matrix = np.concatenate(parts)
             order = np.argsort(np.array(ids), kind="stable")
             serial += 1
+            # Most numbers are small, and a shard travels once for each bundle.
+            top = max(-int(matrix.min(initial=0)), int(matrix.max(initial=0)) + 1)
+            width = next(w for w in (2, 4, 8) if top <= 1 << (8 * w - 1))
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([dim], pa.int32()),
                     pa.array([serial], pa.int64()),
                     pa.array([np.array(ids, "<i8")[order].tobytes()], pa.binary()),
-                    pa.array([matrix[order].astype("<i8").tobytes()], pa.binary()),
+                    pa.array([width], pa.int32()),
+                    pa.array([matrix[order].astype(f"<i{width}").tobytes()], pa.binary()),
                 ],
-                names=["dim", "serial", "ids", "numbers"],
+                names=["dim", "serial", "ids", "width", "numbers"],
             )
 
         for batch in batches:
@@ -64,10 +71,9 @@ def _packer(rows_at_most: int):
     return pack
 
 
-def _blocks(vectors: DataFrame, rows_at_most: int, side: str) -> DataFrame:
-    packed = vectors.mapInArrow(_packer(rows_at_most), "dim int, serial long, ids binary, numbers binary")
-    named = packed.select("dim", F.xxhash64("ids", "serial").alias(side), "ids", "numbers")
-    return settle(named.withColumnsRenamed({"ids": f"{side}_ids", "numbers": f"{side}_numbers"}))
+def _blocks(vectors: DataFrame, rows_at_most: int) -> DataFrame:
+    packed = vectors.mapInArrow(_packer(rows_at_most), "dim int, serial long, ids binary, width int, numbers binary")
+    return settle(packed.select(F.xxhash64("ids", "serial").alias("block"), "dim", "ids", "width", "numbers"))
 
 
 def select_best(scores: np.ndarray, barred: np.ndarray, k: int, bound: int) -> list[np.ndarray]:
@@ -86,39 +92,97 @@ def select_best(scores: np.ndarray, barred: np.ndarray, k: int, bound: int) -> l
     return [np.array(sorted(free, key=lambda c, s=row: (-s[c], c))[:k], int) for free, row in rows]
 
 
+class _Held:
+    """A block of queries and the best k that each has met so far, as (-1 - score, id) in rising order."""
+
+    def __init__(self, ids: np.ndarray, numbers: np.ndarray, k: int):
+        self.ids, self.numbers, self.k = ids, numbers, k
+        self.less, self.found = (np.zeros((len(ids), k), np.int64) for _ in range(2))
+        self.size = np.zeros(len(ids), np.int64)
+
+    def meet(self, s_ids: np.ndarray, shard: np.ndarray) -> None:
+        top = [max(abs(int(m.min(initial=0))), abs(int(m.max(initial=0)))) for m in (self.numbers, shard)]
+        bound = top[0] * top[1] * shard.shape[1]
+        exact = bound < 1 << 53
+        right = shard.astype(np.float64 if exact else object).T
+        for start in range(0, len(self.ids), 128):
+            here = slice(start, start + 128)
+            own = self.ids[here]
+            part = self.numbers[here].astype(right.dtype)
+            scores = part @ right if shard.shape[1] else np.zeros((len(own), len(s_ids)))
+            barred = own[:, None] == s_ids[None, :]
+            row, column = self._hopeful(scores, barred, here, bound, exact)
+            if not len(row):
+                continue
+            values = scores[row, column]
+            if exact:
+                values = values.astype(np.int64)
+            else:  # a score beyond a long's range counts as the nearest long
+                values = np.array([min(max(int(s), -(1 << 63)), (1 << 63) - 1) for s in values], np.int64)
+            self._keep(here, row, -1 - values, s_ids[column])
+
+    def _hopeful(self, scores: np.ndarray, barred: np.ndarray, here: slice, bound: int, exact: bool):
+        """Places of scores that may be among the best k of their rows."""
+        if exact:
+            least = np.where(self.size[here] == self.k, -1.0 - self.less[here, -1], -np.inf)
+            reach = scores >= least[:, None]
+            reach &= ~barred
+            if np.count_nonzero(reach) <= 4 * self.k * len(scores):
+                return np.nonzero(reach)
+        best = select_best(scores, barred, self.k, bound)
+        return np.repeat(np.arange(len(best)), [len(c) for c in best]), np.concatenate([*best, np.empty(0, int)]).astype(int)
+
+    def _keep(self, here: slice, row: np.ndarray, less: np.ndarray, ids: np.ndarray) -> None:
+        size = self.size[here]
+        before = np.arange(self.k) < size[:, None]
+        row = np.concatenate([np.nonzero(before)[0], row])
+        less = np.concatenate([self.less[here][before], less])
+        ids = np.concatenate([self.found[here][before], ids])
+        order = np.lexsort((ids, less, row))
+        row, less, ids = row[order], less[order], ids[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        best = place < self.k
+        row, place = row[best], place[best]
+        self.less[here][row, place], self.found[here][row, place] = less[best], ids[best]
+        self.size[here] = np.bincount(row, minlength=len(size))
+
+
+LISTS = "query_id long, place long, top array<struct<less:long,vec_id:long>>"
+
+
 def _search(k: int):
     def search(batches):
+        """Top lists of the queries of each cell, whose query blocks come before its shards."""
+        held: dict[int, dict[int, list[_Held]]] = {}
+        stripes = {}
         for batch in batches:
-            for tile in batch.to_pylist():
-                q_ids = np.frombuffer(tile["query_ids"], "<i8")
-                s_ids = np.frombuffer(tile["shard_ids"], "<i8")
-                queries = np.frombuffer(tile["query_numbers"], "<i8").reshape(len(q_ids), -1)
-                shard = np.frombuffer(tile["shard_numbers"], "<i8").reshape(len(s_ids), -1)
-                top = [max(abs(int(m.min(initial=0))), abs(int(m.max(initial=0)))) for m in (queries, shard)]
-                bound = top[0] * top[1] * queries.shape[1]
-                exact = bound < 1 << 53
-                right = shard.astype(np.float64 if exact else object).T
-                for start in range(0, len(q_ids), 128):
-                    own = q_ids[start : start + 128]
-                    part = queries[start : start + 128].astype(right.dtype)
-                    scores = part @ right if queries.shape[1] else np.zeros((len(own), len(s_ids)))
-                    best = select_best(scores, own[:, None] == s_ids[None, :], k, bound)
-                    yield _listed(own, s_ids, scores, best, tile["place"])
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+                ids, numbers = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["numbers"], f"<i{row['width']}").astype(np.int64)
+                numbers = numbers.reshape(len(ids), -1)
+                mine = held.setdefault(row["cell"], {}).setdefault(row["dim"], [])
+                stripes[row["cell"]] = row["stripe"]
+                if row["is_shard"]:
+                    for block in mine:
+                        block.meet(ids, numbers)
+                else:
+                    mine.append(_Held(ids, numbers, k))
+        for cell, dims in held.items():
+            for blocks in dims.values():
+                for block in blocks:
+                    yield _listed(block, stripes[cell])
 
     return search
 
 
-def _listed(own, s_ids, scores, best, place: int) -> pa.RecordBatch:
-    """Rows (query_id, place, top list) of a tile part; ``less`` is -1 - score, so lists sort upwards."""
-    lists = []
-    for row, columns in zip(scores, best):
-        # A score beyond a long's range counts as the nearest long.
-        values = [min(max(int(s), -(1 << 63)), (1 << 63) - 1) for s in row[columns]]
-        pairs = sorted((-1 - s, v) for s, v in zip(values, s_ids[columns].tolist()))
-        lists.append([{"less": s, "vec_id": v} for s, v in pairs])
-    kind = pa.list_(pa.struct([("less", pa.int64()), ("vec_id", pa.int64())]))
+def _listed(block: _Held, stripe: int) -> pa.RecordBatch:
+    """Rows (query_id, place, top list) of the queries of a block that have found anything."""
+    some = np.flatnonzero(block.size)
+    before = np.arange(block.k) < block.size[some, None]
+    entries = pa.StructArray.from_arrays([pa.array(block.less[some][before]), pa.array(block.found[some][before])], names=["less", "vec_id"])
+    bounds = pa.array(np.concatenate([[0], np.cumsum(block.size[some])]), pa.int32())
     return pa.RecordBatch.from_arrays(
-        [pa.array(own, pa.int64()), pa.array([place] * len(own), pa.int64()), pa.array(lists, kind)],
+        [pa.array(block.ids[some], pa.int64()), pa.array([stripe] * len(some), pa.int64()), pa.ListArray.from_arrays(bounds, entries)],
         names=["query_id", "place", "top"],
     )
 
@@ -148,18 +212,21 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = 10) -> DataFrame:
     usable = [t.where(F.col("vec_id").isNotNull() & F.col("numbers").isNotNull()) for t in (queries, vectors)]
     asked = settle(usable[0].groupBy("vec_id").agg(F.min("numbers").alias("numbers")))
     asked = asked.repartition(max(1, -(-asked.count() // QUERY_ROWS)))
-    left, right = _blocks(asked, QUERY_ROWS, "query"), _blocks(usable[1], SHARD_ROWS, "shard")
+    left, right = _blocks(asked, QUERY_ROWS), _blocks(usable[1], SHARD_ROWS)
     across, down = max(1, left.count()), max(1, right.count())
-    # Both sides are dealt over the grid of tiles, so a cell holds about one tile however few queries there are.
-    place, line = F.pmod("shard", F.lit(down)), F.pmod("query", F.lit(across))
-    shards = right.withColumns({"place": place, "line": F.explode(F.sequence(F.lit(0), F.lit(across - 1)))})
-    blocks = left.withColumns({"line": line, "place": F.explode(F.sequence(F.lit(0), F.lit(down - 1)))})
-    cell = ["dim", *(F.col(c).cast("bigint").alias(c) for c in ("line", "place"))]
-    shards = shards.select(*cell, "shard_ids", "shard_numbers")
-    blocks = blocks.select(*cell, "query_ids", "query_numbers")
-    tiles = blocks.join(shards, ["dim", "line", "place"]).drop("dim", "line")
-    lists = tiles.mapInArrow(_search(k), "query_id long, place long, top array<struct<less:long,vec_id:long>>")
-    merged = merge_tree(lists, k, down)
+    bundles = -(-across // BUNDLE_BLOCKS)
+    # Few queries leave room for more stripes, until a cell holds about one shard.
+    tasks = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stripes = max(-(-down // STRIPE_SHARDS), min(down, -(-tasks // bundles)))
+    bundle, stripe = (F.pmod("block", F.lit(n)) for n in (bundles, stripes))
+    every = {n: F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in (bundles, stripes)}
+    blocks = left.withColumns({"is_shard": F.lit(False), "bundle": bundle}).withColumn("stripe", every[stripes])
+    shards = right.withColumns({"is_shard": F.lit(True), "stripe": stripe}).withColumn("bundle", every[bundles])
+    named = ["is_shard", "dim", "ids", "width", "numbers", *(F.col(c).cast("int").alias(c) for c in ("bundle", "stripe"))]
+    sides = blocks.select(*named).unionByName(shards.select(*named)).withColumn("cell", F.col("bundle") * stripes + F.col("stripe"))
+    # No join: the size of what is sent out so often cannot be guessed, and a guess too small would broadcast it.
+    cells = sides.repartitionById(bundles * stripes, F.col("cell")).sortWithinPartitions("cell", "is_shard")
+    merged = merge_tree(cells.mapInArrow(_search(k), LISTS), k, stripes)
     return merged.select("query_id", F.posexplode("top").alias("at", "t")).select(
         "query_id", (F.col("at") + 1).alias("rank"), "t.vec_id", F.bitwise_not("t.less").alias("score")
     )
